@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .lm_scoring import score_documents
+from .simhash import hexadecimal, near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +17,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_lm_scoring": op1_lm_scoring}
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op1_lm_scoring": op1_lm_scoring, "op2_simhash": op2_simhash}
 
 ORACLE_SQL: dict[str, str] = {}
