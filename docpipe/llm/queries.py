@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lm_scoring import score_documents
+from .mixing import mix_sources
 from .simhash import hexadecimal, near_duplicates
+from .url_filter import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +24,68 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_lm_scoring": op1_lm_scoring, "op2_simhash": op2_simhash}
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
+    "op2_simhash": op2_simhash,
+    "op3_mixing": op3_mixing,
+    "op9_url_filter": op9_url_filter,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+  FROM sized GROUP BY source),
+caps AS (SELECT *, source_size * 2.0::DOUBLE AS cap FROM sources),
+levels AS (
+  SELECT *, (sum(source_size) OVER ()::DOUBLE * 1.5::DOUBLE
+             - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / (sum(weight) OVER ()
+             - coalesce(sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+  FROM caps),
+free AS (SELECT arg_min(level, cap / weight) AS rest FROM levels WHERE cap > weight * level),
+targets AS (
+  SELECT source, source_size, CASE WHEN cap <= weight * level THEN cap ELSE weight * rest END AS target
+  FROM levels LEFT JOIN free ON true),
+ranked AS (
+  SELECT doc_id, size, source_size, target,
+         CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole,
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS wanted,
+         sum(size) OVER (PARTITION BY d.source ORDER BY u RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::DOUBLE AS upto,
+         sum(size) OVER (PARTITION BY d.source, u)::DOUBLE AS tied
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (whole + CASE WHEN wanted > whole AND upto - tied / 2.0::DOUBLE <= target - whole * source_size THEN 1 ELSE 0 END)::BIGINT * size AS taken
+FROM ranked""",
+    "op9_url_filter": r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(CASE WHEN instr(url, '://') > 0 THEN regexp_extract(substr(url, instr(url, '://') + 3), '(?s)^([^/?#]*)', 1) ELSE '' END,
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         CASE WHEN instr(url, '://') > 0 THEN regexp_extract(substr(url, instr(url, '://') + 3), '(?s)^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+rules(verdict, rule_host, rule_path) AS (
+  VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('block', 'net', '/de/'), ('allow', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+fits AS (
+  SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM parts) p
+  JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY host, path)
+SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path""",
+}
