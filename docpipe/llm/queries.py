@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .language_id import identify_languages
 from .lm_scoring import score_documents
 from .mixing import mix_sources
 from .simhash import hexadecimal, near_duplicates
+from .toxicity import score_toxicity
 from .url_filter import filter_urls
 
 
@@ -29,6 +31,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -37,6 +47,8 @@ QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op5_language_id": op5_language_id,
+    "op7_toxicity": op7_toxicity,
     "op9_url_filter": op9_url_filter,
 }
 
