@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .html_extract import extract_pages
 from .language_id import identify_languages
 from .lm_scoring import score_documents
 from .mixing import mix_sources
@@ -35,6 +36,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -48,6 +53,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op5_language_id": op5_language_id,
+    "op6_html_extract": op6_html_extract,
     "op7_toxicity": op7_toxicity,
     "op9_url_filter": op9_url_filter,
 }
