@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import crc_mod, cut, digest_sample, mix, utf8
+from .shared import choose, crc_mod, cut, digest_at, digest_limits, mix, utf8
 
 _U = np.uint64
 _MARK = "▁"
@@ -207,8 +207,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary_path
     in the order of a digest of the id.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    langs = [r[0] for r in rows.select(F.col(lang).cast("string")).distinct().collect()]
-    sample, seen = digest_sample(rows, doc_id, text, F.col(lang).cast("string"), sample_mb * 1_000_000 // max(len(langs), 1))
+    kind, size = F.col(lang).cast("string"), F.octet_length(F.col(text)).cast("long")
+    langs = rows.select(kind).distinct().count()
+    budget = sample_mb * 1_000_000 // max(langs, 1)
+    limit, seen = digest_limits(rows.select(F.col(doc_id).alias("_id"), kind.alias("_kind"), size.alias("_size")), budget)
+    sample = rows.where((size <= budget // 16) & (digest_at(F.col(doc_id)) < choose(kind, limit, 0.0)))
     pieces = Pieces(vocabulary(vocabulary_path))
     counted = cut(word_counts(sample, text, lang))
     least = {}

@@ -89,24 +89,30 @@ def groups_for(df: DataFrame, text: str = "text", group_mb: int = 24, least: int
     return int(max(least, -(-total // (group_mb << 20))))
 
 
-def digest_sample(rows: DataFrame, doc_id: str, text: str, kind: Column, budget: int) -> tuple[DataFrame, dict]:
-    """Whole texts of each kind, ``budget`` bytes a kind at most, and the rows of each kind.
+def digest_at(doc_id: Column) -> Column:
+    """Place of an id in the order of digests, from 0 to 1."""
+    return F.xxhash64(doc_id, F.lit("sample")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
 
-    Rows come in the order of a digest of their id. Where that order is cut is found from
-    byte counts of at most 4096 digest ranges a kind, over all rows, so nothing but the
-    sample ever travels. A text above a sixteenth of the budget is not sampled.
+
+def choose(kind: Column, by: dict, none: float) -> Column:
+    """The number that ``by`` has for a kind."""
+    return F.coalesce(*(F.when(kind == F.lit(k), F.lit(float(v))) for k, v in by.items()), F.lit(none))
+
+
+def digest_limits(slim: DataFrame, budget: int) -> tuple[dict, dict]:
+    """For each kind: up to which ``digest_at`` texts fit in ``budget`` bytes, and its rows.
+
+    ``slim`` has a row for each text: _id, _kind, _size. Limits come from byte counts of at
+    most 4096 digest ranges a kind, over all rows. Texts above a sixteenth of the budget
+    do not count: a sample must leave them out.
     """
-    at = F.xxhash64(F.col(doc_id), F.lit("sample")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
-    size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
-    marked = rows.withColumns({"_kind": kind, "_at": at, "_size": size}).where(F.col("_kind").isNotNull())
-    facts = marked.groupBy("_kind").agg(F.sum("_size").alias("bytes"), F.count("*").alias("n")).collect()
-    if not facts:
-        return rows.where(F.lit(False)), {}
+    facts = slim.where(F.col("_kind").isNotNull()).groupBy("_kind").agg(F.sum("_size").alias("bytes"), F.count("*").alias("n")).collect()
     share = {r["_kind"]: min(1.0, 1.5 * budget / max(r["bytes"], 1)) for r in facts}
-    case = lambda by, none: F.coalesce(*(F.when(F.col("_kind") == k, F.lit(float(v))) for k, v in by.items()), F.lit(none))
-    part = F.floor(F.col("_at") / case(share, 1.0) * 4096).cast("int")
-    small = marked.where(F.col("_size") <= budget // 16)
-    ranges = small.where(F.col("_at") < case(share, 0.0)).groupBy("_kind", part.alias("part")).agg(F.sum("_size").alias("bytes")).collect()
+    if not facts:
+        return {}, {}
+    at, kind = digest_at(F.col("_id")), F.col("_kind")
+    small = slim.where((F.col("_size") <= budget // 16) & (at < choose(kind, share, 0.0)))
+    ranges = small.groupBy("_kind", F.floor(at / choose(kind, share, 1.0) * 4096).cast("int").alias("part")).agg(F.sum("_size").alias("bytes")).collect()
     limit = {}
     for k in share:
         room, limit[k] = budget, 0.0
@@ -115,7 +121,7 @@ def digest_sample(rows: DataFrame, doc_id: str, text: str, kind: Column, budget:
             if room < 0:
                 break
             limit[k] = (r["part"] + 1) / 4096 * share[k]
-    return small.where(F.col("_at") < case(limit, 0.0)).drop("_kind", "_at", "_size"), {r["_kind"]: r["n"] for r in facts}
+    return limit, {r["_kind"]: r["n"] for r in facts}
 
 
 # --- tokens ------------------------------------------------------------------

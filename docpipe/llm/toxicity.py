@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import _LOWER, _SPACE, _powers, crc_mod, digest_sample, mix, utf8
+from .shared import _LOWER, _SPACE, _powers, choose, crc_mod, cut, digest_at, digest_limits, mix, utf8
 
 _U = np.uint64
 ORDERS = (3, 4, 5, 6, 8)
@@ -130,8 +130,14 @@ def sample_rows(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str,
     """Whole labelled texts, ``sample_mb`` MB at most, half from each class where it has as
     many, and the share of ones among all labelled rows."""
     marked = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where("_y in (0, 1)").groupBy("_id").agg(F.max("_y").alias("_y"))
-    rows = docs.where(train).select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t")).join(marked, "_id")
-    sample, n = digest_sample(rows, "_id", "_t", F.col("_y"), sample_mb * 500_000)
+    budget = sample_mb * 500_000
+    rows = docs.where(train).select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"))
+    # ids and sizes alone meet the labels; texts are read again for the sample
+    slim = cut(rows.select("_id", F.octet_length("_t").cast("long").alias("_size")).join(marked, "_id").select("_id", "_size", F.col("_y").alias("_kind")))
+    limit, n = digest_limits(slim, budget)
+    within = F.col("_size") <= budget // 16
+    chosen = cut(slim.where(within & (digest_at(F.col("_id")) < choose(F.col("_kind"), limit, 0.0))).select("_id", F.col("_kind").alias("_y")).distinct()) if limit else slim.select("_id", F.col("_kind").alias("_y"))
+    sample = rows.join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, "_id").where(F.octet_length("_t") <= budget // 16)
     got = sample.select("_id", "_y", "_t").toArrow().sort_by([("_id", "ascending"), ("_t", "ascending")])
     return [t.encode() for t in got["_t"].to_pylist()], np.array(got["_y"].to_pylist(), int), n.get(1, 0) / max(sum(n.values()), 1)
 
