@@ -10,6 +10,7 @@ from .language_id import identify_languages
 from .lm_scoring import score_documents
 from .mixing import mix_sources
 from .simhash import hexadecimal, near_duplicates
+from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity
 from .url_filter import filter_urls
 
@@ -44,6 +45,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_substrings(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -55,6 +61,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_html_extract": op6_html_extract,
     "op7_toxicity": op7_toxicity,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filter": op9_url_filter,
 }
 

@@ -161,12 +161,15 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of a column of texts: 64-bit hashes, byte spans and words per text."""
+    """Words of a column of texts: 64-bit hashes, byte spans and words per text.
 
-    def __init__(self, column, lower: bool = True):
+    ``breaks`` tells for each of 256 bytes whether it stands between words.
+    """
+
+    def __init__(self, column, lower: bool = True, breaks: np.ndarray = _SPACE):
         buf, off = utf8(column)
         buf = _LOWER[buf] if lower else buf
-        word = ~_SPACE[buf]
+        word = ~breaks[buf]
         before, after = np.zeros_like(word), np.zeros_like(word)
         before[1:], after[:-1] = word[:-1], word[1:]
         edges = off[(off > 0) & (off < len(buf))]
