@@ -1,17 +1,84 @@
-"""Corpus pipeline: stages that turn the documents table into a training mix."""
+"""Corpus pipeline: from the documents table to a training mix.
+
+Each stage takes the rows that its predecessor kept and returns the columns of documents;
+the last one adds what the mix takes of each row. An id names a document: rows that share
+one are one document's repeated rows, of which near-duplicate removal keeps one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docpipe.llm.decontaminate import overlaps
+from docpipe.llm.mixing import mix_sources
+from docpipe.llm.shared import cut
+from docpipe.llm.simhash import near_duplicates
+from docpipe.llm.substring_dedup import dedup_substrings
+from docpipe.llm.toxicity import scorer, train_model
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents whose toxicity score is 0.5 or more."""
+    model = train_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.where(scorer(model)(F.col("text")) < 0.5)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates: the one of smallest id.
+
+    A document whose id is null cannot be the smallest; one stays if its group has no other.
+    """
+    of = near_duplicates(docs)
+    kept = of.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    if not docs.where("doc_id is null").limit(1).count():
+        return named.select(docs.columns)
+    rest = docs.where("doc_id is null").join(of.where("component_id is null").limit(1), F.lit(True), "left_semi").dropDuplicates(["text"])
+    return named.select(docs.columns).union(rest.select(docs.columns))
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove passages that start earlier in the corpus.
+
+    A document that loses words keeps the others, one blank between; one that loses all
+    its words goes; any other keeps its text as it is.
+    """
+    found = dedup_substrings(docs, carry=docs.columns)
+    found = found.where((F.col("n_removed") == 0) | (F.col("kept_text") != ""))
+    text = F.when(F.col("n_removed") == 0, F.col("rest.text")).otherwise(F.col("kept_text"))
+    new = {"text": text, "n_chars": F.when(F.col("n_removed") == 0, F.col("rest.n_chars")).otherwise(F.length("kept_text").cast("long"))}
+    return found.select(*(new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents that overlap a benchmark item."""
+    hit = overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").where("doc_id is not null").distinct()
+    hit = cut(hit)
+    few = hit.count() <= 1_000_000  # ids of eight bytes each
+    return docs.join(F.broadcast(hit) if few else hit, "doc_id", "left_anti").select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document left."""
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "copies", "taken")
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
+    ("repeated passages", cut_repeated_passages),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix),
+]
 
-#: The stages hold fitted models and graph components, which SQL cannot express.
+#: The stages hold a fitted model and graph components, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import embedding_dedup
+from .decontaminate import overlaps
 from .html_extract import extract_pages
 from .language_id import identify_languages
 from .lm_scoring import score_documents
@@ -33,6 +35,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
@@ -54,15 +60,21 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_language_id": op5_language_id,
     "op6_html_extract": op6_html_extract,
     "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
