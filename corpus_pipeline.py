@@ -27,14 +27,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one of smallest id.
 
-    A document whose id is null cannot be the smallest; one stays if its group has no other.
+    Rows with a null id cannot be told apart: of those with equal texts one stays.
     """
     of = near_duplicates(docs)
     kept = of.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     if not docs.where("doc_id is null").limit(1).count():
         return named.select(docs.columns)
-    rest = docs.where("doc_id is null").join(of.where("component_id is null").limit(1), F.lit(True), "left_semi").dropDuplicates(["text"])
+    rest = docs.where("doc_id is null").dropDuplicates(["text"])
     return named.select(docs.columns).union(rest.select(docs.columns))
 
 
