@@ -49,7 +49,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), tot
     weight = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     level = weighed.withColumn("level", left / weight)
     stops = level.withColumn("stops", F.col("cap") <= F.col("weight") * F.col("level"))
-    rest = F.min(F.when(~F.col("stops"), F.struct(F.col("cap") / F.col("weight"), "source", "level"))).over(everything)["level"]
+    # past the first source that does not stop the level only falls
+    rest = F.max(F.when(~F.col("stops"), F.col("level"))).over(everything)
     return stops.select("source", "source_size", F.when(F.col("stops"), F.col("cap")).otherwise(F.col("weight") * rest).alias("target"))
 
 

@@ -94,7 +94,7 @@ levels AS (
             / (sum(weight) OVER ()
              - coalesce(sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
   FROM caps),
-free AS (SELECT arg_min(level, cap / weight) AS rest FROM levels WHERE cap > weight * level),
+free AS (SELECT max(level) AS rest FROM levels WHERE cap > weight * level),
 targets AS (
   SELECT source, source_size, CASE WHEN cap <= weight * level THEN cap ELSE weight * rest END AS target
   FROM levels LEFT JOIN free ON true),
