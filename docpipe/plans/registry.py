@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import cases, queries
+
 FLAGSHIP = "order_doc_roundtrip"
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = queries.QUERIES | {name: cases.query(name) for name in cases.CASES}
+ORACLE_SQL = queries.ORACLE_SQL | {name: cases.oracle(name) for name in cases.CASES}
