@@ -12,7 +12,7 @@ from ..sources.files import file_stem
 
 def read_stream(spark: SparkSession, directory: str, glob: str = "*.txt", files_per_trigger: int = 1000) -> DataFrame:
     """Text files as they arrive: doc_id, text, status, arrived."""
-    rows = spark.readStream.option("wholetext", True).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_trigger).text(directory)
+    rows = spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_trigger).text(directory, wholetext=True)
     path = F.col("_metadata.file_path")
     return rows.select(file_stem(path).alias("doc_id"), F.col("value").alias("text"), F.lit("extracted").alias("status"), F.col("_metadata.file_modification_time").alias("arrived"))
 
