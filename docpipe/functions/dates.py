@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..schemas import let
 from .text import digits, strip
 
 # Fixed values.
@@ -55,7 +56,7 @@ def _tried(c: Column, formats: list[tuple[str, tuple[int, int, int], bool, bool]
     found = []
     for pattern, order, two, named in formats:
         p = parts(c, pattern, order, (lambda y: century(y, 68)) if two else None, month_number if named else None)
-        found.append(F.when(is_calendar_date(p), p))
+        found.append(let(p, lambda x: F.when(is_calendar_date(x), x)))
     return F.coalesce(*found)
 
 
@@ -68,13 +69,19 @@ _YMD = [rf"^(\d{{4}}){s}(\d{{1,2}}){s}(\d{{1,2}})$" for s in ("-", "/")]
 
 def normalize_worklist_date(c: Column) -> Column:
     """Ten formats in order; null if none fits (nothing is guessed)."""
-    c = strip(c)
+    return let(strip(c), _worklist_date)
+
+
+def _worklist_date(c: Column) -> Column:
     return _tried(c, [*((p, (1, 2, 3), False, False) for p in _MDY), *((p, (1, 2, 3), True, False) for p in _MDYY), *((p, (2, 3, 1), False, False) for p in _YMD), (_FULL, (1, 2, 3), False, True), (_SHORT, (1, 2, 3), False, True)])
 
 
 def normalize_backfill_date(c: Column) -> Column:
     """Six formats in order; empty if none fits."""
-    c = strip(c)
+    return let(strip(c), _backfill_date)
+
+
+def _backfill_date(c: Column) -> Column:
     day_first = r"(?i)^(\d{1,2})-(" + "|".join(m[:3] for m in MONTHS) + r")-(\d{4})$"
     found = _tried(c, [(_MDY[0], (1, 2, 3), False, False), (_MDY[1], (1, 2, 3), False, False), (_YMD[0], (2, 3, 1), False, False), (_MDYY[0], (1, 2, 3), True, False), (_MDYY[1], (1, 2, 3), True, False), (day_first, (2, 1, 3), False, True)])
     return F.coalesce(found, F.lit(""))
@@ -82,18 +89,24 @@ def normalize_backfill_date(c: Column) -> Column:
 
 def normalize_extracted_date(c: Column) -> Column:
     """Time cut off; month names and numeric dates padded, the calendar not asked (years below 50 are 20xx); else as it is."""
-    c = F.regexp_replace(c, r"(?s)\s+\d{1,2}:\d{2}.*", "")
+    return let(F.regexp_replace(c, r"(?s)\s+\d{1,2}:\d{2}.*", ""), _extracted_date)
+
+
+def _extracted_date(c: Column) -> Column:
     named = parts(c, r"(?i)^(" + "|".join(MONTHS) + r")\s+(\d{1,2}),\s+(\d{4})$", (1, 2, 3), month=month_number)
     full = parts(c, r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})", (1, 2, 3))
     short = parts(c, r"^(\d{1,2})[/-](\d{1,2})[/-](\d{2})$", (1, 2, 3), lambda y: century(y, 49))
-    return F.coalesce(F.when(is_calendar_date(named), named), full, short, c, F.lit(""))
+    return F.coalesce(let(named, lambda x: F.when(is_calendar_date(x), x)), full, short, c, F.lit(""))
 
 
 def standardize_date(c: Column) -> Column:
     """Seven patterns anywhere in the string, each checked with the calendar (years to 30 are 20xx), then three bare numbers; else empty."""
     t = strip(c)
     t = F.regexp_replace(t, r"(?i)^(DOB|Date of Birth|Born|Birthday):\s*", "")
-    t = F.regexp_replace(t, r"(?i)\s*(years? old|age \d+).*$", "")
+    return let(F.regexp_replace(t, r"(?i)\s*(years? old|age \d+).*$", ""), _standard_date)
+
+
+def _standard_date(t: Column) -> Column:
     full, short = "|".join(MONTHS), "|".join(m[:3] for m in MONTHS)
     year = lambda y: century(y, 30)
     tries = [
@@ -105,14 +118,16 @@ def standardize_date(c: Column) -> Column:
         parts(t, rf"(?i)(\d{{1,2}})\s+({full})\s+(\d{{4}})", (2, 1, 3), month=month_number),
         parts(t, rf"(?i)(\d{{1,2}})\s+({short})\w*\s+(\d{{4}})", (2, 1, 3), month=month_number),
     ]
-    n = F.regexp_extract_all(t, F.lit(r"\d+"), F.lit(0))
-    guess = F.when((F.size(n) == 3) & (F.length(F.get(n, 0)) <= 2) & (F.length(F.get(n, 1)) <= 2), F.when(F.length(F.get(n, 2)) == 4, mdy(F.get(n, 0), F.get(n, 1), F.get(n, 2))).when(F.length(F.get(n, 2)) == 2, mdy(F.get(n, 0), F.get(n, 1), year(F.get(n, 2)))))
-    return F.coalesce(*(F.when(is_calendar_date(x), x) for x in (*tries, guess)), F.lit(""))
+    guess = let(F.regexp_extract_all(t, F.lit(r"\d+"), F.lit(0)), lambda n: F.when((F.size(n) == 3) & (F.length(F.get(n, 0)) <= 2) & (F.length(F.get(n, 1)) <= 2), F.when(F.length(F.get(n, 2)) == 4, mdy(F.get(n, 0), F.get(n, 1), F.get(n, 2))).when(F.length(F.get(n, 2)) == 2, mdy(F.get(n, 0), F.get(n, 1), year(F.get(n, 2))))))
+    return F.coalesce(*(let(p, lambda x: F.when(is_calendar_date(x), x)) for p in (*tries, guess)), F.lit(""))
 
 
 def normalize_match_date(c: Column) -> Column:
     """For comparison only: eight digits are MMDDYYYY, six MMDDYY (years to 50 are 20xx), else a numeric date anywhere."""
-    d = digits(c)
+    return let(c, lambda x: let(digits(x), lambda d: _match_date(x, d)))
+
+
+def _match_date(c: Column, d: Column) -> Column:
     year = lambda y: F.when(F.length(y) == 2, century(y, 50)).otherwise(y)
     cut_up = lambda n: F.concat(F.substring(d, 1, 2), F.lit("/"), F.substring(d, 3, 2), F.lit("/"), year(F.substring(d, 5, n)))
     loose = parts(c, r"(\d{1,2})[/\-.](\d{1,2})[/\-.](\d{2,4})", (1, 2, 3), year)
@@ -137,9 +152,12 @@ def all_dates(c: Column, kinds: tuple[str, ...] = ("numeric",)) -> Column:
 
 def best_episode_pair(dates: Column) -> Column:
     """Struct (start, end) of the pair 40 to 120 days apart that is nearest 60 days, the earliest on ties."""
+    return let(dates, _best_pair)
+
+
+def _best_pair(dates: Column) -> Column:
     pairs = F.flatten(F.transform(dates, lambda a: F.transform(F.filter(dates, lambda b: F.datediff(b, a).between(40, 120)), lambda b: F.struct(F.abs(F.datediff(b, a) - 60).alias("off"), a.alias("start"), b.alias("end")))))
-    best = F.array_min(pairs)
-    return F.when(best.isNotNull(), F.struct(F.date_format(best["start"], "MM/dd/yyyy").alias("start"), F.date_format(best["end"], "MM/dd/yyyy").alias("end")))
+    return let(F.array_min(pairs), lambda best: F.when(best.isNotNull(), F.struct(F.date_format(best["start"], "MM/dd/yyyy").alias("start"), F.date_format(best["end"], "MM/dd/yyyy").alias("end"))))
 
 
 def age(dob: Column, as_of: Column) -> Column:

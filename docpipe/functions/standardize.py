@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import blank, or_empty
+from ..schemas import blank, let, or_empty
 from .text import capitalize, digits, squeeze, strip, title
 
 # Fixed values.
@@ -38,7 +38,10 @@ def gender_from_name(c: Column, male=COMMON_MALE, female=COMMON_FEMALE) -> Colum
 
 
 def phone(c: Column) -> Column:
-    d = digits(c)
+    return let(c, lambda x: let(digits(x), lambda d: _phone(x, d)))
+
+
+def _phone(c: Column, d: Column) -> Column:
     d = F.when((F.length(d) == 11) & d.startswith("1"), F.substring(d, 2, 10)).otherwise(d)
     form = F.concat(F.lit("("), F.substring(d, 1, 3), F.lit(") "), F.substring(d, 4, 3), F.lit("-"), F.substring(d, 7, 4))
     return or_empty(F.when(F.length(d) == 10, form).otherwise(strip(c)))
@@ -73,7 +76,7 @@ def name(c: Column) -> Column:
         return F.when(F.upper(w).isin(*GENERATIONS), F.upper(w)).when(low.startswith("mc") & (F.length(w) > 2), F.concat(F.lit("Mc"), rest)).when(low.startswith("o'") & (F.length(w) > 2), F.concat(F.lit("O'"), rest)).otherwise(capitalize(w))
 
     t = squeeze(F.regexp_replace(c, r"(?U)[^\w\s\-']", " "))
-    return or_empty(F.when(t == "", "").otherwise(F.array_join(F.transform(F.split(t, " "), one), " ")))
+    return or_empty(F.array_join(F.transform(F.split(t, " "), one), " "))
 
 
 def mrn(c: Column) -> Column:
@@ -105,8 +108,11 @@ def split_worklist_name(c: Column) -> Column:
 
 def split_full_name(c: Column) -> Column:
     """Struct first_name, last_name from 'Last, First M' or 'First ... Last'; case is kept."""
-    n = strip(c)
-    words = F.split(squeeze(c), " ")
+    return let(strip(c), _full_name)
+
+
+def _full_name(n: Column) -> Column:
+    words = F.split(squeeze(n), " ")
     comma = F.contains(n, F.lit(","))
     rest = squeeze(F.regexp_extract(n, r"(?s)^[^,]*,(.*)$", 1))
     first = F.when(comma, F.get(F.split(rest, " "), F.lit(0))).otherwise(F.get(words, F.lit(0)))

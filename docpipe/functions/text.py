@@ -112,7 +112,14 @@ def length_quality(c: Column) -> Column:
 
 def quality(c: Column) -> Column:
     """0 to 1 from the shares of letters, digits, blanks and punctuation, and the length."""
-    t = strip(F.coalesce(c, F.lit("")))
+    return _let(strip(F.coalesce(c, F.lit(""))), _quality)
+
+
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _quality(t: Column) -> Column:
     n = F.length(t)
     share = lambda keep: F.length(F.regexp_replace(t, rf"(?U)[^{keep}]", "")) / n
     letters, figures, blanks = share(r"\p{L}"), share(r"\p{Nd}"), share(r"\s")
@@ -126,7 +133,7 @@ def quality(c: Column) -> Column:
 
 def distinct_line_share(c: Column) -> Column:
     lines = F.filter(F.transform(F.split(c, "\n", -1), strip), lambda x: x != "")
-    return F.when(F.size(lines) > 0, F.size(F.array_distinct(lines)) / F.size(lines))
+    return _let(lines, lambda x: F.when(F.size(x) > 0, F.size(F.array_distinct(x)) / F.size(x)))
 
 
 def looks_scanned(c: Column) -> Column:

@@ -19,8 +19,7 @@ LINES, DOT = "(?imd)", "(?imsd)"
 
 def capture(text: Column, pattern: str, group: int = 1, flags: str = LINES) -> Column:
     """A group of the first match without outer white space; null without a match or when empty."""
-    got = strip(F.regexp_extract(text, flags + pattern, group))
-    return F.when(got != "", got)
+    return F.nullif(strip(F.regexp_extract(text, flags + pattern, group)), F.lit(""))
 
 
 def first_match(text: Column, patterns: Sequence[str], flags: str = LINES, valid: Callable[[Column], Column] | None = None, post: Callable[[Column], Column] | None = None) -> Column:

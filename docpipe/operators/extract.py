@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, patterns, standardize, text, validate
-from ..schemas import DIAGNOSIS, ORDER, PATIENT, or_empty, record, settle
+from ..schemas import DIAGNOSIS, ORDER, PATIENT, let, or_empty, record, settle
 from .cascade import LINES, capture, first_match, first_pair
 
 # Fixed values.
@@ -35,12 +35,16 @@ def gender(t: Column) -> Column:
     found = []
     for p in patterns.GENDER:
         whole = F.regexp_extract(t, LINES + p, 0)
-        at = F.regexp_instr(t, F.lit(LINES + p))
-        near = F.substring(t, F.greatest(at - 20, F.lit(1)), F.length(whole) + 20 + F.least(at - 1, F.lit(20)))
+        near = _around(t, whole, p)
         found.append(F.struct(F.upper(capture(t, p)).alias("value"), near.alias("near")))
     good = F.filter(F.array(*found), lambda x: x["value"].isNotNull() & validate.gender(x["value"]) & ~validate.is_form_label(x["near"]))
-    first = F.substring(F.get(good, F.lit(0))["value"], 1, 1)
-    return F.when(first == "M", "MALE").when(first == "F", "FEMALE").otherwise("")
+    return let(F.substring(F.get(good, F.lit(0))["value"], 1, 1), lambda first: F.when(first == "M", "MALE").when(first == "F", "FEMALE").otherwise(""))
+
+
+def _around(t: Column, whole: Column, pattern: str) -> Column:
+    """A match with up to 20 characters on either side."""
+    at = F.regexp_instr(t, F.lit(LINES + pattern))
+    return let(at, lambda k: F.substring(t, F.greatest(k - 20, F.lit(1)), F.length(whole) + 20 + F.least(k - 1, F.lit(20))))
 
 
 def gender_with_name(t: Column, first_name: Column) -> Column:
@@ -75,10 +79,8 @@ def start_of_care(t: Column) -> Column:
 
 def certification_period(t: Column, kinds: tuple[str, ...] = ("numeric",), soc: Column | None = None) -> Column:
     """Struct (start, end): a stated period, else the likeliest pair of dates, else 60 days from the start of care."""
-    stated = first_pair(t, patterns.CERT_PERIOD)
-    stated = F.when(stated.isNotNull(), F.struct(dates.normalize_extracted_date(stated["first"]).alias("start"), dates.normalize_extracted_date(stated["second"]).alias("end")))
-    soc = start_of_care(t) if soc is None else soc
-    from_soc = F.when(dates.is_calendar_date(soc), F.struct(dates.add_days(soc, 0).alias("start"), dates.add_days(soc, PLAN_DAYS).alias("end")))
+    stated = let(first_pair(t, patterns.CERT_PERIOD), lambda x: F.when(x.isNotNull(), F.struct(dates.normalize_extracted_date(x["first"]).alias("start"), dates.normalize_extracted_date(x["second"]).alias("end"))))
+    from_soc = let(start_of_care(t) if soc is None else soc, lambda x: F.when(dates.is_calendar_date(x), F.struct(dates.add_days(x, 0).alias("start"), dates.add_days(x, PLAN_DAYS).alias("end"))))
     none = F.struct(F.lit("").alias("start"), F.lit("").alias("end"))
     return F.coalesce(stated, dates.best_episode_pair(dates.all_dates(t, kinds)), from_soc, none)
 
@@ -111,9 +113,15 @@ def _pad_zip(z: Column) -> Column:
 
 def city_state_zip(addr: Column, whole: Column) -> Column:
     """Struct city, state, zip_code from an address's end, blanks filled from anywhere in the text."""
-    a = text.squeeze(addr)
+    return let(text.squeeze(addr), lambda a: let(_city_words(a), lambda words: _place(a, words, whole)))
+
+
+def _city_words(a: Column) -> Column:
+    return F.filter(F.split(text.title(text.strip(F.regexp_extract(a, CITY_END, 1))), r"\s+"), lambda w: (w != "") & ~w.isin(*STREET_WORDS))
+
+
+def _place(a: Column, words: Column, whole: Column) -> Column:
     ends = F.rlike(a, F.lit(CITY_END))
-    words = F.filter(F.split(text.title(text.strip(F.regexp_extract(a, CITY_END, 1))), r"\s+"), lambda w: (w != "") & ~w.isin(*STREET_WORDS))
     pair = (F.size(words) >= 2) & F.coalesce(F.try_element_at(words, F.lit(-2)).isin(*DIRECTIONS), F.lit(False))
     city = F.when(ends, F.when(pair, F.array_join(F.slice(words, F.size(words) - 1, 2), " ")).otherwise(or_empty(F.try_element_at(words, F.lit(-1))))).otherwise("")
     state = F.when(ends, F.upper(F.regexp_extract(a, CITY_END, 2))).otherwise("")
@@ -176,12 +184,13 @@ def diagnoses(t: Column) -> Column:
 
 
 def unique_or_primary(found: Column, t: Column) -> Column:
-    unique = dedup_by_code(found)
-    main = primary_diagnosis(t)
+    return let(dedup_by_code(found), lambda unique: F.when(F.size(unique) > 0, unique).otherwise(let(primary_diagnosis(t), _primary_only)))
+
+
+def _primary_only(main: Column) -> Column:
     version = F.when(F.rlike(main["icd_code"], F.lit("^[A-Z]")), "ICD-10").otherwise("ICD-9")
     only = F.struct(main["icd_code"].alias("diagnosis_code"), main["description"].alias("diagnosis_description"), F.lit("primary").alias("diagnosis_type"), version.alias("icd_version"))
-    fallback = F.when((main["icd_code"] != "") | (main["description"] != ""), F.array(only)).otherwise(F.array().cast(f"array<{DIAGNOSIS.simpleString()}>"))
-    return F.when(F.size(unique) > 0, unique).otherwise(fallback)
+    return F.when((main["icd_code"] != "") | (main["description"] != ""), F.array(only).cast(f"array<{DIAGNOSIS.simpleString()}>")).otherwise(F.array().cast(f"array<{DIAGNOSIS.simpleString()}>"))
 
 
 def with_records(rows: DataFrame, patient_text: str, order_text: str) -> DataFrame:

@@ -83,6 +83,11 @@ def with_fields(struct: Column, schema: T.StructType, changes: dict[str, Column]
     return F.struct(*((changes[f.name] if f.name in changes else struct[f.name]).alias(f.name) for f in schema.fields))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are computed once, however often later ones refer to them.
 
