@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, standardize, text, validate
 from ..operators import enhanced, extract
+from ..scratch import spread
 from ..sources import files
 
 
@@ -104,6 +105,7 @@ def query(name: str):
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+        orders = spread(orders)
         inputs = F.get(F.array(*(F.lit(i) for i, _ in rows)), F.pmod("o_orderkey", F.lit(len(rows))).cast("int"))
         # the input is settled before a long function refers to it many times
         settled = orders.select("o_orderkey", F.inline(F.array(F.struct(inputs.alias("input")))))

@@ -13,6 +13,7 @@ from ..functions import text as T
 from ..operators import extract, lookup, merge, report, resolve, score, validation
 from ..schemas import COMPLETENESS_COLUMNS, EXPORT_COLUMNS, ORDER, PATIENT, PATIENT_FIELDS, record, settle
 
+from ..scratch import spread
 from ..sources import files
 from . import pipeline
 
@@ -67,7 +68,7 @@ _PEOPLE = f"""people AS (
 
 
 def order_doc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = settle(order_documents(spark, sf_dir), {"clean": T.preprocess(F.col("text"))})
+    docs = settle(spread(order_documents(spark, sf_dir)), {"clean": T.preprocess(F.col("text"))})
     docs = settle(docs, {"sec": T.sections(F.col("clean"))})
     got = extract.with_records(docs.withColumns({"a": F.col("sec.HEADER"), "b": F.col("sec.ORDERS")}), "a", "b")
     p, o = F.col("patient"), F.col("order")
