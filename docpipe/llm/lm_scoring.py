@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, bounds, crc_mod, cut, groups_for, mix, planes, unplane
+from .shared import Words, crc_mod, cut, groups_for, mix, planes, slices, unplane
 
 _U = np.uint64
 _END = _U(0x2545F4914F6CDD1D)
@@ -89,17 +89,12 @@ def _ask(groups: int, buckets: int):
     def ask(table: pa.Table) -> pa.Table:
         g, p = _Group(table["text"]), table["p"][0].as_py()
         train = np.repeat(~np.asarray(table["held_out"]), g.n).astype(float)
-        out = {"bucket": [], "p": [], "words": [], "pairs": []}
-        cut_at = {}
+        out: dict[str, dict[int, bytes]] = {}
         for name, keys, at in (("words", g.uni, g.word_at), ("pairs", g.pair, g.pair_at)):
-            cut_at[name] = (keys, np.bincount(at, train, len(keys)).astype(_U), bounds(keys, buckets))
-        for b in range(buckets):
-            out["bucket"].append(b)
-            out["p"].append(p)
-            for name, (keys, n, edge) in cut_at.items():
-                s = slice(edge[b], edge[b + 1])
-                out[name].append(planes(keys[s]) + planes(n[s], _PLANES))
-        return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "p": pa.array(out["p"], pa.int32()), "words": pa.array(out["words"], pa.binary()), "pairs": pa.array(out["pairs"], pa.binary())})
+            n = np.bincount(at, train, len(keys)).astype(_U)
+            out[name] = {b: planes(keys[s]) + planes(n[s], _PLANES) for b, s in slices(keys, buckets)}
+        own = sorted(out["words"].keys() | out["pairs"].keys())
+        return pa.table({"bucket": pa.array(own, pa.int32()), "p": pa.array([p] * len(own), pa.int32()), **{k: pa.array([v.get(b, b"") for b in own], pa.binary()) for k, v in out.items()}})
 
     return ask
 

@@ -238,10 +238,17 @@ def unplane(data: bytes, n: int = 8) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's range begins and ends among sorted keys."""
-    lows = np.array([-(-(b << 64) // buckets) for b in range(1, buckets)], _U)
-    return np.concatenate([[0], np.searchsorted(keys, lows), [len(keys)]]).astype(np.int64)
+def slices(keys: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
+    """The buckets that own some of the sorted keys, each with its keys' place.
+
+    Buckets without keys are left out, so a group's entries never outnumber its keys,
+    however many buckets there are.
+    """
+    if not len(keys):
+        return []
+    owner = ((keys >> _U(32)) * _U(buckets)) >> _U(32)
+    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    return [(int(owner[i]), slice(int(i), int(j))) for i, j in zip(first, [*first[1:], len(keys)])]
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, bounds, groups_for, ngram_hashes, planes, signed, unplane
+from .shared import Words, groups_for, ngram_hashes, planes, signed, slices, unplane
 
 _U = np.uint64
 WIDTH, GRAM = 20, 8
@@ -84,9 +84,8 @@ class _Group:
 
 
 def _send(p: int, buckets: int, keys: np.ndarray, fields: list[tuple[np.ndarray, int]]) -> pa.Table:
-    edge = bounds(keys, buckets)
-    cut_at = [slice(edge[b], edge[b + 1]) for b in range(buckets)]
-    return pa.table({"bucket": pa.array(range(buckets), pa.int32()), "p": pa.array([p] * buckets, pa.int32()), "asked": pa.array([planes(keys[s]) + b"".join(planes(x[s], n) for x, n in fields) for s in cut_at], pa.binary())})
+    own = slices(keys, buckets)
+    return pa.table({"bucket": pa.array([b for b, _ in own], pa.int32()), "p": pa.array([p] * len(own), pa.int32()), "asked": pa.array([planes(keys[s]) + b"".join(planes(x[s], n) for x, n in fields) for _, s in own], pa.binary())})
 
 
 def _receive(blobs: list[bytes], widths: list[int]):
@@ -213,7 +212,7 @@ def _remove(width: int):
     return remove
 
 
-def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, width: int = WIDTH, group_mb: int = 24, least_groups: int = 64) -> DataFrame:
+def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, width: int = WIDTH, group_mb: int = 8, least_groups: int = 64) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (kept words, one blank between) of each row.
 
     A word goes if it is in a window of ``width`` words that also starts earlier: in a

@@ -20,14 +20,14 @@ def test_words_agree_with_the_pattern(texts):
         assert words.hashes[spans].tolist() == [shared.word_hash(w) for w in expected]
 
 
-def test_planes_round_trip_and_bounds():
+def test_planes_round_trip_and_slices():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2))
     assert (shared.unplane(shared.planes(keys)) == keys).all()
-    edge = shared.bounds(keys, 7)
-    assert edge[0] == 0 and edge[-1] == len(keys)
-    for b in range(7):
-        assert all(int(k) * 7 >> 64 == b for k in keys[edge[b] : edge[b + 1]])
+    parts = shared.slices(keys, 7)
+    assert [k for _, s in parts for k in keys[s].tolist()] == keys.tolist()
+    assert [b for b, _ in parts] == sorted({(int(k) >> 32) * 7 >> 32 for k in keys})
+    assert shared.slices(keys[:0], 7) == [] and len(shared.slices(keys[:3], 1 << 20)) == 3
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
