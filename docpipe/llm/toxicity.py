@@ -82,7 +82,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
-def fit(texts: list[bytes], labels: np.ndarray, rate: float | None = None, alpha: float = 1.0, least: float = 2.0, penalty: float = 30.0, rounds: int = 150, bits: int = BITS) -> Model:
+def fit(texts: list[bytes], labels: np.ndarray, rate: float | None = None, alpha: float = 1.0, least: float = 2.5, penalty: float = 10.0, rounds: int = 600, bits: int = BITS) -> Model:
     """Fit on (text, 0/1) rows; ``rate`` is the share of ones that the scores assume.
 
     Slots whose ratio is below ``least``, or which fewer than three texts have, weigh
