@@ -193,17 +193,19 @@ def _primary_only(main: Column) -> Column:
     return F.when((main["icd_code"] != "") | (main["description"] != ""), F.array(only).cast(f"array<{DIAGNOSIS.simpleString()}>")).otherwise(F.array().cast(f"array<{DIAGNOSIS.simpleString()}>"))
 
 
-def with_records(rows: DataFrame, patient_text: str, order_text: str) -> DataFrame:
+def with_records(rows: DataFrame, patient_text: str, order_text: str, with_diagnoses: bool = True) -> DataFrame:
     """Adds the records patient and order, each read from a text column.
 
     Values that others build on (the cleaned text, the name, the address) are settled
-    first. Diagnoses are read from the order's text as it is.
+    first. Diagnoses are read from the order's text as it is; they take most of the time
+    and can be left out (they are empty then).
     """
     rows = settle(rows, {"_p": text.clean_ascii(F.col(patient_text)), "_o": text.clean_ascii(F.col(order_text))})
     p, o = F.col("_p"), F.col("_o")
-    rows = settle(rows, {"_who": patient_name(p), "_addr": address(p), "_soc": start_of_care(o), "_main": primary_diagnosis(o), "_found": found_diagnoses(F.col(order_text))})
+    no_diagnoses = F.array().cast(f"array<{DIAGNOSIS.simpleString()}>")
+    rows = settle(rows, {"_who": patient_name(p), "_addr": address(p), "_soc": start_of_care(o), "_main": primary_diagnosis(o) if with_diagnoses else F.struct(F.lit("").alias("icd_code"), F.lit("").alias("description")), "_found": found_diagnoses(F.col(order_text)) if with_diagnoses else no_diagnoses})
     who, addr = F.col("_who"), F.col("_addr")
-    rows = settle(rows, {"_place": city_state_zip(addr, p), "_sex": gender_with_name(p, who["first_name"]), "_period": certification_period(o, soc=F.col("_soc")), "_listed": unique_or_primary(F.col("_found"), F.col(order_text))})
+    rows = settle(rows, {"_place": city_state_zip(addr, p), "_sex": gender_with_name(p, who["first_name"]), "_period": certification_period(o, soc=F.col("_soc")), "_listed": unique_or_primary(F.col("_found"), F.col(order_text)) if with_diagnoses else F.col("_found")})
     place, period = F.col("_place"), F.col("_period")
     of_patient = {"patient_fname": who["first_name"], "patient_lname": who["last_name"], "dob": dob(p), "patient_sex": F.col("_sex"), "ssn": ssn(p), "medical_record_no": mrn(p), "address": addr, "city": place["city"], "state": place["state"], "zip_code": place["zip_code"], "phone_number": phone_number(p), "provider_name": provider_name(p)}
     of_order = {"order_no": order_number(o), "order_date": order_date(o), "episode_start_date": period["start"], "episode_end_date": period["end"], "start_of_care": F.col("_soc"), "physician_name": physician_name(o), "ordering_facility": provider_name(o), "primary_diagnosis": F.col("_main.description"), "episode_diagnoses": F.col("_listed")}

@@ -70,7 +70,7 @@ _PEOPLE = f"""people AS (
 def order_doc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = settle(spread(order_documents(spark, sf_dir)), {"clean": T.preprocess(F.col("text"))})
     docs = settle(docs, {"sec": T.sections(F.col("clean"))})
-    got = extract.with_records(docs.withColumns({"a": F.col("sec.HEADER"), "b": F.col("sec.ORDERS")}), "a", "b")
+    got = extract.with_records(docs.withColumns({"a": F.col("sec.HEADER"), "b": F.col("sec.ORDERS")}), "a", "b", with_diagnoses=False)
     p, o = F.col("patient"), F.col("order")
     return got.select("doc_id", p["patient_lname"].alias("lname"), p["patient_fname"].alias("fname"), p["dob"].alias("dob"), p["patient_sex"].alias("sex"), p["medical_record_no"].alias("mrn"), p["phone_number"].alias("phone"), o["order_no"].alias("order_no"), o["order_date"].alias("order_date"), o["start_of_care"].alias("soc"), o["episode_start_date"].alias("episode_start"), o["episode_end_date"].alias("episode_end"))
 
