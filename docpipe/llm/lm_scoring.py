@@ -179,7 +179,7 @@ def _score(weights: np.ndarray, tokens: int, types: int, train_docs: int):
     return score
 
 
-def score_documents(docs: DataFrame, held_out: Column | None = None, deleted: Column | None = None, doc_id: str = "doc_id", text: str = "text", group_mb: int = 24, least_groups: int = 64) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column | None = None, deleted: Column | None = None, doc_id: str = "doc_id", text: str = "text", group_mb: int = 8, least_groups: int = 64) -> DataFrame:
     """log10 probability of every text under a model of the texts not held out.
 
     ``held_out`` marks rows that the model must not learn from (default: crc32 of the
