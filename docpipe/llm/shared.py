@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -256,6 +257,15 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.int64).view(_U) ^ _U(1 << 63)
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a worker's next tasks, or other workers, need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 # --- connected components ----------------------------------------------------
 
 

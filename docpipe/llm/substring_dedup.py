@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, groups_for, ngram_hashes, planes, signed, slices, unplane
+from .shared import Words, groups_for, ngram_hashes, planes, signed, slices, trim, unplane
 
 _U = np.uint64
 WIDTH, GRAM = 20, 8
@@ -108,6 +108,7 @@ def _tell(table: pa.Table, sizes: np.ndarray, flags: np.ndarray, kind: int) -> p
 def _ask_anchors(buckets: int, width: int):
     def ask(table: pa.Table) -> pa.Table:
         keys, n = np.unique(_Group(table, width).chosen, return_counts=True)
+        trim()
         return _send(table["_p"][0].as_py(), buckets, keys, [(n.astype(_U), 5)])
 
     return ask
@@ -130,7 +131,10 @@ def _ask_windows(buckets: int, width: int):
             return pa.table({"bucket": pa.array([], pa.int32()), "p": pa.array([], pa.int32()), "asked": pa.array([], pa.binary())})
         g = _Group(table, width)
         keys, first, _ = g.windows(g.recurring_anchors(_answers(told, 1)))
-        return _send(key[0].as_py(), buckets, keys, [(g.ids[g.doc[first]], 8), (g.start[first].astype(_U), 5)])
+        out = _send(key[0].as_py(), buckets, keys, [(g.ids[g.doc[first]], 8), (g.start[first].astype(_U), 5)])
+        del g, keys, first
+        trim()
+        return out
 
     return ask
 
@@ -207,7 +211,10 @@ def _remove(width: int):
             texts.append(b" ".join(own).decode("utf-8", "replace"))
         rest = [g.table[c] for c in g.table.column_names if c not in ("_p", "_id", "_text")]
         names = [c for c in g.table.column_names if c not in ("_p", "_id", "_text")]
-        return pa.table([g.table["_id"], pa.array(g.words.counts.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(texts, pa.string()), *rest], names=["doc_id", "n_words", "n_removed", "kept_text", *names])
+        out = pa.table([g.table["_id"], pa.array(g.words.counts.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(texts, pa.string()), *rest], names=["doc_id", "n_words", "n_removed", "kept_text", *names])
+        del g, texts, gone, covered, recurs, later
+        trim()
+        return out
 
     return remove
 
