@@ -7,12 +7,13 @@ one are one document's repeated rows, of which near-duplicate removal keeps one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docpipe.llm.decontaminate import overlaps
 from docpipe.llm.mixing import mix_sources
-from docpipe.llm.shared import cut
+from docpipe.llm.near_copies import near_copies
+from docpipe.llm.shared import components, cut
 from docpipe.llm.simhash import near_duplicates
 from docpipe.llm.substring_dedup import dedup_substrings
 from docpipe.llm.toxicity import scorer, train_model
@@ -24,18 +25,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(scorer(model)(F.col("text")) < 0.5)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A 64-bit name of a row: rows of equal columns share it, ids or not."""
+    return F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one of smallest id.
 
-    Rows with a null id cannot be told apart: of those with equal texts one stays.
+    Linked are texts with fingerprints within two bits, and texts whose five-word shingles
+    have a Jaccard similarity of 0.8 or more. Rows with a null id are compared like any
+    other and stay only where their group has no id. Of several rows left with one id, and
+    of rows with a null id, the one of smallest row key stays.
     """
-    of = near_duplicates(docs)
-    kept = of.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    if not docs.where("doc_id is null").limit(1).count():
-        return named.select(docs.columns)
-    rest = docs.where("doc_id is null").dropDuplicates(["text"])
-    return named.select(docs.columns).union(rest.select(docs.columns))
+    rows = docs.withColumn("_row", row_key(docs))
+    of = cut(near_duplicates(rows, "_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("part")).distinct())
+    links = near_copies(rows, "_row")
+    a, b = (of.select(F.col("_row").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
+    moved = cut(components(links.join(a, "a").join(b, "b"), "part_a", "part_b"))
+    of = of.join(moved, of.part == moved.node, "left").select("_row", F.coalesce("component", "part").alias("part"))
+    ids = rows.select("_row", "doc_id").distinct()
+    best = ids.join(of, "_row").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best")).select("best.*")
+    named = best.where("not none").groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")
+    kept = cut(named.union(best.where("none").select("_row")))
+    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
