@@ -177,19 +177,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
         asked = rows.withColumn("doc", F.xxhash64("doc_id", "text"))
         left = asked.select("doc", "text").mapInArrow(seed_rows("doc", "text"), "seed long, doc long, doc_at int")
         right = keyed.select("item", "item_text").mapInArrow(seed_rows("item", "item_text"), "seed long, item long, item_at int").distinct()
-        hits = left.join(right, "seed").groupBy("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("offset")).agg(F.min("item_at").alias("place"))
+        hits = left.join(right, "seed").groupBy("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("offset")).agg(F.collect_set("item_at").alias("places"))
 
         def check(batches):
             for t in batches:
                 d, i = tokens(t["text"]), tokens(t["item_text"])
                 out = []
-                for k, (doc, item, offset, place) in enumerate(zip(*(t[c].to_pylist() for c in ("doc_id", "item_id", "offset", "place")))):
+                for k, (doc, item, offset, places) in enumerate(zip(*(t[c].to_pylist() for c in ("doc_id", "item_id", "offset", "places")))):
                     one, other = d.hashes[d.first[k] : d.first[k + 1]], i.hashes[i.first[k] : i.first[k + 1]]
-                    if ok := verify(one, other, offset, place, *limits):
-                        a, b, start, equal = ok
+                    for a, b, start, equal in {ok for place in places if (ok := verify(one, other, offset, place, *limits))}:
                         out.append((doc, item, equal, len(other), a, b, start))
                 yield table(out)
 
-        met = hits.join(asked, "doc").join(keyed, "item").select("doc_id", "item_id", "offset", "place", "text", "item_text").mapInArrow(check, found)
+        met = hits.join(asked, "doc").join(keyed, "item").select("doc_id", "item_id", "offset", "places", "text", "item_text").mapInArrow(check, found)
     best = F.max_by(F.struct("n_matched", "n_item", "doc_start", "doc_end", "item_start"), F.struct("n_matched", -F.col("doc_start"), -F.col("item_start"))).alias("best")
     return met.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")

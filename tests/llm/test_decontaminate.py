@@ -42,6 +42,17 @@ def test_both_joins_agree(spark):
     assert a == b and a
 
 
+@pytest.mark.parametrize("broadcast_mb", [32, -1])
+def test_two_matches_on_one_diagonal(spark, broadcast_mb):
+    item = [f"w{k}" for k in range(75)]
+    far = [*item[:5], *(f"x{k}" for k in range(40)), *item[45:]]
+    two = [*item[:20], *(f"y{k}" for k in range(25)), *item[45:]]
+    docs = spark.createDataFrame([(1, " ".join(far)), (2, " ".join(two)), (3, " ".join(far[:45]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    found = sorted(map(tuple, overlaps(docs, bench, broadcast_mb=broadcast_mb).collect()))
+    assert found == [(1, 9, 30, 75, 45, 75, 45), (2, 9, 30, 75, 45, 75, 45)]
+
+
 def test_empty_tables(spark, tables):
     docs, bench = tables
     for m in (32, -1):
