@@ -65,11 +65,12 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave out documents that overlap a benchmark item."""
-    hit = overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").where("doc_id is not null").distinct()
+    """Leave out rows whose text overlaps a benchmark item, with or without an id."""
+    rows = docs.withColumn("_row", row_key(docs))
+    hit = overlaps(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="_row").select(F.col("doc_id").alias("_row")).distinct()
     hit = cut(hit)
-    few = hit.count() <= 1_000_000  # ids of eight bytes each
-    return docs.join(F.broadcast(hit) if few else hit, "doc_id", "left_anti").select(docs.columns)
+    few = hit.count() <= 1_000_000  # keys of eight bytes each
+    return rows.join(F.broadcast(hit) if few else hit, "_row", "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,11 @@ def test_empty_documents(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_null_ids_are_decontaminated(spark, prose):
+    passage = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, passage), (None, prose(40)), (1, prose(40)), (2, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {(r.doc_id, r.text) for r in P.drop_contaminated(spark, docs, SF).collect()}
+    assert left == set(rows[1:3])
