@@ -110,10 +110,10 @@ SELECT doc_id, size, source_size, target,
 FROM ranked""",
     "op8_substring_dedup": r"""
 WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM texts WHERE len(words) >= 20),
-windows AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(list_slice(words, s, s + 19), ' ') ORDER BY doc_id, s) AS n FROM starts),
+each_word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i, len(words) AS n FROM texts),
+runs AS (SELECT doc_id, i AS s, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS run FROM each_word),
+windows AS (SELECT doc_id, s, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS n FROM runs WHERE s + 19 <= n),
 gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM windows WHERE n > 1),
-each_word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM texts),
 kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM each_word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT t.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
 FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id""",
