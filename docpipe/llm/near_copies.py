@@ -6,9 +6,11 @@ index over these first members are no near copies: no pair is lost. Members that
 texts of a sample have come last in that order, which keeps lists short. What a list
 proposes is filtered by sizes and positions and verified on the texts themselves.
 
-A list longer than ``list_limit`` first proposes only its neighbours in order of size.
-Members that these links leave in different components are then compared pair by pair,
-so long lists lose no link either, while a large group of copies stays linear.
+Only what connects is asked for, so each text is first verified against the one text that
+shares most lists with it. Pairs whose texts these links leave in different components are
+verified then. A list longer than ``list_limit`` at first proposes only its neighbours in
+order of size, and later those of its members that are still apart, pair by pair. So no
+link is lost, while a large group of copies stays linear.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, components, cut, digest_at, ngram_hashes, trim
+from .shared import Words, ascii_lower, components, cut, digest_at, ngram_hashes, trim
 
 _U = np.uint64
 #: Bytes of text sampled for the order of shingles, and most shingles that it knows of.
@@ -116,17 +118,11 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null and text is not null")
 
-    def name(batches):
-        for t in _parts(batches):
-            owner, h = sets(t["text"], width)
-            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-            whole = np.add.reduceat(h, first) if len(first) else h
-            yield pa.RecordBatch.from_arrays([t["id"].take(pa.array(owner[first])), pa.array(whole.view(np.int64))], names=["id", "whole"])
-
-    # equal sets: one of each goes on
-    named = cut(rows.mapInArrow(name, "id long, whole long"))
-    least = named.groupBy("whole").agg(F.min("id").alias("b"), F.max("id").alias("most")).where("b < most").select("whole", "b")
-    equal = cut(named.join(least, "whole").where("id <> b").select(F.col("id").alias("a"), "b").distinct())
+    # equal texts: one of each goes on
+    plain = ascii_lower(F.col("text"))
+    named = cut(rows.select("id", F.xxhash64(plain).alias("u"), F.xxhash64(plain, F.lit(1)).alias("v")))
+    least = named.groupBy("u", "v").agg(F.min("id").alias("b"), F.max("id").alias("most")).where("b < most").select("u", "v", "b")
+    equal = cut(named.join(least, ["u", "v"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct())
     gone = equal.select(F.col("a").alias("id"))
     rows = rows.join(F.broadcast(gone) if gone.count() <= 1_000_000 else gone, "id", "left_anti")
     known, often = _frequent(rows, width)
@@ -193,27 +189,25 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
             ok = both >= share * (np.bincount(owner, minlength=t.num_rows) - both) - _SLACK
             yield t.select(["a", "b"]).filter(pa.array(ok))
 
-    def parts(work):
-        """So few rows a task that small tables of long work are dealt to all cores."""
-        return max(1, -(-work.count() // 2000))
-
     def verified(pairs):
         wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         few = wanted.count() <= 1_000_000
-        texts = cut(rows.join(F.broadcast(wanted) if few else wanted, "id", "left_semi").dropDuplicates(["id"]))
+        texts = rows.join(F.broadcast(wanted) if few else wanted, "id", "left_semi").dropDuplicates(["id"])
         sides = [texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"]
         joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
-        return cut(joined.repartition(parts(pairs)).mapInArrow(verify, "a long, b long"))
+        return cut(joined.mapInArrow(verify, "a long, b long"))
 
     index = rows.mapInArrow(first_members, "token long, id long, size int, at int")
     index = index.repartition("token").sortWithinPartitions("token", "size", "id")
     proposed = cut(index.mapInArrow(propose, "token long, a long, b long, size int, at int"))
-    pairs = cut(proposed.where("b is not null").select("a", "b").distinct())
-    links = verified(pairs)
+    pairs = cut(proposed.where("b is not null").groupBy("a", "b").count())
+    best = cut(pairs.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a")))
+    links = verified(best)
+    part = cut(components(links))
+    of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
+    apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b")
     long = proposed.where("b is null").select("token", F.col("a").alias("id"), "size", "at")
-    if (n_parts := parts(long)) > 1 or long.limit(1).count():
-        part = components(links)
-        apart = long.join(part, long.id == part.node, "left").select("token", "id", "size", "at", F.coalesce("component", "id").alias("part"))
-        apart = apart.repartition(n_parts, "token").sortWithinPartitions("token", "size", "id").mapInArrow(propose_apart, "a long, b long").distinct()
-        links = links.union(verified(cut(apart.join(pairs, ["a", "b"], "left_anti"))))
-    return links.union(equal)
+    long = long.join(of("id"), "id", "left").select("token", "id", "size", "at", F.coalesce("part_id", "id").alias("part"))
+    long = long.repartition("token").sortWithinPartitions("token", "size", "id").mapInArrow(propose_apart, "a long, b long")
+    rest = cut(apart.union(long).distinct().join(best, ["a", "b"], "left_anti"))
+    return links.union(verified(rest)).union(equal)

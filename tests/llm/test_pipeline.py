@@ -5,7 +5,8 @@ import corpus_pipeline as P
 from docpipe.llm.decontaminate import overlaps
 from docpipe.llm.toxicity import score_toxicity
 
-from .test_simhash import plain_fingerprint, reach
+from .test_near_copies import groups, shingles
+from .test_simhash import plain_fingerprint
 from .test_substring_dedup import brute
 
 SF = "/root/testdata/sf0.001"
@@ -28,8 +29,11 @@ def test_each_stage_agrees_with_plain_python(spark, results):
     assert set(toxic.doc_id) == {i for i in start.doc_id if scores.predicted[i] == 0}
 
     ids = list(toxic.doc_id)
-    best = reach(ids, [plain_fingerprint(t) for t in toxic.text])
-    assert set(near.doc_id) == {i for k, i in enumerate(ids) if best[k] == i} and len(near) == near.doc_id.nunique()
+    fps, sets = [plain_fingerprint(t) for t in toxic.text], [shingles(t) for t in toxic.text]
+    # fingerprints within two bits, or five-word shingles with a Jaccard similarity of 0.8 or more
+    linked = lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 2 or (sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    best = groups(ids, [(ids[a], ids[b]) for b in range(len(ids)) for a in range(b) if linked(a, b)])
+    assert set(near.doc_id) == set(best.values()) and len(near) == near.doc_id.nunique()
 
     expected = {int(i): (n, kept) for i, _, n, kept in brute(list(zip(near.doc_id.tolist(), near.text)))}
     texts = dict(zip(near.doc_id, near.text))
