@@ -4,7 +4,8 @@ Every document is wanted ``target / size of its source`` times. The whole part o
 is allotted for certain. The rest is the inclusion probability of one more copy: within
 its source a document gets the rank of its random odds divided by its inclusion odds,
 and the lowest ranks are taken until the source's size, in words, is reached. A
-document's random number is a digest of its id, so a rerun takes the same documents.
+document's random number is a digest of its id, so a rerun takes the same documents. Rows
+without an id, and rows that share one, get numbers of their own from their text and place.
 
 A source may hold a third of all rows, so no task ranks a whole source. Ranks fall into
 narrow ranges; the words in each range are summed, running totals over the ranges find
@@ -23,9 +24,9 @@ def size_in_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def random_number(doc_id: Column, salt: str = "") -> Column:
+def random_number(name: Column, salt: str = "") -> Column:
     """In (0, 1), from the first 12 hexadecimal digits of an MD5 digest."""
-    digits = F.substring(F.md5(F.concat(F.lit(salt), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 12)
+    digits = F.substring(F.md5(F.concat(F.lit(salt), name)), 1, 12)
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 48))
 
 
@@ -54,7 +55,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), tot
     return stops.select("source", "source_size", F.when(F.col("stops"), F.col("cap")).otherwise(F.col("weight") * rest).alias("target"))
 
 
-def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (5, 2, 1), total: float = 1.5, most: float = 2.0, importance: str | None = None, range_rows: int = 500, salt: str = "") -> DataFrame:
+def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (5, 2, 1), total: float = 1.5, most: float = 2.0, importance: str | None = None, range_rows: int = 20_000, salt: str = "", carry: list[str] | None = None) -> DataFrame:
     """How much of each document the mix takes: doc_id, size, source_size, target, copies, taken.
 
     ``taken`` is in words, repeats counted: ``copies`` times the size. ``importance``
@@ -62,25 +63,35 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     their inclusion odds; without it they are alike.
 
     A null text has size 0 and copies are still allotted, though they take no word. A
-    null source is a source of its own, last in order. Null ids share one random
-    number. Rows of equal rank (repeated rows, say) are taken or left together. Other
-    columns are ignored. An empty table gives an empty result.
+    null source is a source of its own, last in order. Rows without an id, and rows that
+    share one, are ranked by their texts' digests too, and equal rows each by its own number. ``carry`` names columns
+    to pass on; others are ignored. An empty table gives an empty result.
     """
     factor = F.coalesce(F.col(importance).cast("double"), F.lit(1.0)) if importance else F.lit(1.0)
-    slim = cut(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), size_in_words(F.col(text)).alias("size"), factor.alias("factor")))
-    sources = cut(source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).select("source", "source_size"), weights, total, most))
-    n = slim.count()
-    ranges = max(16, min(1 << 20, -(-n // range_rows)))
+    rest = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(None).cast("boolean")
+    slim = cut(docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), size_in_words(F.col(text).cast("string")).alias("size"), factor.alias("factor"), rest.alias("rest"),
+        F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("digest"), F.monotonically_increasing_id().alias("row"),
+    ))
+    alike = slim.groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
+    many = alike.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
+    alike = cut(alike.where("doc_id is null").union(alike.join(many, "doc_id").select("doc_id", "digest", "n")).select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), "n"))
+    few = alike.count() <= 100_000  # rows of some fifty bytes each
+    slim = slim.join(F.broadcast(alike) if few else alike, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest")), "left")
+    own = F.concat_ws(":", "doc_id", "digest", F.when(F.col("n") > 1, F.col("row")))
+    slim = slim.withColumn("name", F.when(F.col("n").isNull(), F.col("doc_id").cast("string")).otherwise(own))
+    sources = cut(source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, total, most))
+    ranges = max(16, -(-slim.count() // range_rows))
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = slim.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    rows = rows.select("doc_id", F.col("d.source").alias("source"), "size", "factor", "source_size", "target", F.floor(wanted).cast("long").alias("whole"), wanted.alias("wanted"))
+    rows = rows.select("doc_id", "name", "rest", F.col("d.source").alias("source"), "size", "factor", "source_size", "target", F.floor(wanted).cast("long").alias("whole"), wanted.alias("wanted"))
     rows = rows.withColumn("inclusion", F.col("wanted") - F.col("whole"))
-    u = random_number(F.col("doc_id"), salt)
+    u = random_number(F.col("name"), salt)
     odds = u / (F.lit(1.0) - u)
     # equal inclusion odds within a source only scale its ranks; factors set documents apart
     rows = rows.withColumn("rank", odds * (F.lit(1.0) - F.col("inclusion")) / (F.greatest(F.col("inclusion"), F.lit(1e-12)) * F.col("factor")))
     unscaled = F.col("rank") * F.greatest(F.col("inclusion"), F.lit(1e-12)) / (F.lit(1.0) - F.col("inclusion"))
-    rows = rows.withColumn("part", F.least(F.lit(ranges - 1), F.floor(unscaled / (unscaled + 1) * ranges)).cast("int"))
+    rows = rows.withColumn("part", F.least(F.lit(ranges - 1), F.floor(unscaled / (unscaled + 1) * ranges)).cast("long"))
 
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("words"), F.max("target").alias("target"), F.max("source_size").alias("of"), F.max("whole").alias("whole"))
     upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -97,4 +108,5 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     sure = rows.where("takes <> 'some' or takes is null").withColumn("extra", F.when(F.col("takes") == "all", 1).otherwise(0))
     copies = F.col("whole") + F.when(F.col("inclusion") > 0, F.col("extra")).otherwise(0)
     both = sure.unionByName(edge)
-    return both.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    passed = [F.col("rest")[c].alias(c) for c in carry or [] if c not in ("doc_id", "size", "source_size", "target", "copies", "taken")]
+    return both.select("doc_id", *passed, "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))

@@ -79,10 +79,19 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": r"""
-WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+WITH counted AS (
+  SELECT *, md5(coalesce(text, '')) AS digest, count(*) OVER (PARTITION BY doc_id) AS same_id, row_number() OVER (PARTITION BY doc_id, text) AS row,
+         count(*) OVER (PARTITION BY doc_id, coalesce(text, '')) AS equal
   FROM documents),
+named AS (
+  SELECT doc_id, source, text,
+         CASE WHEN same_id = 1 AND doc_id IS NOT NULL THEN doc_id::VARCHAR
+              ELSE concat_ws(':', doc_id, digest, CASE WHEN equal > 1 THEN row END) END AS name
+  FROM counted),
+sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         (('0x' || substr(md5(name), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM named),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
