@@ -74,8 +74,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document left."""
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "copies", "taken")
+    """The documents left, and what the mix takes of each: copies, and words taken."""
+    return mix_sources(docs, carry=docs.columns)
 
 
 STAGES = [
