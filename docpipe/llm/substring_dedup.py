@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, groups_for, ngram_hashes, planes, signed, slices, trim, unplane
+from .shared import Words, groups_for, mix, ngram_hashes, planes, signed, slices, trim, unplane
 
 _U = np.uint64
 WIDTH, GRAM = 20, 8
-#: Windows that one automaton may hold.
-SHARD = 25_000
-#: Bytes of the parts of a passage's place: id, digest of the text, row, first word.
-_PLACE = (8, 8, 8, 5)
+#: Windows that one automaton may hold: automata that fit in a cache are compiled ten times faster.
+SHARD = 1_000
+#: Bytes of a passage's anchor, and of its place: id, digest of the text, row, first word.
+_SENT = (4, 8, 8, 8, 5)
 
 
 def _slide(x: np.ndarray, n: int, best) -> np.ndarray:
@@ -68,10 +68,11 @@ class _Group:
             reach = width - GRAM + 1
             gram = ngram_hashes(h, GRAM)
             least = _slide(gram, reach, np.minimum)
-            self.anchor = least[self.valid]
             allowed = np.zeros(len(least) + 2 * (reach - 1), _U)
-            allowed[self.valid + reach - 1] = self.anchor
-            self.chosen = gram[_slide(allowed, reach, np.maximum) == gram]
+            allowed[self.valid + reach - 1] = least[self.valid]
+            # least hashes are small ones: mixed again, they spread over all shards
+            self.anchor = mix(least[self.valid])
+            self.chosen = mix(gram[_slide(allowed, reach, np.maximum) == gram])
 
     def anchored(self, told: dict[int, np.ndarray]) -> np.ndarray:
         """Which of the valid windows have an anchor that occurs twice or more in the corpus."""
@@ -176,8 +177,8 @@ def _ask_windows(buckets: int, width: int, bits: int):
 def _distinct(g: _Group, told: dict[int, np.ndarray], buckets: int):
     """Passages of a group in the order in which shards are asked: one each of equal ones.
 
-    (first words, windows, number of the distinct one) of all passages, then for distinct
-    ones: their first passage, shard, and words.
+    (first words, windows, number of the distinct one, anchors) of all passages, then for
+    distinct ones: their first passage, shard, and words.
     """
     first, windows, anchor = g.passages(told)
     number, texts, lead = np.zeros(len(first), np.int64), {}, []
@@ -191,7 +192,7 @@ def _distinct(g: _Group, told: dict[int, np.ndarray], buckets: int):
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     words = list(texts)
-    return (first, windows, rank[number] if len(first) else number), lead[order], shard[order], [words[i] for i in order.tolist()]
+    return (first, windows, rank[number] if len(first) else number, anchor), lead[order], shard[order], [words[i] for i in order.tolist()]
 
 
 def _ask_passages(buckets: int, width: int, bits: int):
@@ -199,14 +200,13 @@ def _ask_passages(buckets: int, width: int, bits: int):
         if not table.num_rows:
             return _asked(0, [])
         g = _Group(table, width, bits)
-        (first, _, _), lead, shard, words = _distinct(g, _told(told), buckets)
+        (first, _, _, anchor), lead, shard, words = _distinct(g, _told(told), buckets)
         edge = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else np.zeros(1, np.int64)
         own = []
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             at = first[lead[a:b]]
-            place = b"".join(planes(x, n) for x, n in zip((*(x[g.doc[at]] for x in g.place), g.start[at].astype(_U)), _PLACE))
-            own.append((int(shard[a]), place + b"\n".join(words[a:b])))
-            own[-1] = (own[-1][0], (b - a).to_bytes(4, "little") + own[-1][1])
+            facts = (anchor[lead[a:b]], *(x[g.doc[at]] for x in g.place), g.start[at].astype(_U))
+            own.append((int(shard[a]), (b - a).to_bytes(4, "little") + b"".join(planes(x, n) for x, n in zip(facts, _SENT)) + b"\n".join(words[a:b])))
         out = _asked(key[0].as_py(), own)
         del g, words, own
         trim()
@@ -215,38 +215,33 @@ def _ask_passages(buckets: int, width: int, bits: int):
     return ask
 
 
-def locate(passages: list[tuple], width: int = WIDTH, shard: int = SHARD) -> np.ndarray:
+def locate(passages: list[tuple], anchors: np.ndarray, width: int = WIDTH, shard: int = SHARD) -> np.ndarray:
     """Which window occurs at each place of the passages, as numbers, by Aho-Corasick automata.
 
-    ``passages`` are tuples of word numbers. Windows are compiled ``shard`` at a time, and
-    all passages stream through each automaton; a window's number comes from the automaton
-    that found it. Places are those of all windows of a passage, passage after passage.
+    ``passages`` are tuples of word numbers; equal windows have equal ``anchors``. An automaton
+    holds the windows of whole anchors, ``shard`` windows or as many as one anchor has, and all
+    passages of its anchors stream through it; a window's number comes from the automaton that
+    found it. Places are those of all windows of a passage, passage after passage.
     """
     sizes = np.array([len(t) - width + 1 for t in passages], np.int64)
     offset = np.cumsum(sizes) - sizes
-    out = np.full(int(sizes.sum()), -1, np.int64)
-    at, base = 0, 0
-    while at < len(passages):
+    out = np.empty(int(sizes.sum()), np.int64)
+    order = np.argsort(anchors, kind="stable")
+    turn = np.cumsum(sizes[order]) // shard
+    turn = turn[np.searchsorted(anchors[order], anchors[order])]  # that of the anchor's first passage
+    base = 0
+    for own in np.split(order, np.flatnonzero(np.diff(turn)) + 1) if len(order) else ():
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        made = 0
-        while at < len(passages) and made < shard:
-            t, o = passages[at], int(offset[at])
+        for i in own.tolist():
+            t = passages[i]
             for k in range(len(t) - width + 1):
-                if out[o + k] < 0:  # not found yet by an automaton before
-                    automaton.add_word(t[k : k + width], base + made)
-                    made += 1
-            at += 1
-        if not made:
-            continue
+                automaton.add_word(t[k : k + width], base)
+                base += 1
         automaton.make_automaton()
-        places, found = [], []
-        for t, o in zip(passages, offset.tolist()):
-            o += 1 - width
-            for end, window in automaton.iter(t):
-                places.append(o + end)
-                found.append(window)
-        out[places] = found
-        base += made
+        for i in own.tolist():
+            o = int(offset[i])
+            found = [window for _, window in automaton.iter(passages[i])]
+            out[o : o + len(found)] = found
     return out
 
 
@@ -256,15 +251,17 @@ def _tell_first(width: int, shard: int):
     def tell(table: pa.Table) -> pa.Table:
         blobs = table["asked"].to_pylist()
         counts = [int.from_bytes(x[:4], "little") for x in blobs]
-        wide = sum(_PLACE)
-        _, (ids, digest, row, start) = _receive([x[4 : 4 + n * wide] for x, n in zip(blobs, counts)], _PLACE)
+        wide = sum(_SENT)
+        _, (anchor, ids, digest, row, start) = _receive([x[4 : 4 + n * wide] for x, n in zip(blobs, counts)], _SENT)
         texts: dict[bytes, int] = {}
         number = np.array([texts.setdefault(t, len(texts)) for x, n in zip(blobs, counts) for t in x[4 + n * wide :].split(b"\n")], np.int64)
         del blobs
         words = defaultdict(count().__next__)
         passages = [tuple(map(words.__getitem__, t.split(b" "))) for t in texts]
         del texts, words
-        window = locate(passages, width, shard)
+        anchors = np.zeros(len(passages), _U)
+        anchors[number] = anchor
+        window = locate(passages, anchors, width, shard)
         sizes = np.array([len(t) - width + 1 for t in passages], np.int64)
         del passages
         # a place is a rank among the documents here, then a word
@@ -289,7 +286,7 @@ def _tell_first(width: int, shard: int):
 def _remove(buckets: int, width: int, bits: int):
     def remove(key, table: pa.Table, told: pa.Table) -> pa.Table:
         g, told = _Group(table, width, bits), _told(told)
-        (first, windows, number), lead, _, _ = _distinct(g, told, buckets)
+        (first, windows, number, _), lead, _, _ = _distinct(g, told, buckets)
         change = np.zeros(g.n + 1, np.int64)
         if len(first):
             # a window goes unless it is the corpus' first, and so does any in a repeated passage

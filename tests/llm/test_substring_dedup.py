@@ -63,7 +63,7 @@ def test_hashes_that_collide_change_nothing(make_docs, prose):
 
 def test_result_comes_from_the_automata(make_docs, prose, monkeypatch):
     windows = [tuple(range(k, k + 6)) for k in range(3)] + [tuple(range(6))]
-    assert len(set(locate(windows, 5).tolist())) == 4
+    assert len(set(locate(windows, np.zeros(4), 5).tolist())) == 4
     table = pa.table({"bucket": [0, 0], "p": [0, 1], "asked": [sent(1, b"a b c d e f"), sent(2, b"a b c d e f")]})
     flags = lambda: [list(x) for x in _tell_first(5, 100)(table)["told"].to_pylist()]
     assert flags() == [[1, 1], [0, 0]]
@@ -73,17 +73,19 @@ def test_result_comes_from_the_automata(make_docs, prose, monkeypatch):
 
 def sent(doc_id, words):
     one = lambda x, n: planes(np.array([x], np.uint64), n)
-    return (1).to_bytes(4, "little") + one(doc_id, 8) + one(0, 8) + one(0, 8) + one(0, 5) + words
+    return (1).to_bytes(4, "little") + one(9, 4) + one(doc_id, 8) + one(0, 8) + one(0, 8) + one(0, 5) + words
 
 
 @pytest.mark.parametrize("seed", range(5))
 def test_automata_of_any_size_agree(seed):
     rng = np.random.default_rng(seed)
-    passages = [tuple(rng.integers(0, 3, rng.integers(5, 40)).tolist()) for _ in range(40)]
-    plain = [t[k : k + 5] for t in passages for k in range(len(t) - 4)]
+    passages = [tuple(rng.integers(0, 3, rng.integers(5, 40)).tolist()) for _ in range(60)]
+    anchors = rng.integers(0, 4, 60)
+    plain = [(a, t[k : k + 5]) for t, a in zip(passages, anchors.tolist()) for k in range(len(t) - 4)]
     for shard in (1, 9, 1000):
-        found = locate(passages, 5, shard).tolist()
-        assert min(found) >= 0 and len({*zip(found, plain)}) == len({*found}) == len({*plain})
+        found = locate(passages, anchors, 5, shard).tolist()
+        numbers = {*zip(found, plain)}  # of windows under their anchors
+        assert len(numbers) == len({*zip(found, (a for a, _ in plain))}) == len({*plain})
 
 
 def test_rows_without_an_id_are_dealt_out_and_long_texts(make_docs, prose):
