@@ -6,10 +6,13 @@ two terminals. Blocks next to each other, and blocks near each other in the DOM,
 joined by smoothness edges whose capacity falls with their distance. A maximum flow
 gives the minimum cut, and the blocks on the source's side are the content.
 
-The classifier is a logistic regression on features of a block's text (length, share of
-linked text, punctuation, heading), trained on a bounded sample of the pages, where
-elements whose meaning is plain (article, nav, footer, ...) label their blocks. Evidence
-from the elements and names around a block is added to its log odds.
+The classifier is a logistic regression on features of a block: of its text (length, share
+of linked text, punctuation, heading) and of its place (elements whose meaning is plain,
+class and id names, inside or outside the part of the page that holds most running text,
+repeated boxes). Names count by how well they say what an element is, and the less the
+more of the page's text the element holds. It is trained on a bounded sample of the pages,
+where plain elements (article, nav, footer, ...) label their blocks and are themselves
+hidden from it; without data it stays at its default weights.
 """
 
 from __future__ import annotations
@@ -35,79 +38,136 @@ UNSEEN = frozenset("script style head title noscript template svg math canvas ob
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 CLOSES_P = BLOCK - frozenset("body html tbody td tfoot th thead tr caption legend optgroup".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Log odds that an element adds to the blocks inside it.
-ELEMENT_EVIDENCE = {"article": 5.0, "main": 3.0, "nav": -12.0, "footer": -12.0, "aside": -12.0, "form": -12.0, "menu": -9.0, "dialog": -12.0, "header": -8.0, "search": -12.0, "address": -3.0, "fieldset": -9.0, "label": -6.0, "legend": -6.0}
-ROLE_EVIDENCE = {"main": 3.0, "article": 4.0, "navigation": -12.0, "banner": -12.0, "contentinfo": -12.0, "complementary": -12.0, "search": -12.0, "form": -12.0, "alert": -12.0, "alertdialog": -12.0, "dialog": -12.0, "menu": -12.0, "menubar": -12.0, "toolbar": -12.0, "note": -6.0, "status": -9.0}
-#: Parts of class and id names, whole or before a digit, dash or capital.
+#: Elements and roles that say what they hold.
+GOOD_ELEMENTS = frozenset("article main".split())
+BAD_ELEMENTS = frozenset("nav footer aside form menu dialog header search fieldset".split())
+GOOD_ROLES = frozenset("main article".split())
+BAD_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar note status".split())
+#: Words in class and id names of boilerplate, words that only tell of a box, and words that turn a name around.
 BAD_NAMES = frozenset("ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo promotion promoted banner nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar sidebars rail footer foot header masthead topbar toolbar cookie cookies consent gdpr notice notices notification alert warning disclaimer privacy popup modal overlay dialog newsletter subscribe subscription signup signin login register paywall comment comments commentlist respond reply replies disqus discussion feedback share sharing social follow related recommended recommendations trending popular pager pagination paging widget widgets toc tags tagcloud copyright legal search form skip hidden".split())
-GOOD_NAMES = frozenset("article content story post entry body main maincontent text prose articlebody postbody".split())
-BAD_EVIDENCE, GOOD_EVIDENCE = -12.0, 2.0
+BOX_NAMES = frozenset("area bar block body box boxes container content group holder inner item items left line link links list main outer panel right row section slot text top unit wrap wrapper zone".split())
+TURNING_NAMES = frozenset("after before disabled enabled has hide no non not with without".split())
 
-#: Log odds from text features before any training: intercept, log words, linked share, punctuation a word, sentence end, heading.
-DEFAULT_WEIGHTS = (-1.5, 0.8, -5.0, 2.0, 0.8, 0.8)
+#: Log odds of content before any training, in the order of ``features``.
+FEATURES = ("always", "log of words", "linked share", "marks a word", "ends a sentence", "heading", "first heading", "element", "bad name", "outside the main part", "repeated box")
+DEFAULT_WEIGHTS = (-1.0, 0.8, -5.0, 2.0, 0.8, 0.5, 2.5, 5.0, -5.0, -4.5, -3.5)
+_ELEMENT = FEATURES.index("element")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+def name_says(value: str) -> float:
+    """How plainly a class or id value names boilerplate: 1 a word of its own, less in compounds.
+
+    In a compound the last word that is no mere box counts; other bad words tell little, and
+    nothing beside a word such as with, has or no.
+    """
+    most = 0.0
+    for token in value.split():
+        words = [w.lower() for part in re.split(r"[_\-:.\d]+", token) for w in _NAME.findall(part)]
+        bad = [w in BAD_NAMES for w in words]
+        if token.lower() in BAD_NAMES or len(words) == 1 and bad[0]:
+            most = 1.0
+        elif any(bad) and not TURNING_NAMES & set(words):
+            head = next((w for w in reversed(words) if w not in BOX_NAMES or w in BAD_NAMES), words[-1])
+            most = max(most, 0.8 if head in BAD_NAMES else 0.3)
+    return most
+
+
+class Tree:
+    """Elements of a page in the order of their starts: a parent's number is below its children's.
+
+    ``good`` and ``bad`` tell of the nearest plain element above or at an element.
+    """
+
+    def __init__(self):
+        self.parent, self.name, self.kind, self.says, self.good, self.bad, self.depth = [-1], ["html"], [""], [0.0], [-1], [False], [0]
+
+    def add(self, parent: int, name: str, kind: str, says: float, good: bool, bad: bool) -> int:
+        n = len(self.parent)
+        self.parent.append(parent)
+        self.name.append(name)
+        self.kind.append(kind)
+        self.says.append(says)
+        # an article's own header may hold its title
+        bad = bad and not (name == "header" and self.good[parent] >= 0)
+        self.good.append(n if good and self.good[parent] < 0 else self.good[parent])
+        self.bad.append(self.bad[parent] or bad)
+        self.depth.append(self.depth[parent] + (name in BLOCK))
+        return n
+
+
 class Block:
-    __slots__ = ("text", "words", "linked", "path", "evidence", "heading")
+    __slots__ = ("text", "words", "linked", "at", "heading", "x")
 
-    def __init__(self, text, linked, path, evidence, heading):
-        self.text, self.linked, self.path, self.evidence, self.heading = text, linked, path, evidence, heading
+    def __init__(self, text, linked, at, heading):
+        self.text, self.linked, self.at, self.heading = text, linked, at, heading
         self.words = text.count(" ") + 1
+        self.x = None
 
 
-def _evidence(name: str, attrs: str) -> tuple[float, bool]:
-    """Log odds that an element adds, and whether it is shown at all."""
-    value, seen = ELEMENT_EVIDENCE.get(name, 0.0), name not in UNSEEN
+def _read(attrs: str) -> tuple[str, float, bool, bool, bool]:
+    """Of an element's attributes: class, what names say, good role, bad role, shown."""
+    kind, says, good, bad, seen = "", 0.0, False, False, True
     if not attrs or attrs.isspace():
-        return value, seen
-    good = False
+        return kind, says, good, bad, seen
     for key, a, b, c, hidden in _ATTR.findall(attrs):
         key, text = key.lower(), html_module.unescape(a or b or c)
         if hidden or key == "hidden" or key == "aria-hidden" and text.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", text, re.I):
             seen = False
         elif key == "role":
-            value += ROLE_EVIDENCE.get(text.strip().lower(), 0.0)
+            good, bad = good or text.strip().lower() in GOOD_ROLES, bad or text.strip().lower() in BAD_ROLES
         elif key == "itemprop" and "articlebody" in text.lower():
-            value += 4.0
+            good = True
         elif key in ("class", "id"):
-            if name in ("html", "body"):
-                continue  # page-wide names tell of the page, not of its parts
-            parts = {x.lower() for token in re.split(r"[\s_\-:.\d]+", text) for x in (*_NAME.findall(token), token)}
-            if parts & BAD_NAMES:
-                value += BAD_EVIDENCE
-            good = good or bool(parts & GOOD_NAMES)
-    return value + (GOOD_EVIDENCE if good and value >= 0 else 0.0), seen
+            says = max(says, name_says(text))
+            kind = text if key == "class" else kind
+    return kind, says, good, bad, seen
 
 
-def blocks(page: str) -> list[Block]:
+#: Elements that a start tag of a kind ends, and those that keep it from reaching further up.
+_ENDS = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
+_WITHIN = {"li": ("ul", "ol", "menu"), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",), "dt": ("dl",), "dd": ("dl",), "option": ("select",)}
+
+
+def blocks(page: str) -> tuple[list[Block], Tree]:
     """Text blocks in page order; hidden elements, scripts, styles and markup are left out."""
     out: list[Block] = []
-    stack: list[tuple] = []  # (name, evidence so far, shown, number)
+    tree = Tree()
+    stack: list[tuple[str, int, bool]] = []  # (name, number, shown)
+    where: dict[str, list[int]] = {}  # name -> its places in the stack; "" -> blocks other than p
     text: list[str] = []
-    linked = made = depth_a = 0
-    state = [0.0, True, ()]
+    linked, at, shown = 0, 0, True
 
     def flush():
         nonlocal linked
         if text:
             joined = _SPACES.sub(" ", html_module.unescape("".join(text))).strip()
             if joined:
-                heading = next((x[0] for x in reversed(stack) if x[0] in HEADINGS), "")
-                out.append(Block(joined, min(1.0, linked / len(joined)), tuple(x[3] for x in stack if x[0] in BLOCK), state[0], heading))
+                heading = max((where[h][-1], h) for h in HEADINGS if where.get(h))[1] if any(where.get(h) for h in HEADINGS) else ""
+                lowest = max((where[k][-1] for k in ("", "p") if where.get(k)), default=-1)
+                out.append(Block(joined, min(1.0, linked / len(joined)), stack[lowest][1] if lowest >= 0 else 0, heading))
         text.clear()
         linked = 0
 
-    def settle():
-        state[0], state[1] = (stack[-1][1], stack[-1][2]) if stack else (0.0, True)
+    def last(names) -> int:
+        return max((where[k][-1] for k in names if where.get(k)), default=-1)
+
+    def end(k: int):
+        """Ends the elements from place k of the stack on."""
+        nonlocal shown
+        while len(stack) > k:
+            name = stack.pop()[0]
+            where[name].pop()
+            if name in BLOCK and name != "p":
+                where[""].pop()
+        shown = stack[-1][2] if stack else True
 
-    at, raw_until = 0, None
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
-        if m.start() > at and state[1]:
+        if m.start() > at and shown:
             text.append(piece := page[at : m.start()])
-            if depth_a:
+            if where.get("a"):
                 linked += len(piece)
         at = m.end()
         name = (m[2] or "").lower()
@@ -118,81 +178,120 @@ def blocks(page: str) -> list[Block]:
         elif name == "br":
             text.append(" ")
         if m[1]:
-            if any(x[0] == name for x in stack):
-                while stack:
-                    gone = stack.pop()
-                    depth_a -= gone[0] == "a"
-                    if gone[0] == name:
-                        break
-                settle()
+            if where.get(name):
+                end(where[name][-1])
             continue
-        if name in CLOSES_P and any(x[0] == "p" for x in stack):
-            # an open paragraph ends where a block begins, unless a block stands between
-            k = max(i for i, x in enumerate(stack) if x[0] == "p")
-            if not any(x[0] in BLOCK for x in stack[k + 1 :]):
-                depth_a -= sum(x[0] == "a" for x in stack[k:])
-                del stack[k:]
-                settle()
-        for one, inside in (("li", ("ul", "ol", "menu")), ("td", ("tr", "table")), ("th", ("tr", "table")), ("tr", ("table",)), ("dt", ("dl",)), ("dd", ("dl",)), ("option", ("select",))):
-            if name == one or name in ("td", "th") and one in ("td", "th") or name in ("dt", "dd") and one in ("dt", "dd"):
-                k = max((i for i, x in enumerate(stack) if x[0] == one), default=-1)
-                if k >= 0 and not any(x[0] in inside for x in stack[k + 1 :]):
-                    depth_a -= sum(x[0] == "a" for x in stack[k:])
-                    del stack[k:]
-                    settle()
+        if name in CLOSES_P and (p := last(("p",))) > last(("",)):
+            end(p)
+        if name in _ENDS and (k := last(_ENDS[name])) > last(_WITHIN[name]):
+            end(k)
         if name in VOID or m[3].rstrip().endswith("/") and name in ("svg", "path"):
             continue
-        value, seen = _evidence(name, m[3])
-        if name == "header" and any(x[0] == "article" for x in stack):
-            value = -3.0  # an article's own header may hold its title
-        made += 1
-        stack.append((name, state[0] + value, state[1] and seen, made))
-        depth_a += name == "a"
-        settle()
+        kind, says, good, bad, seen = _read(m[3])
+        if name in ("html", "body"):
+            kind, says = "", 0.0  # page-wide names tell of the page, not of its parts
+        number = tree.add(stack[-1][1] if stack else 0, name, kind, says, good or name in GOOD_ELEMENTS, bad or name in BAD_ELEMENTS)
+        for key in (name, "") if name in BLOCK and name != "p" else (name,):
+            where.setdefault(key, []).append(len(stack))
+        shown = shown and seen and name not in UNSEEN
+        stack.append((name, number, shown))
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else len(page)
-            stack.pop()
-            settle()
+            end(len(stack) - 1)
             if not close:
                 break
-    if at < len(page) and state[1]:
+    if at < len(page) and shown:
         text.append(page[at:])
     flush()
-    return out
-
-
-def features(b: Block) -> list[float]:
-    marks = sum(map(b.text.count, ".,;:!?"))
-    return [1.0, math.log1p(b.words), b.linked, min(marks / b.words, 1.0), float(b.text[-1] in ".!?…”\"'"), float(bool(b.heading))]
-
-
-def log_odds(b: Block, weights) -> float:
-    """How much likelier content is than boilerplate."""
-    own = sum(w * x for w, x in zip(weights, features(b)))
-    title = 3.0 if b.heading == "h1" and b.evidence > -6 else 0.0
-    return max(-3.0, min(3.0, own)) + b.evidence + title
-
-
-def distance(a: tuple, b: tuple) -> int:
-    """Steps between two blocks in the tree of block elements."""
-    k = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        k += 1
-    return len(a) + len(b) - 2 * k
+    return out, tree
+
+
+def describe(found: list[Block], tree: Tree) -> np.ndarray:
+    """Features of a page's blocks, a row each; every pass over the tree is linear."""
+    n = len(tree.parent)
+    own = np.array([b.words * (1 - b.linked) for b in found])
+    mass = np.zeros(n)
+    np.add.at(mass, [b.at for b in found], own)
+    direct = mass.copy()
+    for k in range(n - 1, 0, -1):
+        mass[tree.parent[k]] += mass[k]
+    total = max(mass[0], 1e-9)
+    # a name says the less of an element, the more of the page's text is in it
+    bad = [0.0] * n
+    for k in range(1, n):
+        bad[k] = max(bad[tree.parent[k]], tree.says[k] * max(0.0, 1 - 1.6 * mass[k] / total) if tree.says[k] else 0.0)
+    # the main part: the plain element with most text, else where most running text is near by
+    good = {g for g in set(tree.good) if g >= 0 and not tree.bad[g] and bad[g] < 0.7}
+    if good and (most := max(mass[g] for g in good)) >= 0.1 * total:
+        main = {g for g in good if mass[g] >= 0.5 * most}
+    else:
+        score = np.zeros(n)
+        for k in np.flatnonzero(direct).tolist():
+            if tree.bad[k] or bad[k] >= 0.7:
+                continue
+            up = k if tree.name[k] not in ("p", "li", "blockquote", "pre", "dd", "td", *HEADINGS) else tree.parent[k]
+            for share in (1.0, 0.55, 0.35):
+                score[up] += direct[k] * share
+                up = tree.parent[up]
+                if up < 0:
+                    break
+        main = {int(score.argmax())} if n > 1 and score.max() > 0 else {0}
+    inside = [False] * n
+    for k in range(n):
+        inside[k] = k in main or k > 0 and inside[tree.parent[k]]
+    weight = min(1.0, sum(mass[k] for k in main) / total)
+    # boxes: several children of one element, alike in name and class, that share out less than half of its text
+    alike: dict[tuple, list[int]] = {}
+    for k in range(1, n):
+        if tree.name[k] in ("div", "li", "section", "article") and (tree.kind[k] or tree.name[k] == "article") and mass[k]:
+            alike.setdefault((tree.parent[k], tree.name[k], tree.kind[k]), []).append(k)
+    boxed = [False] * n
+    for own_kind in alike.values():
+        size = sum(mass[k] for k in own_kind)
+        if len(own_kind) > 1 and size < 0.45 * total and size < 60 * len(own_kind) and not main & set(own_kind):
+            for k in own_kind:
+                boxed[k] = True
+    for k in range(1, n):
+        boxed[k] = boxed[k] or boxed[tree.parent[k]]
+    x = np.zeros((len(found), len(FEATURES)))
+    for b, row in zip(found, x):
+        marks = sum(map(b.text.count, ".,;:!?"))
+        element = -1.0 if tree.bad[b.at] else 1.0 if tree.good[b.at] in main else 0.0
+        row[:] = (1, math.log1p(b.words), b.linked, min(marks / b.words, 1.0), b.text[-1] in ".!?…”\"'", bool(b.heading), b.heading == "h1" and not tree.bad[b.at], element, bad[b.at], 0.0 if inside[b.at] else weight, boxed[b.at])
+        b.x = row
+    return x
+
+
+def distance(a: int, b: int, tree: Tree, most: int = 12) -> int:
+    """Steps between two elements in the tree of blocks, ``most`` at most."""
+    steps = 0
+    while a != b and steps < most:
+        if a > b:  # the later one cannot be above the earlier
+            a, b = b, a
+        steps += tree.name[b] in BLOCK
+        b = tree.parent[b]
+    return steps
+
+
+def edges(found: list[Block], tree: Tree, near: float = 1.5) -> list[tuple[int, int, float]]:
+    """Smoothness edges: each block with the next, and with the one before under its parent.
+
+    They are weak between blocks that differ in what their names say or in the part of the page.
+    """
+    names, outside = FEATURES.index("bad name"), FEATURES.index("outside the main part")
 
+    def strength(i, j):
+        a, b = found[i].x, found[j].x
+        return near * (1 - 0.8 * abs(a[names] - b[names])) * (0.3 if (a[outside] > 0) != (b[outside] > 0) or a[_ELEMENT] * b[_ELEMENT] < 0 else 1.0)
 
-def edges(found: list[Block], near: float = 1.5) -> list[tuple[int, int, float]]:
-    """Smoothness edges: each block with the next, and with the one before under its parent."""
-    out = [(i, i + 1, near * math.exp(-0.5 * max(0, distance(found[i].path, found[i + 1].path) - 2))) for i in range(len(found) - 1)]
-    last: dict[tuple, int] = {}
+    out = [(i, i + 1, strength(i, i + 1) * math.exp(-0.5 * max(0, distance(found[i].at, found[i + 1].at, tree) - 2))) for i in range(len(found) - 1)]
+    before: dict[int, int] = {}
     for i, b in enumerate(found):
-        parent = b.path[:-1]
-        if (j := last.get(parent, i)) < i - 1:
-            out.append((j, i, near * 0.5))
-        last[parent] = i
+        parent = tree.parent[b.at]
+        if (j := before.get(parent, i)) < i - 1:
+            out.append((j, i, strength(j, i) * 0.5))
+        before[parent] = i
     return out
 
 
@@ -263,33 +362,31 @@ def minimum_cut(gain: list[float], links: list[tuple[int, int, float]]) -> list[
                 break
 
 
+def label(page: str | None, weights=DEFAULT_WEIGHTS) -> tuple[list[Block], np.ndarray, list[bool]]:
+    """Blocks of a page, their log odds of content, and whether the cut calls them content."""
+    found, tree = blocks(page or "")
+    if not found:
+        return [], np.zeros(0), []
+    gain = describe(found, tree) @ np.asarray(weights)
+    if (gain > 0).all() or (gain <= 0).all():
+        return found, gain, [bool(g > 0) for g in gain]  # nothing to cut
+    return found, gain, minimum_cut(gain.tolist(), edges(found, tree))
+
+
 def extract(page: str | None, weights=DEFAULT_WEIGHTS) -> str:
     """Main text of one page: its content blocks, joined by two newlines."""
-    found = blocks(page or "")
-    if not found:
-        return ""
-    gain = [log_odds(b, weights) for b in found]
-    if all(g > 0 for g in gain):
-        keep = [True] * len(found)
-    elif all(g <= 0 for g in gain):
-        keep = [False] * len(found)
-    else:
-        keep = minimum_cut(gain, edges(found))
+    found, _, keep = label(page, weights)
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 
-def fit(pages: list[str], rounds: int = 200, penalty: float = 0.01) -> tuple[float, ...]:
-    """Weights of the text features, learned from blocks whose elements tell what they are."""
-    rows, ys = [], []
-    for page in pages:
-        for b in blocks(page):
-            if abs(b.evidence) >= 4:
-                rows.append(features(b))
-                ys.append(b.evidence > 0)
-    y = np.array(ys, float)
+def fit(pages: list[str], rounds: int = 200, penalty: float = 0.1) -> tuple[float, ...]:
+    """Weights of all features but that of the elements, learned from blocks in plain elements."""
+    rows = [x[x[:, _ELEMENT] != 0] for page in pages for found, tree in [blocks(page)] if found for x in [describe(found, tree)]]
+    x = np.concatenate(rows) if rows else np.zeros((0, len(FEATURES)))
+    y = (x[:, _ELEMENT] > 0).astype(float)
     if not len(y) or y.min() == y.max():
         return DEFAULT_WEIGHTS
-    x = np.array(rows)
+    x[:, _ELEMENT] = 0
     balance = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     start = np.array(DEFAULT_WEIGHTS)
     w = start.copy()
