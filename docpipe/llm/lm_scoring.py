@@ -1,8 +1,9 @@
 """Language-model scores by deleted interpolation.
 
-The probability of a word after its context mixes maximum-likelihood estimates,
-bigram, unigram and uniform, with weights that depend on how often the context was
-seen. The weights are learned by expectation-maximisation: counts are split into
+The probability of a word after its context mixes maximum-likelihood estimates, from
+trigrams (``order`` sets how long they get) down to single words and a uniform one. The
+weights depend on how often the context was seen: on the bucket of the longest seen
+context's count. They are learned by expectation-maximisation: counts are split into
 retained and deleted ones, and the weights make the deleted words likeliest under
 estimates from the retained counts alone. Scores then use all training counts.
 
@@ -20,50 +21,63 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, crc_mod, cut, groups_for, mix, planes, slices, unplane
+from .shared import Words, crc_mod, cut, dealt, mix, planes, slices, trim, unplane
 
 _U = np.uint64
 _END = _U(0x2545F4914F6CDD1D)
 _BOS = _U(0x9FB21C651E98DF25)
-_PLANES = 5  # of eight bytes of a count
-_STEP = 8  # cells of the held-out table to an octave of probability
+_STEP = 4  # cells of the held-out table to an octave of probability
+_CELL = 10  # bits of a cell's number
+COUNTS = 48  # buckets of counts by powers of two
 
 
-def context_bucket(c: np.ndarray) -> np.ndarray:
-    """0 for a context never seen, else 1 and more by powers of two, 16 at most."""
-    return np.where(c > 0, np.minimum(1 + np.floor(np.log2(np.maximum(c, 1))), 16), 0).astype(np.int64)
+def context_bucket(contexts: list[np.ndarray]) -> np.ndarray:
+    """Row of weights for counts of the contexts of one word, two words, ...
+
+    0 where none was seen, else by the longest that was seen and the power of two of its count.
+    """
+    row = np.zeros(len(contexts[0]) if contexts else 0, np.int64)
+    for k, c in enumerate(contexts):
+        row = np.where(c > 0, k * COUNTS + 1 + np.floor(np.log2(np.maximum(c, 1))).astype(np.int64), row)
+    return row
+
+
+def cell(p: np.ndarray) -> np.ndarray:
+    """0 for no probability, else the number k that stands for 2 ** ((1 - k) / 4)."""
+    return np.where(p > 0, 1 + np.rint(-_STEP * np.log2(np.where(p > 0, p, 1))), 0).astype(np.int64)
 
 
-def learn_weights(cells: dict[tuple[int, int, int], int], uniform: float, rounds: int = 60) -> np.ndarray:
-    """EM over held-out events: (bucket, cell of p2, cell of p1) -> count; one row of weights a bucket.
+def learn_weights(events: np.ndarray, order: int, uniform: float, rounds: int = 60) -> np.ndarray:
+    """EM over held-out events; one row of weights a bucket: of the longest n-gram, ..., the word, the uniform.
 
-    A cell k > 0 stands for the probability 2 ** ((1 - k) / 8), 0 for none. A bucket
-    without events takes the weights of the bucket below it.
+    ``events`` has rows (bucket, cells of the estimates from the longest on, count). A bucket
+    without events takes the weights of the bucket below it, of contexts of the same length.
     """
-    weights = np.zeros((17, 3))
-    value = lambda k: np.where(k > 0, 2.0 ** ((1 - k) / _STEP), 0.0)
-    for b in range(17):
-        own = np.array([(k2, k1, n) for (bb, k2, k1), n in sorted(cells.items()) if bb == b], dtype=np.int64).reshape(-1, 3)
+    weights = np.zeros(((order - 1) * COUNTS + 1, order + 1))
+    for row in range(len(weights)):
+        longest = (row - 1) // COUNTS + 2 if row else 1
+        able = np.arange(order, -1, -1) <= longest  # estimates that this context has
+        own = events[events[:, 0] == row]
         if not len(own):
-            weights[b] = weights[b - 1] if b else (0.0, 0.9, 0.1)
-            if b == 1 and not weights[1, 0]:
-                weights[1] = (0.3, 0.6, 0.1)
-            continue
-        p = np.stack([value(own[:, 0]), value(own[:, 1]), np.full(len(own), uniform)], axis=1)
-        w = np.array([0.0, 0.5, 0.5]) if b == 0 else np.full(3, 1 / 3)
-        for _ in range(rounds):
-            share = p * w
-            share *= (own[:, 2] / share.sum(1))[:, None]
-            w = share.sum(0) / share.sum()
-        floor = np.array([0.0 if b == 0 else 1e-6, 1e-6, 1e-6])
-        weights[b] = np.maximum(w, floor) / np.maximum(w, floor).sum()
+            first = row == 0 or (row - 1) % COUNTS == 0
+            w = np.where(able, 0.5 ** np.arange(order + 1), 0) if first else weights[row - 1]
+        else:
+            p = np.where(own[:, 1:-1] > 0, 2.0 ** ((1 - own[:, 1:-1]) / _STEP), 0.0)
+            p = np.concatenate([p, np.full((len(own), 1), uniform)], axis=1)
+            w = able / able.sum()
+            for _ in range(rounds):
+                share = p * w
+                share *= (own[:, -1] / share.sum(1))[:, None]
+                w = share.sum(0) / share.sum()
+            w = np.where(able, np.maximum(w, 1e-6), 0)
+        weights[row] = w / w.sum()
     return weights
 
 
 class _Group:
-    """Words of one group of documents, with a closing token for each document."""
+    """Words of one group of documents, with a closing token for each, and their n-grams."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, order: int, width: int):
         words = Words(texts)
         n = words.counts + 1
         last = np.cumsum(n) - 1
@@ -71,148 +85,195 @@ class _Group:
         real = np.ones(len(token), bool)
         real[last] = False
         token[real], token[last] = words.hashes, _END
-        context = np.empty_like(token)
-        context[1:] = token[:-1]
-        context[last - n + 1] = _BOS
         self.n, self.firsts = n, last - n + 1
-        self.uni, self.word_at = np.unique(token, return_inverse=True)
-        pair = mix(context * _U(0x5851F42D4C957F2D) + token)
-        self.pair, self.pair_at = np.unique(pair, return_inverse=True)
-        self.context_at = np.empty(len(token), np.int64)
-        self.context_at[1:] = self.word_at[:-1]
-        self.context_at[self.firsts] = -1  # the beginning of a text
-
-
-def _ask(groups: int, buckets: int):
-    """Each group's distinct words and pairs, and how often it holds them in training."""
+        self.keys, self.at = [], []
+        gram = token
+        for k in range(order):
+            if k:
+                before = np.empty_like(gram)
+                before[1:] = gram[:-1]
+                before[self.firsts] = _BOS
+                gram = mix(before * _U(0x5851F42D4C957F2D) + token)
+            # the upper bytes of an n-gram's hash are its key
+            keys, at = np.unique(gram & ~_U((1 << (64 - 8 * width)) - 1) if k else gram, return_inverse=True)
+            self.keys.append(keys)
+            self.at.append(at)
+
+    def contexts(self, counts: list[np.ndarray], docs: int) -> list[np.ndarray]:
+        """Counts of the contexts of one word, two words, ... at each place."""
+        out = []
+        for n, at in zip(counts[:-1], self.at[:-1]):
+            c = np.empty(len(at))
+            c[1:] = n[at[:-1]]
+            c[self.firsts] = docs  # the beginning of a text
+            out.append(c)
+        return out
+
+    def estimates(self, counts: list[np.ndarray], contexts: list[np.ndarray], tokens: int) -> list[np.ndarray]:
+        """Maximum-likelihood estimates from the longest n-gram to the word."""
+        at = [n[a] for n, a in zip(counts, self.at)]
+        return [np.where(c > 0, n / np.maximum(c, 1), 0) for n, c in zip(at[:0:-1], contexts[::-1])] + [at[0] / max(tokens, 1)]
+
+
+def _bytes_for(n: np.ndarray) -> int:
+    return max(1, -(-int(n.max() if len(n) else 0).bit_length() // 8))
+
+
+def _pack(*fields: tuple[np.ndarray, int]) -> bytes:
+    return bytes(w for _, w in fields) + b"".join(planes(x.astype(_U), w) for x, w in fields)
+
+
+def _unpack(blob: bytes, fields: int) -> list[np.ndarray]:
+    widths, out = list(blob[:fields]), []
+    n, at = (len(blob) - fields) // max(sum(widths), 1), fields
+    for w in widths:
+        out.append(unplane(blob[at : at + n * w], w))
+        at += n * w
+    return out
+
+
+def _ask(buckets: int, order: int, width: int):
+    """Each group's distinct words and n-grams, and how often it holds them in training."""
 
     def ask(table: pa.Table) -> pa.Table:
-        g, p = _Group(table["text"]), table["p"][0].as_py()
+        g, p = _Group(table["text"], order, width), table["p"][0].as_py()
         train = np.repeat(~np.asarray(table["held_out"]), g.n).astype(float)
-        out: dict[str, dict[int, bytes]] = {}
-        for name, keys, at in (("words", g.uni, g.word_at), ("pairs", g.pair, g.pair_at)):
-            n = np.bincount(at, train, len(keys)).astype(_U)
-            out[name] = {b: planes(keys[s]) + planes(n[s], _PLANES) for b, s in slices(keys, buckets)}
-        own = sorted(out["words"].keys() | out["pairs"].keys())
-        return pa.table({"bucket": pa.array(own, pa.int32()), "p": pa.array([p] * len(own), pa.int32()), **{k: pa.array([v.get(b, b"") for b in own], pa.binary()) for k, v in out.items()}})
+        out: list[dict[int, bytes]] = []
+        for k, (keys, at) in enumerate(zip(g.keys, g.at)):
+            n, w = np.bincount(at, train, len(keys)).astype(_U), width if k else 8
+            out.append({b: _pack((keys[s] >> _U(64 - 8 * w), w), (n[s], _bytes_for(n[s]))) for b, s in slices(keys, buckets)})
+        own = sorted(set().union(*out))
+        trim()
+        return pa.table({"bucket": pa.array(own, pa.int32()), "p": pa.array([p] * len(own), pa.int32()), **{f"g{k}": pa.array([v.get(b) for b in own], pa.binary()) for k, v in enumerate(out)}})
 
     return ask
 
 
-def _sums(blobs: list[bytes], deleted: np.ndarray):
+def _sums(blobs: list, deleted: np.ndarray):
     """For every blob the bucket's retained and deleted counts of its keys; the distinct keys' counts."""
-    wide = 8 + _PLANES
-    sizes = np.array([len(x) // wide for x in blobs], np.int64)
-    keys = np.concatenate([unplane(x[: 8 * n]) for x, n in zip(blobs, sizes)] or [np.zeros(0, _U)])
-    n = np.concatenate([unplane(x[8 * m :], _PLANES) for x, m in zip(blobs, sizes)] or [np.zeros(0, _U)])
+    parts = [_unpack(x, 2) if x else [np.zeros(0, _U)] * 2 for x in blobs]
+    sizes = np.array([len(k) for k, _ in parts], np.int64)
+    keys, n = (np.concatenate([x[i] for x in parts] or [np.zeros(0, _U)]) for i in range(2))
     late = np.repeat(deleted, sizes)
     distinct, at = np.unique(keys, return_inverse=True)
     kept = np.bincount(at, np.where(late, 0, n).astype(float), len(distinct))
     gone = np.bincount(at, np.where(late, n, 0).astype(float), len(distinct))
-    return [planes(kept[a].astype(_U), _PLANES) + planes(gone[a].astype(_U), _PLANES) for a in np.split(at, np.cumsum(sizes)[:-1])], kept, gone
+    told = [_pack(*((x[a], _bytes_for(x[a])) for x in (kept, gone))) if len(a) else None for a in np.split(at, np.cumsum(sizes)[:-1])]
+    return told, kept, gone
 
 
-def _answer(groups: int):
+def _answer(groups: int, order: int):
     def answer(table: pa.Table) -> pa.Table:
-        p = np.asarray(table["p"])
-        words, kept, gone = _sums(table["words"].to_pylist(), p >= groups)
-        pairs, _, _ = _sums(table["pairs"].to_pylist(), p >= groups)
-        total = kept + gone
+        p, told = np.asarray(table["p"]), {}
+        for k in range(order):
+            told[f"g{k}"], kept, gone = _sums(table[f"g{k}"].to_pylist(), p >= groups)
+            if not k:
+                total = kept + gone
+                facts = {"tokens": int(total.sum()), "types": int((total > 0).sum()), "kept_tokens": int(kept.sum())}
+        trim()
         n = len(p)
         return pa.table({
             "p": pa.array([*p, -1], pa.int32()), "bucket": pa.array([*table["bucket"].to_pylist(), table["bucket"][0].as_py()], pa.int32()),
-            "words": pa.array([*words, b""], pa.binary()), "pairs": pa.array([*pairs, b""], pa.binary()),
-            "tokens": pa.array([0] * n + [int(total.sum())], pa.int64()), "types": pa.array([0] * n + [int((total > 0).sum())], pa.int64()),
-            "kept_tokens": pa.array([0] * n + [int(kept.sum())], pa.int64()),
+            **{k: pa.array([*v, None], pa.binary()) for k, v in told.items()},
+            **{k: pa.array([0] * n + [v], pa.int64()) for k, v in facts.items()},
         })
 
     return answer
 
 
-_ANSWER = "p int, bucket int, words binary, pairs binary, tokens long, types long, kept_tokens long"
-
-
-def _counts(table: pa.Table, name: str):
+def _counts(table: pa.Table, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Retained and deleted counts of a group's keys, from the word on."""
     table = table.sort_by("bucket")
-    parts = [(x[: len(x) // 2], x[len(x) // 2 :]) for x in table[name].to_pylist()]
-    join = lambda k: np.concatenate([unplane(x[k], _PLANES) for x in parts]).astype(float)
-    return join(0), join(1)
-
-
-def _cell(p: np.ndarray) -> np.ndarray:
-    return np.where(p > 0, 1 + np.rint(-_STEP * np.log2(np.where(p > 0, p, 1))), 0).astype(np.int64)
+    out = []
+    for k in range(order):
+        parts = [_unpack(x, 2) for x in table[f"g{k}"].to_pylist() if x]
+        out.append(tuple(np.concatenate([x[i] for x in parts] or [np.zeros(0, _U)]).astype(float) for i in range(2)))
+    return out
 
 
-def _events(kept_tokens: int, kept_docs: int):
+def _events(kept_tokens: int, kept_docs: int, order: int, width: int):
     """Held-out events of a group of deleted documents as a table of bounded size."""
 
     def events(key, docs: pa.Table, counts: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return pa.table({k: pa.array([], pa.int64()) for k in ("b", "k2", "k1", "n")})
-        g = _Group(docs["text"])
-        uni, _ = _counts(counts, "words")
-        pair, _ = _counts(counts, "pairs")
-        before = np.where(g.context_at < 0, kept_docs, uni[g.context_at])
-        p2 = np.where(before > 0, pair[g.pair_at] / np.maximum(before, 1), 0)
-        p1 = uni[g.word_at] / max(kept_tokens, 1)
-        code = (context_bucket(before) << 32) | (_cell(p2) << 16) | _cell(p1)
+            return pa.table({k: pa.array([], pa.int64()) for k in ("event", "n")})
+        g = _Group(docs["text"], order, width)
+        kept = [x for x, _ in _counts(counts, order)]
+        contexts = g.contexts(kept, kept_docs)
+        code = context_bucket(contexts) if contexts else np.zeros(len(g.at[0]), np.int64)
+        for p in g.estimates(kept, contexts, kept_tokens):
+            code = (code << _CELL) | cell(p)
         code, n = np.unique(code, return_counts=True)
-        return pa.table({"b": code >> 32, "k2": (code >> 16) & 0xFFFF, "k1": code & 0xFFFF, "n": n.astype(np.int64)})
+        return pa.table({"event": code, "n": n.astype(np.int64)})
 
     return events
 
 
-def _score(weights: np.ndarray, tokens: int, types: int, train_docs: int):
+def _score(weights: np.ndarray, tokens: int, types: int, train_docs: int, order: int, width: int):
     def score(key, docs: pa.Table, counts: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-        g = _Group(docs["text"])
-        uni, pair = (sum(_counts(counts, x)) for x in ("words", "pairs"))
-        before = np.where(g.context_at < 0, train_docs, uni[g.context_at])
-        now = uni[g.word_at]
-        w = weights[context_bucket(before)]
-        p = w[:, 2] / (types + 1) + w[:, 1] * now / max(tokens, 1) + w[:, 0] * np.where(before > 0, pair[g.pair_at] / np.maximum(before, 1), 0)
+        g = _Group(docs["text"], order, width)
+        every = [x + y for x, y in _counts(counts, order)]
+        contexts = g.contexts(every, train_docs)
+        w = weights[context_bucket(contexts) if contexts else np.zeros(len(g.at[0]), np.int64)]
+        p = w[:, -1] / (types + 1)
+        for k, estimate in enumerate(g.estimates(every, contexts, tokens)):
+            p = p + w[:, k] * estimate
+        now = every[0][g.at[0]]
         base = np.log10((now + 0.1) / (tokens + 0.1 * (types + 1)))
         sums = lambda x: np.add.reduceat(x, g.firsts)
-        return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(g.n.astype(np.int64)), "n_known": pa.array(sums((now > 0).astype(np.int64))), "base_score": pa.array(sums(base)), "score": pa.array(sums(np.log10(p)))})
+        out = pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(g.n.astype(np.int64)), "n_known": pa.array(sums((now > 0).astype(np.int64))), "base_score": pa.array(sums(base)), "score": pa.array(sums(np.log10(p)))})
+        del g, every, contexts, w, p
+        trim()
+        return out
 
     return score
 
 
-def score_documents(docs: DataFrame, held_out: Column | None = None, deleted: Column | None = None, doc_id: str = "doc_id", text: str = "text", group_mb: int = 8, least_groups: int = 64) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column | None = None, deleted: Column | None = None, doc_id: str = "doc_id", text: str = "text", order: int = 3, group_mb: int = 8, least_groups: int = 64) -> DataFrame:
     """log10 probability of every text under a model of the texts not held out.
 
     ``held_out`` marks rows that the model must not learn from (default: crc32 of the
     id modulo 10 is 0), ``deleted`` the training rows whose counts teach the mixture
     weights (default: the remainder is 1). Words are lower-cased in A-Z; each text ends
-    with one closing token. ``base_score`` is add-0.1 unigram smoothing.
+    with one closing token. ``base_score`` is add-0.1 unigram smoothing. ``order`` is
+    the length of the longest n-grams, 5 at most.
 
     Null texts count as empty ones: a closing token alone. A null id counts as the
-    empty text when rows are dealt. Repeated rows are scored, and counted, one by one.
-    Other columns are ignored. Without deleted rows fixed weights hold; an empty table
-    gives an empty result. Words are told apart by 64-bit hashes.
+    empty text for the remainder. Repeated rows are scored, and counted, one by one, and
+    rows are dealt to groups one by one, whatever their ids. Other columns are ignored.
+    Without deleted rows fixed weights hold; an empty table gives an empty result. Words
+    are told apart by 64-bit hashes, longer n-grams by so many bytes of theirs that one in
+    some thousands is mistaken for another at most.
     """
     remainder = crc_mod(doc_id, 10)
     held = F.coalesce(held_out if held_out is not None else remainder == 0, F.lit(False))
     gone = F.coalesce(deleted if deleted is not None else remainder == 1, F.lit(False)) & ~held
-    groups = groups_for(docs, text, group_mb, least_groups)
-    late = max(1, groups // 10)
-    slot = F.xxhash64(F.col(doc_id), F.octet_length(F.col(text)))
-    p = F.when(gone, groups + F.pmod(slot, F.lit(late))).otherwise(F.pmod(slot, F.lit(groups))).cast("int")
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    groups = max(least_groups, -(-size // (group_mb << 20)))
+    width = min(8, max(5, -(-(size.bit_length() + 11) // 8)))
+    slot = F.xxhash64(F.monotonically_increasing_id())
+    p = F.when(gone, groups + F.pmod(slot, F.lit(max(1, groups // 10)))).otherwise(F.pmod(slot, F.lit(groups))).cast("int")
     rows = docs.select(p.alias("p"), F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).cast("string").alias("text"))
+    rows = dealt(rows, "p", groups)
 
-    asked = rows.groupBy("p").applyInArrow(_ask(groups, groups), "bucket int, p int, words binary, pairs binary")
-    answers = cut(asked.groupBy("bucket").applyInArrow(_answer(groups), _ANSWER))
+    grams = ", ".join(f"g{k} binary" for k in range(order))
+    asked = dealt(rows.groupBy("p").applyInArrow(_ask(groups, order, width), f"bucket int, p int, {grams}"), "bucket", groups)
+    answers = cut(asked.groupBy("bucket").applyInArrow(_answer(groups, order), f"p int, bucket int, {grams}, tokens long, types long, kept_tokens long"))
     n = answers.where("p = -1").agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tokens", "types", "kept_tokens"))).first()
     in_docs = docs.agg(F.count_if(~held).alias("train"), F.count_if(~held & ~gone).alias("kept")).first()
+    for_group = answers.where("p >= 0").select("p", "bucket", *(f"g{k}" for k in range(order)))
     by_group = lambda df: df.groupBy("p")
-    for_group = answers.where("p >= 0").select("p", "bucket", "words", "pairs")
 
-    cells = by_group(rows.where(gone_rows := F.col("p") >= groups)).cogroup(by_group(for_group.where(gone_rows))).applyInArrow(_events(n.kept_tokens, in_docs.kept), "b long, k2 long, k1 long, n long")
-    table = {(r.b, r.k2, r.k1): r.n for r in cells.groupBy("b", "k2", "k1").agg(F.sum("n").alias("n")).collect()}
-    weights = learn_weights(table, 1.0 / (n.types + 1))
+    late = F.col("p") >= groups
+    events = by_group(rows.where(late)).cogroup(by_group(for_group.where(late))).applyInArrow(_events(n.kept_tokens, in_docs.kept, order, width), "event long, n long")
+    table = events.groupBy("event").agg(F.sum("n").alias("n")).toArrow()
+    code = table["event"].to_numpy().astype(np.int64)
+    cells = [(code >> (_CELL * k)) & ((1 << _CELL) - 1) for k in range(order - 1, -1, -1)]
+    weights = learn_weights(np.stack([code >> (_CELL * order), *cells, table["n"].to_numpy().astype(np.int64)], axis=1), order, 1.0 / (n.types + 1))
 
-    scored = by_group(rows).cogroup(by_group(for_group)).applyInArrow(_score(weights, n.tokens, n.types, in_docs.train), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    scored = by_group(rows).cogroup(by_group(dealt(for_group, "p", groups))).applyInArrow(_score(weights, n.tokens, n.types, in_docs.train, order, width), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 

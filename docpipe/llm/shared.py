@@ -90,6 +90,12 @@ def groups_for(df: DataFrame, text: str = "text", group_mb: int = 24, least: int
     return int(max(least, -(-total // (group_mb << 20))))
 
 
+def dealt(df: DataFrame, key: str, groups: int, each: int = 4) -> DataFrame:
+    """Rows dealt by ``key``, about ``each`` groups a task, where the session's setting would make them more."""
+    n = -(-groups // each)
+    return df.repartition(n, key) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def digest_at(doc_id: Column) -> Column:
     """Place of an id in the order of digests, from 0 to 1."""
     return F.xxhash64(doc_id, F.lit("sample")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))

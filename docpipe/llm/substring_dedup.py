@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, groups_for, mix, ngram_hashes, planes, signed, slices, trim, unplane
+from .shared import Words, dealt, groups_for, mix, ngram_hashes, planes, signed, slices, trim, unplane
 
 _U = np.uint64
 WIDTH, GRAM = 20, 8
@@ -337,7 +337,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         cols.append(F.struct(*(F.col(c) for c in carry)).alias("rest"))
     by = lambda df, k: df.groupBy(k)
     # one exchange of the texts serves all steps
-    rows = docs.select(*cols).withColumn("_p", F.pmod(F.xxhash64("_row"), F.lit(groups)).cast("int"))
+    rows = dealt(docs.select(*cols).withColumn("_p", F.pmod(F.xxhash64("_row"), F.lit(groups)).cast("int")), "_p", groups)
     ask = lambda told, how: by(rows, "_p").cogroup(by(told, "p")).applyInArrow(how(groups, width, bits), _ASKED)
     anchors = by(by(rows, "_p").applyInArrow(_ask_anchors(groups, width, bits), _ASKED), "bucket").applyInArrow(_tell_recurring(1), _TOLD)
     windows = anchors.union(by(ask(anchors, _ask_windows), "bucket").applyInArrow(_tell_recurring(2), _TOLD))
