@@ -3,29 +3,31 @@
 The vocabulary is a public tokenizer's pieces, fixed. Each language has a probability
 for each piece, and a word's probability is the sum over all ways to cut it into
 pieces, by the forward algorithm. A text's score for a language is the product over its
-words; the language of highest posterior wins.
+words, of whatever length; the language of highest posterior wins.
 
 Piece probabilities are learned by expectation-maximisation: word counts of every
 language's training texts are re-weighted by forward and backward sums.
 Training needs the counts of words only, from a bounded sample of labelled texts
-(``sample_mb``), of which the fit takes each language's most frequent ``fit_words``.
+(``sample_mb``), whole texts and all their words.
 """
 
 from __future__ import annotations
 
+import math
 import os
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import choose, crc_mod, cut, digest_at, digest_limits, mix, utf8
+from .shared import choose, crc_mod, digest_at, digest_limits, mix, utf8
 
 _U = np.uint64
 _MARK = "▁"
-#: Bytes of a word read at once; longer words are cut there (white space aside, any cut is lawful).
-LONGEST = 48
+#: Words up to so many bytes are read many at once, longer ones one by one.
+AT_ONCE = 1024
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
 
 
@@ -41,22 +43,34 @@ def vocabulary(path: str | None = None) -> list[str]:
     return [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
 
 
-def normalise(text: bytes) -> bytes:
-    """Letters lower-cased, everything else a blank: what a language is told by."""
-    t = text.decode("utf-8", "replace").lower()
-    return "".join([ch if ch.isalpha() else " " for ch in t]).encode() if not t.isascii() else bytes(t, "ascii").translate(_ASCII)
+class _Kept(dict):
+    """Letters and the marks on them as they are, anything else a blank."""
+
+    def __missing__(self, code: int) -> int:
+        self[code] = code if unicodedata.category(chr(code))[0] in "LM" else 32
+        return self[code]
 
 
+_KEPT = _Kept()
 _ASCII = bytes(c if chr(c).isalpha() and c < 128 else 32 for c in range(256))
 
 
+def normalise(text: bytes) -> bytes:
+    """Letters lower-cased with their marks, everything else a blank: what a language is told by."""
+    if text.isascii():
+        return text.lower().translate(_ASCII)
+    t = text.decode("utf-8", "replace").lower().translate(_KEPT)
+    return t.encode() if any(map(str.isalpha, t)) else b""
+
+
 class Pieces:
     """Finds vocabulary pieces in many words at once; any single byte is a piece of last resort."""
 
-    def __init__(self, pieces: list[str], longest: int = 16):
-        keep = sorted({p.replace(_MARK, " ").lower().encode() for p in pieces})
-        keep = [p for p in keep if len(p) <= longest and (p.strip() or p == b" ")]
-        self.longest = longest
+    def __init__(self, pieces: list[str]):
+        # words are letters behind a blank: pieces with anything else occur in none
+        keep = sorted({p.encode() for p in (p.replace(_MARK, " ").lower() for p in pieces) if p and p == p[:1] + p[1:].translate(_KEPT).replace(" ", "") and p[:1].translate(_KEPT) == p[:1]})
+        longest = self.longest = max(map(len, keep), default=1)
+        self.of = {p: i for i, p in enumerate(keep)}
         self.size = len(keep)
         self.powers = np.array([pow(0x100000001B3, k, 1 << 64) for k in range(longest)], _U)
         codes = np.array([self._code(p) for p in keep], _U)
@@ -98,23 +112,50 @@ class Pieces:
 
 
 def by_length(words: list[bytes]):
-    """Positions and byte matrices of words of one length."""
+    """Positions and byte matrices of words of like length, filled up with zeros, and their lengths."""
     size = np.fromiter(map(len, words), np.int64, len(words))
-    order = np.argsort(size, kind="stable")
-    for width in np.unique(size):
-        at = order[np.searchsorted(size[order], width) : np.searchsorted(size[order], width, "right")]
-        yield at, np.frombuffer(b"".join([words[i] for i in at]), np.uint8).reshape(len(at), int(width))
+    # exact lengths first, then classes a quarter apart
+    width = np.where(size <= 24, size, np.ceil(24 * 1.25 ** np.ceil(np.log(np.maximum(size, 24) / 24) / math.log(1.25) - 1e-9))).astype(np.int64)
+    order = np.argsort(width, kind="stable")
+    for w in np.unique(width[size <= AT_ONCE]).tolist():
+        at = order[np.searchsorted(width[order], w) : np.searchsorted(width[order], w, "right")]
+        at = at[size[at] <= AT_ONCE]
+        yield at, np.frombuffer(b"".join([words[i].ljust(w, b"\0") for i in at]), np.uint8).reshape(len(at), w), size[at]
 
 
-def _forward(found: dict, n: int, width: int, prob: np.ndarray) -> np.ndarray:
-    """alpha[i]: summed probability of all cuts of the first i bytes, a row a word, a column a language."""
-    alpha = np.zeros((width + 1, n, prob.shape[1]))
+def _forward(found: dict, n: int, width: int, prob: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """alpha[i] * exp(scale[i]): summed probability of all cuts of the first i bytes, a row a word, a column a language.
+
+    Rows are scaled every eight bytes, so that long words do not vanish.
+    """
+    alpha, scale = np.zeros((width + 1, n, prob.shape[1])), np.zeros((width + 1, n, prob.shape[1]))
     alpha[0] = 1
+    longest = max((k for _, k in found), default=1)
     for s in range(width):
-        for k in range(1, width - s + 1):
+        if s and s % 8 == 0:
+            # what later steps read or add to takes the new scale
+            most = np.maximum(alpha[s : s + longest].max(axis=0), 1e-300)
+            alpha[s : s + longest] /= most
+            scale[s:] += np.log(most)
+        for k in range(1, min(longest, width - s) + 1):
             if (ids := found.get((s, k))) is not None:
                 alpha[s + k] += alpha[s] * prob[ids]  # id -1 is the last row, which is zero
-    return alpha
+    return alpha, scale
+
+
+def _long_word(word: bytes, pieces: Pieces, prob: np.ndarray) -> np.ndarray:
+    """log probability of one word, whatever its length, in a window of the longest piece."""
+    window, log = [np.ones(prob.shape[1])] + [np.zeros(prob.shape[1]) for _ in range(pieces.longest - 1)], np.zeros(prob.shape[1])
+    for s in range(len(word)):
+        now = window.pop(0)
+        if s % 8 == 0:
+            most = np.maximum(np.max([now, *window], axis=0), 1e-300)
+            now, window, log = now / most, [x / most for x in window], log + np.log(most)
+        window.append(np.zeros(prob.shape[1]))
+        for k in range(1, min(pieces.longest, len(word) - s) + 1):
+            if (i := pieces.of.get(word[s : s + k], pieces.size + word[s] if k == 1 else None)) is not None:
+                window[k - 1] = window[k - 1] + now * prob[i]
+    return np.log(np.maximum(window[0], 1e-300)) + log
 
 
 class Model:
@@ -127,24 +168,22 @@ class Model:
     def word_scores(self, words: list[bytes]) -> np.ndarray:
         """log probability of each word under each language."""
         out = np.empty((len(words), len(self.langs)))
-        for at, grid in by_length(words):
-            for part in range(0, len(at), 20_000):
-                rows = grid[part : part + 20_000]
-                alpha = _forward(self.pieces.find(rows), len(rows), rows.shape[1], self.prob)
-                out[at[part : part + 20_000]] = np.log(np.maximum(alpha[-1], 1e-300))
+        for at, grid, size in by_length(words):
+            step = max(1, 4_000_000 // (grid.shape[1] * max(len(self.langs), 1)))  # memory of the forward sums
+            for part in range(0, len(at), step):
+                rows, own = grid[part : part + step], size[part : part + step]
+                alpha, scale = _forward(self.pieces.find(rows), len(rows), rows.shape[1], self.prob)
+                last = np.arange(len(rows))
+                out[at[part : part + step]] = np.log(np.maximum(alpha[own, last], 1e-300)) + scale[own, last]
+        for i, w in enumerate(words):
+            if len(w) > AT_ONCE:
+                out[i] = _long_word(w, self.pieces, self.prob)
         return out
 
 
 def cut_words(text: bytes) -> list[bytes]:
-    """A blank before each word; parts of at most LONGEST bytes."""
-    out = []
-    for w in normalise(text).split():
-        w = b" " + w
-        while len(w) > LONGEST:
-            out.append(w[:LONGEST])
-            w = w[LONGEST:]
-        out.append(w)
-    return out
+    """Words, a blank before each."""
+    return [b" " + w for w in normalise(text).split()]
 
 
 def train(counts: dict[str, dict[bytes, int]], docs: dict[str, int], pieces: Pieces, rounds: int = 8, smooth: float = 0.5) -> Model:
@@ -153,21 +192,24 @@ def train(counts: dict[str, dict[bytes, int]], docs: dict[str, int], pieces: Pie
     words = sorted({w for c in counts.values() for w in c})
     weight = np.array([[counts[lang].get(w, 0) for lang in langs] for w in words], float).reshape(len(words), len(langs))
     prob = np.full((pieces.n, len(langs)), 1.0 / pieces.n)
-    groups = [(at, pieces.find(grid), grid.shape[1]) for at, grid in by_length(words)] if words else []
+    # a piece's share of a long word is told by its first AT_ONCE bytes
+    groups = [(at, pieces.find(grid), grid.shape[1], size) for at, grid, size in by_length([w[:AT_ONCE] for w in words])] if words else []
     for _ in range(rounds if langs and words else 0):
         table = np.vstack([prob, np.zeros((1, len(langs)))])
         expected = np.zeros((pieces.n + 1, len(langs)))
-        for at, found, width in groups:
-            alpha = _forward(found, len(at), width, table)
-            beta = np.zeros_like(alpha)
-            beta[width] = 1
-            for s in range(width - 1, -1, -1):
-                for k in range(1, width - s + 1):
+        for at, found, width, size in groups:
+            alpha, scale = _forward(found, len(at), width, table)
+            longest = max(k for _, k in found)
+            # beta is relative to alpha's scale at the same byte, and 1 where the word ends
+            beta, last = np.zeros_like(alpha), np.arange(len(at))
+            whole = np.maximum(alpha[size, last], 1e-300)
+            for s in range(width, -1, -1):
+                beta[s][size == s] = 1 / whole[size == s]
+                for k in range(1, min(longest, width - s) + 1):
                     if (ids := found.get((s, k))) is not None:
-                        beta[s] += beta[s + k] * table[ids]
-            scale = weight[at] / np.maximum(alpha[width], 1e-300)
+                        beta[s] += beta[s + k] * table[ids] * np.exp(scale[s] - scale[s + k])
             for (s, k), ids in found.items():
-                share = alpha[s] * table[ids] * beta[s + k] * scale
+                share = alpha[s] * table[ids] * beta[s + k] * np.exp(scale[s] - scale[s + k]) * weight[at]
                 for j in range(len(langs)):
                     expected[:, j] += np.bincount(np.where(ids < 0, pieces.n, ids), share[:, j], pieces.n + 1)
         prob = expected[:-1] + smooth
@@ -200,28 +242,22 @@ def word_counts(docs: DataFrame, text: str, lang: str, flush: int = 200_000) ->
     return rows.mapInArrow(per_batch, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary_path: str | None = None, fit_words: int = 6000, sample_mb: int = 24, doc_id: str = "doc_id") -> Model:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary_path: str | None = None, sample_mb: int = 4, doc_id: str = "doc_id") -> Model:
     """Model of the languages in ``docs``; rows with a null language or text teach nothing.
 
     It is fitted on a sample of whole texts, ``sample_mb`` MB at most over all languages,
-    in the order of a digest of the id.
+    in the order of a digest of id and text.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     kind, size = F.col(lang).cast("string"), F.octet_length(F.col(text)).cast("long")
     langs = rows.select(kind).distinct().count()
     budget = sample_mb * 1_000_000 // max(langs, 1)
-    limit, seen = digest_limits(rows.select(F.col(doc_id).alias("_id"), kind.alias("_kind"), size.alias("_size")), budget)
-    sample = rows.where((size <= budget // 16) & (digest_at(F.col(doc_id)) < choose(kind, limit, 0.0)))
+    at = digest_at(F.col(doc_id), F.col(text))
+    limit, seen = digest_limits(rows.select(at.alias("_at"), kind.alias("_kind"), size.alias("_size")), budget)
+    sample = rows.withColumn("_at", at).where((size <= budget // 16) & (F.col("_at") < choose(kind, limit, 0.0))).dropDuplicates(["_at"]) if limit else rows.limit(0)
     pieces = Pieces(vocabulary(vocabulary_path))
-    counted = cut(word_counts(sample, text, lang))
-    least = {}
-    for r in sorted(counted.groupBy("lang", "n").count().collect(), key=lambda r: -r["n"]):
-        room, _ = least.get(r["lang"], (fit_words, 0))
-        if room is not None:
-            least[r["lang"]] = (room - r["count"], r["n"]) if r["count"] <= room else (None, least.get(r["lang"], (0, r["n"]))[1])
-    frequent = counted.where(F.coalesce(*(F.when((F.col("lang") == k) & (F.col("n") >= n), True) for k, (_, n) in least.items()), F.lit(False)))
     counts: dict[str, dict[bytes, int]] = {one: {} for one in seen}
-    for r in frequent.toArrow().to_pylist():
+    for r in word_counts(sample, text, lang).toArrow().to_pylist():
         counts[r["lang"]][bytes(r["word"])] = r["n"]
     return train(counts, seen, pieces)
 
@@ -263,7 +299,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     return rows.mapInArrow(per_batch, f"{kinds}, lang_pred string, score double")
 
 
-def identify_languages(docs: DataFrame, held_out: Column | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", vocabulary_path: str | None = None, sample_mb: int = 24) -> DataFrame:
+def identify_languages(docs: DataFrame, held_out: Column | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", vocabulary_path: str | None = None, sample_mb: int = 4) -> DataFrame:
     """Columns doc_id, held_out, lang_pred, score for every row.
 
     ``held_out`` rows are not learned from (default: crc32 of the id modulo 4 is 2). The

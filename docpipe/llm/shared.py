@@ -90,15 +90,35 @@ def groups_for(df: DataFrame, text: str = "text", group_mb: int = 24, least: int
     return int(max(least, -(-total // (group_mb << 20))))
 
 
+def settled(df: DataFrame, spread: bool = False) -> DataFrame:
+    """Rows that come in the same order whenever they are read: ``df``, written first if it shuffles.
+
+    ``spread`` also writes a table of fewer partitions than there are cores, dealt to all cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < cores:
+        return cut(df.repartition(cores))
+    return cut(df) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
+def chunk_numbers(text, before: int, size: int) -> tuple[np.ndarray, int]:
+    """Which chunk of about ``size`` bytes each text of a batch falls into, and the bytes so far.
+
+    It depends on the texts before in the partition, not on how they come in batches.
+    """
+    off = utf8(text)[1]
+    return (before + off[:-1]) // size, before + int(off[-1])
+
+
 def dealt(df: DataFrame, key: str, groups: int, each: int = 4) -> DataFrame:
     """Rows dealt by ``key``, about ``each`` groups a task, where the session's setting would make them more."""
     n = -(-groups // each)
     return df.repartition(n, key) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
-def digest_at(doc_id: Column) -> Column:
-    """Place of an id in the order of digests, from 0 to 1."""
-    return F.xxhash64(doc_id, F.lit("sample")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+def digest_at(*of: Column) -> Column:
+    """Place of a row in the order of digests, from 0 to 1."""
+    return F.xxhash64(*of, F.lit("sample")).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
 
 
 def choose(kind: Column, by: dict, none: float) -> Column:
@@ -107,17 +127,19 @@ def choose(kind: Column, by: dict, none: float) -> Column:
 
 
 def digest_limits(slim: DataFrame, budget: int) -> tuple[dict, dict]:
-    """For each kind: up to which ``digest_at`` texts fit in ``budget`` bytes, and its rows.
+    """For each kind: up to which place texts fit in ``budget`` bytes, and its rows.
 
-    ``slim`` has a row for each text: _id, _kind, _size. Limits come from byte counts of at
-    most 4096 digest ranges a kind, over all rows. Texts above a sixteenth of the budget
-    do not count: a sample must leave them out.
+    ``slim`` has a row for each text: _at (its ``digest_at``), _kind, _size. Limits come from
+    byte counts of at most 4096 digest ranges a kind, over all rows; rows of one digest count
+    once. Texts above a sixteenth of the budget do not count: a sample must leave them out.
     """
-    facts = slim.where(F.col("_kind").isNotNull()).groupBy("_kind").agg(F.sum("_size").alias("bytes"), F.count("*").alias("n")).collect()
+    slim = slim.where(F.col("_kind").isNotNull()).groupBy("_kind", "_at").agg(F.max("_size").alias("_size"), F.count("*").alias("_n"))
+    slim = cut(slim)
+    facts = slim.groupBy("_kind").agg(F.sum("_size").alias("bytes"), F.sum("_n").alias("n")).collect()
     share = {r["_kind"]: min(1.0, 1.5 * budget / max(r["bytes"], 1)) for r in facts}
     if not facts:
         return {}, {}
-    at, kind = digest_at(F.col("_id")), F.col("_kind")
+    at, kind = F.col("_at"), F.col("_kind")
     small = slim.where((F.col("_size") <= budget // 16) & (at < choose(kind, share, 0.0)))
     ranges = small.groupBy("_kind", F.floor(at / choose(kind, share, 1.0) * 4096).cast("int").alias("part")).agg(F.sum("_size").alias("bytes")).collect()
     limit = {}

@@ -132,12 +132,13 @@ def sample_rows(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str,
     marked = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where("_y in (0, 1)").groupBy("_id").agg(F.max("_y").alias("_y"))
     budget = sample_mb * 500_000
     rows = docs.where(train).select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"))
-    # ids and sizes alone meet the labels; texts are read again for the sample
-    slim = cut(rows.select("_id", F.octet_length("_t").cast("long").alias("_size")).join(marked, "_id").select("_id", "_size", F.col("_y").alias("_kind")))
+    rows = rows.withColumns({"_size": F.octet_length("_t").cast("long"), "_at": digest_at(F.col("_id"), F.col("_t"))})
+    # ids, sizes and digests alone meet the labels; texts are read again for the sample
+    slim = cut(rows.select("_id", "_size", "_at").join(marked, "_id").select("_id", "_size", "_at", F.col("_y").alias("_kind")))
     limit, n = digest_limits(slim, budget)
-    within = F.col("_size") <= budget // 16
-    chosen = cut(slim.where(within & (digest_at(F.col("_id")) < choose(F.col("_kind"), limit, 0.0))).select("_id", F.col("_kind").alias("_y")).distinct()) if limit else slim.select("_id", F.col("_kind").alias("_y"))
-    sample = rows.join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, "_id").where(F.octet_length("_t") <= budget // 16)
+    within = (F.col("_size") <= budget // 16) & (F.col("_at") < choose(F.col("_kind"), limit, 0.0)) if limit else F.lit(False)
+    chosen = cut(slim.where(within).select("_id", "_at", F.col("_kind").alias("_y")).distinct())
+    sample = rows.where(F.col("_size") <= budget // 16).join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["_id", "_at"]).dropDuplicates(["_id", "_at"])
     got = sample.select("_id", "_y", "_t").toArrow().sort_by([("_id", "ascending"), ("_t", "ascending")])
     return [t.encode() for t in got["_t"].to_pylist()], np.array(got["_y"].to_pylist(), int), n.get(1, 0) / max(sum(n.values()), 1)
 

@@ -29,6 +29,40 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(model.word_scores(words)[:, j], expected)
 
 
+def by_steps(word, table, longest):
+    """log of the sum over all segmentations, byte after byte."""
+    ways = [0.0] + [-np.inf] * len(word)
+    for i in range(1, len(word) + 1):
+        ways[i] = np.logaddexp.reduce([ways[k] + np.log(table[word[k:i]]) for k in range(max(0, i - longest), i) if word[k:i] in table])
+    return ways[-1]
+
+
+@pytest.mark.parametrize("text", ["ภาษาไทยไม่มีช่องว่างระหว่างคำในประโยคที่ยาวมาก", "नमस्ते दुनिया", "中文句子没有空格所以一个词很长很长很长很长很长", "donaudampfschifffahrtsgesellschaft" * 3, "x" * 5_000, "straße " + "né" * 400])
+def test_words_of_any_length_and_script(text):
+    pieces = L.Pieces(L.vocabulary())
+    prob = np.random.default_rng(3).random((pieces.n, 2)) / 50
+    model = L.Model(pieces, ["x", "y"], prob, np.ones(2))
+    words = L.cut_words(text.encode())
+    assert b"".join(words).replace(b" ", b"") == text.replace(" ", "").encode()  # nothing is cut off
+    for j in range(2):
+        table = {bytes([b]): prob[pieces.size + b, j] for b in range(256)} | {p: prob[i, j] for p, i in pieces.of.items()}
+        assert np.allclose(model.word_scores([b" the", *words])[1:, j], [by_steps(w, table, pieces.longest) for w in words])
+
+
+def test_no_piece_that_words_can_hold_is_left_out():
+    pieces = L.Pieces(L.vocabulary())
+    can = {p.replace("▁", " ").lower() for p in L.vocabulary()}
+    assert {p.encode() for p in can if p.lstrip(" ").isalpha() and not p.startswith("  ")} <= set(pieces.of)
+    assert L.normalise("नमस्ते, ๒ ่".encode()) == "नमस्ते    ่".encode() and L.normalise("่ ่".encode()) == b""
+
+
+def test_equal_posteriors_go_to_the_first_language():
+    pieces = L.Pieces(["a"])
+    model = L.Model(pieces, ["aa", "bb"], np.full((pieces.n, 2), 0.1), np.full(2, 0.5))
+    z = model.word_scores([b" a"])[0] + model.prior
+    assert z[0] == z[1] and int(z.argmax()) == 0
+
+
 def test_em_raises_the_likelihood():
     pieces = L.Pieces(L.vocabulary())
     counts = {"en": {b" " + w.encode(): 3 for w in EN}, "de": {b" " + w.encode(): 2 for w in DE}}

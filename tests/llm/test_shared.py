@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -56,9 +57,17 @@ def test_components_of_nothing(spark):
 
 def test_digest_limits_stay_within_budget(spark):
     rows = [(i, "a" if i % 3 else "b", 100) for i in range(3000)]
-    limit, n = shared.digest_limits(spark.createDataFrame(rows, "_id long, _kind string, _size long"), 20_000)
-    slim = spark.createDataFrame(rows, "_id long, _kind string, _size long").withColumn("at", shared.digest_at("_id"))
+    slim = spark.createDataFrame(rows, "_id long, _kind string, _size long").withColumn("_at", shared.digest_at(F.col("_id")))
+    limit, n = shared.digest_limits(slim, 20_000)
+    slim = slim.withColumn("at", F.col("_at"))
     for kind in "ab":
         taken = slim.where((slim._kind == kind) & (slim["at"] < limit[kind])).count()
         assert 150 <= taken <= 200
     assert n == {"a": 2000, "b": 1000}
+
+
+def test_digest_limits_count_equal_rows_once(spark):
+    rows = [(None, "a", 900)] * 500 + [(i, "a", 100) for i in range(300)]
+    slim = spark.createDataFrame(rows, "_id long, _kind string, _size long").withColumn("_at", shared.digest_at(F.col("_id")))
+    limit, n = shared.digest_limits(slim, 100_000)
+    assert n == {"a": 800} and limit["a"] > 0.99
