@@ -9,7 +9,9 @@ estimates from the retained counts alone. Scores then use all training counts.
 
 Counts travel as tallies (see ``shared``): every group of documents asks the owner of
 each key range for the counts of the keys that the group holds, once a key. No table
-of counts is broadcast, and a word that makes up a third of the corpus is one key.
+of counts is broadcast, and a word that makes up a third of the corpus is one key. A
+group is a stretch of one input partition, so questions are asked where the texts are
+read; texts move once, to meet the answers.
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, crc_mod, cut, dealt, mix, planes, slices, trim, unplane
+from .shared import Words, chunk_numbers, crc_mod, cut, dealt, mix, planes, settled, slices, trim, unplane
 
 _U = np.uint64
 _END = _U(0x2545F4914F6CDD1D)
@@ -132,19 +135,43 @@ def _unpack(blob: bytes, fields: int) -> list[np.ndarray]:
     return out
 
 
-def _ask(buckets: int, order: int, width: int):
+def _grouped(size: int):
+    """Batches with the number p of each row's group; those of deleted documents are odd."""
+
+    def grouped(batches):
+        first, before = TaskContext.get().partitionId() << 32, 0
+        for t in batches:
+            chunk, before = chunk_numbers(t["text"], before, size)
+            p = pa.array((first + chunk) * 2 + np.asarray(t["gone"]))
+            yield pa.RecordBatch.from_arrays([p, t["doc_id"], t["held_out"], t["text"]], names=["p", "doc_id", "held_out", "text"])
+
+    return grouped
+
+
+def _ask(size: int, buckets: int, order: int, width: int):
     """Each group's distinct words and n-grams, and how often it holds them in training."""
 
-    def ask(table: pa.Table) -> pa.Table:
-        g, p = _Group(table["text"], order, width), table["p"][0].as_py()
+    def tally(p: int, table: pa.Table) -> pa.RecordBatch:
+        g = _Group(table["text"], order, width)
         train = np.repeat(~np.asarray(table["held_out"]), g.n).astype(float)
         out: list[dict[int, bytes]] = []
         for k, (keys, at) in enumerate(zip(g.keys, g.at)):
             n, w = np.bincount(at, train, len(keys)).astype(_U), width if k else 8
             out.append({b: _pack((keys[s] >> _U(64 - 8 * w), w), (n[s], _bytes_for(n[s]))) for b, s in slices(keys, buckets)})
         own = sorted(set().union(*out))
+        return pa.RecordBatch.from_pydict({"bucket": pa.array(own, pa.int32()), "p": pa.array([p] * len(own), pa.int64()), **{f"g{k}": pa.array([v.get(b) for b in own], pa.binary()) for k, v in enumerate(out)}})
+
+    def ask(batches):
+        held: dict[int, list] = {}
+        for t in _grouped(size)(batches):
+            p = np.asarray(t["p"])
+            for one in np.unique(p).tolist():
+                held.setdefault(one, []).append(t.filter(pa.array(p == one)))
+            for done in [k for k in held if k // 2 < int(p[-1]) // 2] if len(p) else ():  # chunks follow one another
+                yield tally(done, pa.Table.from_batches(held.pop(done)))
+        for p in list(held):
+            yield tally(p, pa.Table.from_batches(held.pop(p)))
         trim()
-        return pa.table({"bucket": pa.array(own, pa.int32()), "p": pa.array([p] * len(own), pa.int32()), **{f"g{k}": pa.array([v.get(b) for b in own], pa.binary()) for k, v in enumerate(out)}})
 
     return ask
 
@@ -162,18 +189,18 @@ def _sums(blobs: list, deleted: np.ndarray):
     return told, kept, gone
 
 
-def _answer(groups: int, order: int):
+def _answer(order: int):
     def answer(table: pa.Table) -> pa.Table:
         p, told = np.asarray(table["p"]), {}
         for k in range(order):
-            told[f"g{k}"], kept, gone = _sums(table[f"g{k}"].to_pylist(), p >= groups)
+            told[f"g{k}"], kept, gone = _sums(table[f"g{k}"].to_pylist(), p % 2 == 1)
             if not k:
                 total = kept + gone
                 facts = {"tokens": int(total.sum()), "types": int((total > 0).sum()), "kept_tokens": int(kept.sum())}
         trim()
         n = len(p)
         return pa.table({
-            "p": pa.array([*p, -1], pa.int32()), "bucket": pa.array([*table["bucket"].to_pylist(), table["bucket"][0].as_py()], pa.int32()),
+            "p": pa.array([*p, -2], pa.int64()), "bucket": pa.array([*table["bucket"].to_pylist(), table["bucket"][0].as_py()], pa.int32()),
             **{k: pa.array([*v, None], pa.binary()) for k, v in told.items()},
             **{k: pa.array([0] * n + [v], pa.int64()) for k, v in facts.items()},
         })
@@ -242,7 +269,7 @@ def score_documents(docs: DataFrame, held_out: Column | None = None, deleted: Co
 
     Null texts count as empty ones: a closing token alone. A null id counts as the
     empty text for the remainder. Repeated rows are scored, and counted, one by one, and
-    rows are dealt to groups one by one, whatever their ids. Other columns are ignored.
+    rows are grouped where they are read, whatever their ids. Other columns are ignored.
     Without deleted rows fixed weights hold; an empty table gives an empty result. Words
     are told apart by 64-bit hashes, longer n-grams by so many bytes of theirs that one in
     some thousands is mistaken for another at most.
@@ -250,30 +277,30 @@ def score_documents(docs: DataFrame, held_out: Column | None = None, deleted: Co
     remainder = crc_mod(doc_id, 10)
     held = F.coalesce(held_out if held_out is not None else remainder == 0, F.lit(False))
     gone = F.coalesce(deleted if deleted is not None else remainder == 1, F.lit(False)) & ~held
+    docs = settled(docs, spread=True)  # rows keep their groups
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     groups = max(least_groups, -(-size // (group_mb << 20)))
     width = min(8, max(5, -(-(size.bit_length() + 11) // 8)))
-    slot = F.xxhash64(F.monotonically_increasing_id())
-    p = F.when(gone, groups + F.pmod(slot, F.lit(max(1, groups // 10)))).otherwise(F.pmod(slot, F.lit(groups))).cast("int")
-    rows = docs.select(p.alias("p"), F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).cast("string").alias("text"))
-    rows = dealt(rows, "p", groups)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), gone.alias("gone"), F.col(text).cast("string").alias("text"))
+    size = max(1, min(group_mb << 20, size // least_groups))
 
     grams = ", ".join(f"g{k} binary" for k in range(order))
-    asked = dealt(rows.groupBy("p").applyInArrow(_ask(groups, order, width), f"bucket int, p int, {grams}"), "bucket", groups)
-    answers = cut(asked.groupBy("bucket").applyInArrow(_answer(groups, order), f"p int, bucket int, {grams}, tokens long, types long, kept_tokens long"))
-    n = answers.where("p = -1").agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tokens", "types", "kept_tokens"))).first()
+    asked = dealt(rows.mapInArrow(_ask(size, groups, order, width), f"bucket int, p long, {grams}"), "bucket", groups)
+    answers = cut(asked.groupBy("bucket").applyInArrow(_answer(order), f"p long, bucket int, {grams}, tokens long, types long, kept_tokens long"))
+    rows = rows.mapInArrow(_grouped(size), "p long, doc_id long, held_out boolean, text string")
+    n = answers.where("p < 0").agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tokens", "types", "kept_tokens"))).first()
     in_docs = docs.agg(F.count_if(~held).alias("train"), F.count_if(~held & ~gone).alias("kept")).first()
     for_group = answers.where("p >= 0").select("p", "bucket", *(f"g{k}" for k in range(order)))
     by_group = lambda df: df.groupBy("p")
 
-    late = F.col("p") >= groups
+    late = F.col("p") % 2 == 1
     events = by_group(rows.where(late)).cogroup(by_group(for_group.where(late))).applyInArrow(_events(n.kept_tokens, in_docs.kept, order, width), "event long, n long")
     table = events.groupBy("event").agg(F.sum("n").alias("n")).toArrow()
     code = table["event"].to_numpy().astype(np.int64)
     cells = [(code >> (_CELL * k)) & ((1 << _CELL) - 1) for k in range(order - 1, -1, -1)]
     weights = learn_weights(np.stack([code >> (_CELL * order), *cells, table["n"].to_numpy().astype(np.int64)], axis=1), order, 1.0 / (n.types + 1))
 
-    scored = by_group(rows).cogroup(by_group(dealt(for_group, "p", groups))).applyInArrow(_score(weights, n.tokens, n.types, in_docs.train, order, width), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    scored = by_group(dealt(rows, "p", groups)).cogroup(by_group(dealt(for_group, "p", groups))).applyInArrow(_score(weights, n.tokens, n.types, in_docs.train, order, width), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 

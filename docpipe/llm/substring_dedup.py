@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, dealt, groups_for, mix, ngram_hashes, planes, signed, slices, trim, unplane
+from .shared import Words, dealt, groups_for, mix, ngram_hashes, planes, settled, signed, slices, trim, unplane
 
 _U = np.uint64
 WIDTH, GRAM = 20, 8
@@ -330,6 +330,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     ``rest``; others are ignored. An empty table gives an empty result. ``bits`` are kept
     of a word's hash: fewer make more candidates and change no result.
     """
+    docs = settled(docs)  # rows keep their numbers
     groups = groups_for(docs, text, group_mb, least_groups)
     row = F.monotonically_increasing_id()
     cols = [row.alias("_row"), F.col(doc_id).cast("long").alias("_id"), F.xxhash64(F.col(text).cast("string")).alias("_digest"), F.col(text).cast("string").alias("_text")]
