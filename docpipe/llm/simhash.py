@@ -2,21 +2,24 @@
 
 Two 64-bit fingerprints at most two bits apart differ in at most two of their eight
 bytes, so they share at least six positional bytes: the guaranteed minimum. Lists of
-single positional bytes would hold a 256th of all fingerprints each, so the index
-intersects them in advance: the bytes form four blocks of two, two blocks at least are
-whole in every linked pair, and the index is keyed by (which two blocks, their four
-bytes). Pairs that meet in a list get their shared positional bytes tallied, those
-below six go, and the rest are verified bit by bit.
-
-A list longer than ``list_limit`` would make a pair count square in its length. Its
-members are linked in another exact way: fingerprints are at most two bits apart just
-if they share a value among themselves and their 64 one-bit neighbours, so each member
-contributes 65 rows and every value links its members to its smallest one.
+single positional bytes would hold a 256th of all fingerprints each, so the index holds
+their intersections, four bytes at a time: a list for each choice of four positions and
+each value of their bytes. A pair that shares m positional bytes meets in C(m, 4) of these
+70 choices, so the tally of its meetings tells m, and pairs tallied below C(6, 4) = 15 go.
+The others are verified bit by bit.
+
+A list longer than ``list_limit`` would make a pair count square in its length; further
+bytes would not split it, as it holds close variants of one text. Its members are linked in
+another exact way: fingerprints are at most two bits apart just if they share a value among
+themselves and their 64 one-bit neighbours, so each member contributes 65 rows and every
+value links its members to its smallest one. A fingerprint in no such list has all its
+lists tallied, so either way is whole.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ from .shared import components, cut, utf8
 #: Positional bytes that two fingerprints within two bits of each other share.
 SHARED_BYTES = 6
 MAX_BITS = 2
+#: Positional bytes that a list of the index intersects.
+TOGETHER = 4
 
 
 def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
@@ -65,15 +70,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return rows.mapInArrow(per_batch, "doc_id long, fp long")
 
 
-def _block(fp: Column, k: int) -> Column:
-    return F.shiftrightunsigned(fp, 16 * k).bitwiseAND(F.lit(0xFFFF))
-
-
-def shared_bytes(a: Column, b: Column) -> Column:
-    """How many of the eight positional bytes two fingerprints share."""
-    x = a.bitwiseXOR(b)
-    same = [F.when(F.shiftrightunsigned(x, 8 * k).bitwiseAND(F.lit(0xFF)) == 0, 1).otherwise(0) for k in range(8)]
-    return sum(same[1:], same[0])
+def positions() -> list[int]:
+    """Masks of all choices of ``TOGETHER`` of the eight bytes, as signed 64-bit integers."""
+    masks = [sum(0xFF << 8 * k for k in chosen) for chosen in combinations(range(8), TOGETHER)]
+    return [m - (1 << 64 if m >> 63 else 0) for m in masks]
 
 
 def near_links(fps: DataFrame, list_limit: int = 64) -> DataFrame:
@@ -82,20 +82,19 @@ def near_links(fps: DataFrame, list_limit: int = 64) -> DataFrame:
     Every returned link is within two bits or joins members of one component; every
     pair within two bits is connected by returned links.
     """
-    keys = F.array(*(F.struct(F.lit(i).alias("which"), F.shiftleft(_block(F.col("fp"), x), 16).bitwiseOR(_block(F.col("fp"), y)).alias("bytes")) for i, (x, y) in enumerate(combinations(range(4), 2))))
-    index = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.which", "k.bytes")
+    index = fps.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in positions()))).alias("which", "bytes"))
     lists = index.groupBy("which", "bytes").count().where("count > 1")
     index = cut(index.join(lists, ["which", "bytes"]))
 
+    crowded = index.groupBy("fp").agg(F.max("count").alias("most")).where(F.col("most") > list_limit).select("fp")
     short = index.where(F.col("count") <= list_limit)
     left, right = short.select("which", "bytes", F.col("fp").alias("a")), short.select("which", "bytes", F.col("fp").alias("b"))
-    pairs = left.join(right, ["which", "bytes"]).where("a < b")
-    pairs = pairs.where(shared_bytes(F.col("a"), F.col("b")) >= SHARED_BYTES)
-    pairs = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS).select("a", "b").distinct()
+    tally = left.join(right, ["which", "bytes"]).where("a < b").groupBy("a", "b").count()
+    pairs = tally.where(F.col("count") >= comb(SHARED_BYTES, TOGETHER))
+    pairs = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS).select("a", "b")
 
-    crowd = index.where(F.col("count") > list_limit).select("fp").distinct()
     flips = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit((1 << k) - (1 << 64 if k == 63 else 0))) for k in range(64)))
-    spread = crowd.select("fp", F.explode(flips).alias("value"))
+    spread = crowded.select("fp", F.explode(flips).alias("value"))
     least = spread.groupBy("value").agg(F.min("fp").alias("b"), F.max("fp").alias("most")).where("b < most").select("value", "b")
     stars = spread.join(least, "value").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
     return pairs.union(stars)

@@ -3,6 +3,7 @@ import re
 import numpy as np
 import xxhash
 
+from docpipe.llm import simhash
 from docpipe.llm.simhash import fingerprint, hexadecimal, near_duplicates, near_links
 
 
@@ -79,3 +80,20 @@ def test_hexadecimal_and_empty_table(spark, make_docs):
     df = spark.createDataFrame([(-1,), (0,), (255,)], "fp long")
     assert [r[0] for r in df.select(hexadecimal(df.fp)).collect()] == ["f" * 16, "0" * 16, "0" * 14 + "ff"]
     assert near_duplicates(make_docs([])).count() == 0
+
+
+def test_tallies_decide(spark, monkeypatch):
+    """A pair two bits apart in two bytes meets in 15 lists, just the guaranteed minimum."""
+    base = 0x1122334455667788
+    rows = [base, base ^ (1 << 3) ^ (1 << 60), base ^ 1 ^ (1 << 20) ^ (1 << 50), 5]
+    df = spark.createDataFrame([(x,) for x in rows], "fp long")
+    assert [(r.a, r.b) for r in near_links(df).collect()] == [(min(rows[:2]), max(rows[:2]))]
+    monkeypatch.setattr(simhash, "SHARED_BYTES", 7)
+    assert near_links(df).count() == 0
+    assert len(simhash.positions()) == 70
+
+
+def test_many_rows_without_text_or_id(make_docs, prose):
+    rows = [(None, prose(30)) for _ in range(30)] + [(i, None if i % 2 else "") for i in range(300)] + [(None, None)] * 60
+    found = near_duplicates(make_docs(rows)).collect()
+    assert len(found) == len(rows) and {r.component_id for r in found if r.fp == 0} == {0}
