@@ -173,9 +173,21 @@ def dedup_by_code(diagnoses: Column) -> Column:
     return F.aggregate(diagnoses.cast(f"array<{DIAGNOSIS.simpleString()}>"), empty, lambda acc, d: F.when(F.exists(acc, lambda x: x["diagnosis_code"].eqNullSafe(d["diagnosis_code"])), acc).otherwise(F.concat(acc, F.array(d))))
 
 
+#: What a text must hold for the patterns that end in a code to match at all. They start
+#: anywhere and run across lines, so that looking for their ends first saves most of the time.
+NEEDS = {patterns.DIAGNOSIS[5]: r"\s\([A-Z][0-9]{2}", MORE_DIAGNOSES[1]: r"\s[A-Z][0-9]{2}(?:\.[0-9A-Z]{1,4})?\s*$"}
+
+
 def found_diagnoses(t: Column) -> Column:
     """All diagnoses that any pattern finds, in the order of patterns and then of the text."""
-    return F.concat(*(_found(t, p, True) for p in patterns.DIAGNOSIS), *(_found(t, p, False) for p in MORE_DIAGNOSES))
+    kind = f"array<{DIAGNOSIS.simpleString()}>"
+    none = F.array().cast(kind)
+
+    def found(pattern: str, keep_uncoded: bool) -> Column:
+        out = _found(t, pattern, keep_uncoded).cast(kind)
+        return F.when(F.rlike(t, F.lit(LINES + NEEDS[pattern])), out).otherwise(none) if pattern in NEEDS else out
+
+    return F.concat(*(found(p, True) for p in patterns.DIAGNOSIS), *(found(p, False) for p in MORE_DIAGNOSES))
 
 
 def diagnoses(t: Column) -> Column:
@@ -193,19 +205,17 @@ def _primary_only(main: Column) -> Column:
     return F.when((main["icd_code"] != "") | (main["description"] != ""), F.array(only).cast(f"array<{DIAGNOSIS.simpleString()}>")).otherwise(F.array().cast(f"array<{DIAGNOSIS.simpleString()}>"))
 
 
-def with_records(rows: DataFrame, patient_text: str, order_text: str, with_diagnoses: bool = True) -> DataFrame:
+def with_records(rows: DataFrame, patient_text: str, order_text: str) -> DataFrame:
     """Adds the records patient and order, each read from a text column.
 
     Values that others build on (the cleaned text, the name, the address) are settled
-    first. Diagnoses are read from the order's text as it is; they take most of the time
-    and can be left out (they are empty then).
+    first. Diagnoses are read from the order's text as it is.
     """
     rows = settle(rows, {"_p": text.clean_ascii(F.col(patient_text)), "_o": text.clean_ascii(F.col(order_text))})
     p, o = F.col("_p"), F.col("_o")
-    no_diagnoses = F.array().cast(f"array<{DIAGNOSIS.simpleString()}>")
-    rows = settle(rows, {"_who": patient_name(p), "_addr": address(p), "_soc": start_of_care(o), "_main": primary_diagnosis(o) if with_diagnoses else F.struct(F.lit("").alias("icd_code"), F.lit("").alias("description")), "_found": found_diagnoses(F.col(order_text)) if with_diagnoses else no_diagnoses})
+    rows = settle(rows, {"_who": patient_name(p), "_addr": address(p), "_soc": start_of_care(o), "_main": primary_diagnosis(o), "_found": found_diagnoses(F.col(order_text))})
     who, addr = F.col("_who"), F.col("_addr")
-    rows = settle(rows, {"_place": city_state_zip(addr, p), "_sex": gender_with_name(p, who["first_name"]), "_period": certification_period(o, soc=F.col("_soc")), "_listed": unique_or_primary(F.col("_found"), F.col(order_text)) if with_diagnoses else F.col("_found")})
+    rows = settle(rows, {"_place": city_state_zip(addr, p), "_sex": gender_with_name(p, who["first_name"]), "_period": certification_period(o, soc=F.col("_soc")), "_listed": unique_or_primary(F.col("_found"), F.col(order_text))})
     place, period = F.col("_place"), F.col("_period")
     of_patient = {"patient_fname": who["first_name"], "patient_lname": who["last_name"], "dob": dob(p), "patient_sex": F.col("_sex"), "ssn": ssn(p), "medical_record_no": mrn(p), "address": addr, "city": place["city"], "state": place["state"], "zip_code": place["zip_code"], "phone_number": phone_number(p), "provider_name": provider_name(p)}
     of_order = {"order_no": order_number(o), "order_date": order_date(o), "episode_start_date": period["start"], "episode_end_date": period["end"], "start_of_care": F.col("_soc"), "physician_name": physician_name(o), "ordering_facility": provider_name(o), "primary_diagnosis": F.col("_main.description"), "episode_diagnoses": F.col("_listed")}

@@ -43,10 +43,19 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", pick(LAST, k).alias("last"), pick(FIRST, k).alias("first"), dob.alias("dob"), F.when(k % 2 == 0, "MALE").otherwise("FEMALE").alias("sex"), F.concat(F.lit("HH"), F.lpad(k.cast("string"), 11, "0")).alias("mrn"), phone.alias("phone"))
 
 
+def diagnosis_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code lines of each order, from the parts of its line items (a handful an order)."""
+    n = F.col("l_partkey")
+    code = F.concat(F.char(65 + n % 26), F.lpad((F.floor(n / 26) % 100).cast("string"), 2, "0"), F.lit("."), n % 10)
+    line = F.concat(code, F.lit(" Chronic trouble "), n % 97, F.lit(" (E)"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", line.alias("line")))).alias("lines"))
+    return lines.select("o_orderkey", F.array_join(F.col("lines.line"), "\n").alias("coded"))
+
+
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, ordinal, text, status of one document for each order."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("d"))
-    rows = o.join(people(spark, sf_dir), o.o_custkey == F.col("c_custkey"))
+    rows = o.join(people(spark, sf_dir), o.o_custkey == F.col("c_custkey")).join(diagnosis_lines(spark, sf_dir), "o_orderkey", "left")
     k = F.col("o_orderkey")
     loose = lambda c: F.date_format(c, "M/d/yyyy")
     lines = F.concat_ws(
@@ -54,7 +63,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Patient's Gender: "), F.col("sex")), F.concat(F.lit("MR#: "), F.col("mrn")), F.concat(F.lit("Phone: "), F.col("phone")), F.lit("Faxed on Monday"), F.lit("ORDERS"),
         F.concat(F.lit("The Order Number: "), F.lpad(k.cast("string"), 8, "0")), F.concat(F.lit("The Order Date: "), loose(F.col("d"))),
         F.when(k % 5 != 0, F.concat(F.lit("SOC Date: "), loose(F.date_sub("d", 10)))), F.when(k % 3 != 0, F.concat(F.lit("Certification Period: "), loose(F.col("d")), F.lit(" to "), loose(F.date_add("d", 59)))),
-        F.lit("CONFIDENTIAL"), F.lit("DIAGNOSES"), F.lit("see chart"),
+        F.lit("CONFIDENTIAL"), F.lit("DIAGNOSES"), F.col("coded"),
     )
     return rows.select(F.concat(F.lit("D"), k).alias("doc_id"), k.alias("ordinal"), lines.alias("text"), F.lit("extracted").alias("status"))
 
@@ -70,18 +79,26 @@ _PEOPLE = f"""people AS (
 def order_doc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = settle(spread(order_documents(spark, sf_dir)), {"clean": T.preprocess(F.col("text"))})
     docs = settle(docs, {"sec": T.sections(F.col("clean"))})
-    got = extract.with_records(docs.withColumns({"a": F.col("sec.HEADER"), "b": F.col("sec.ORDERS")}), "a", "b", with_diagnoses=False)
+    got = extract.with_records(docs.withColumns({"a": F.col("sec.HEADER"), "b": F.concat_ws("\n", "sec.ORDERS", "sec.DIAGNOSES")}), "a", "b")
     p, o = F.col("patient"), F.col("order")
-    return got.select("doc_id", p["patient_lname"].alias("lname"), p["patient_fname"].alias("fname"), p["dob"].alias("dob"), p["patient_sex"].alias("sex"), p["medical_record_no"].alias("mrn"), p["phone_number"].alias("phone"), o["order_no"].alias("order_no"), o["order_date"].alias("order_date"), o["start_of_care"].alias("soc"), o["episode_start_date"].alias("episode_start"), o["episode_end_date"].alias("episode_end"))
+    listed = o["episode_diagnoses"]
+    codes, texts = (F.array_join(listed[c], "; ") for c in ("diagnosis_code", "diagnosis_description"))
+    return got.select("doc_id", p["patient_lname"].alias("lname"), p["patient_fname"].alias("fname"), p["dob"].alias("dob"), p["patient_sex"].alias("sex"), p["medical_record_no"].alias("mrn"), p["phone_number"].alias("phone"), o["order_no"].alias("order_no"), o["order_date"].alias("order_date"), o["start_of_care"].alias("soc"), o["episode_start_date"].alias("episode_start"), o["episode_end_date"].alias("episode_end"), o["primary_diagnosis"].alias("primary_diagnosis"), F.size(listed).cast("long").alias("n_diagnoses"), codes.alias("diagnosis_codes"), texts.alias("diagnosis_texts"))
 
 
 _ORDER_DOC_SQL = f"""WITH {_PEOPLE}, d AS (
-  SELECT o_orderkey AS k, o_orderdate::DATE AS d, p.* FROM orders JOIN people p ON o_custkey = c_custkey)
-SELECT 'D' || k AS doc_id, last AS lname, first AS fname, strftime(dob, '%m/%d/%Y') AS dob, sex, mrn, phone, lpad(k::VARCHAR, 8, '0') AS order_no,
+  SELECT o_orderkey AS k, o_orderdate::DATE AS d, p.* FROM orders JOIN people p ON o_custkey = c_custkey),
+coded AS (
+  SELECT l_orderkey, l_linenumber AS n, l_partkey AS part, chr((65 + l_partkey % 26)::INTEGER) || lpad((l_partkey // 26 % 100)::VARCHAR, 2, '0') || '.' || l_partkey % 10 AS code,
+         'Chronic trouble ' || l_partkey % 97 AS words FROM lineitem),
+listed AS (
+  SELECT l_orderkey, count(*)::BIGINT AS n_diagnoses, string_agg(code, '; ' ORDER BY n, part) AS codes, string_agg(words, '; ' ORDER BY n, part) AS texts, arg_min(words, (n, part)) AS main
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, code ORDER BY n, part) AS turn FROM coded) WHERE turn = 1 GROUP BY l_orderkey)
+SELECT 'D' || k AS doc_id, coalesce(main, '') AS primary_diagnosis, coalesce(n_diagnoses, 0) AS n_diagnoses, coalesce(codes, '') AS diagnosis_codes, coalesce(texts, '') AS diagnosis_texts, last AS lname, first AS fname, strftime(dob, '%m/%d/%Y') AS dob, sex, mrn, phone, lpad(k::VARCHAR, 8, '0') AS order_no,
        strftime(d, '%m/%d/%Y') AS order_date, CASE WHEN k % 5 <> 0 THEN strftime(d - 10, '%m/%d/%Y') ELSE '' END AS soc,
        CASE WHEN k % 3 <> 0 THEN strftime(d, '%m/%d/%Y') WHEN k % 5 <> 0 THEN strftime(d - 10, '%m/%d/%Y') ELSE '' END AS episode_start,
        CASE WHEN k % 3 <> 0 THEN strftime(d + 59, '%m/%d/%Y') WHEN k % 5 <> 0 THEN strftime(d + 49, '%m/%d/%Y') ELSE '' END AS episode_end
-FROM d"""
+FROM d LEFT JOIN listed ON l_orderkey = k"""
 
 
 # --- records made from keys ---------------------------------------------------
