@@ -9,8 +9,8 @@ proposes is filtered by sizes and positions and verified on the texts themselves
 Only what connects is asked for, so each text is first verified against the one text that
 shares most lists with it. Pairs whose texts these links leave in different components are
 verified then. A list longer than ``list_limit`` at first proposes only its neighbours in
-order of size, and later those of its members that are still apart, pair by pair. So no
-link is lost, while a large group of copies stays linear.
+order of size, and later those of its members that are still apart, pair by pair, unless
+sketches of the two texts are far from alike. A large group of copies stays linear.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ _U = np.uint64
 #: Bytes of text sampled for the order of shingles, and most shingles that it knows of.
 SAMPLE_BYTES, MOST_KNOWN = 64 << 20, 500_000
 NEIGHBOURS = 8
+#: Least hashes of a text in a long list. Their share in common strays by 0.05 from the similarity
+#: of two texts (standard deviation); ``DOUBT`` is six times that, so that a link is lost once in 10^9.
+SKETCH, DOUBT = 64, 0.3
 _SLACK = 1e-9
 
 
@@ -81,13 +84,22 @@ def _may(size_a, at_a, size_b, at_b, share: float):
     return (small >= share * large - _SLACK) & (most >= share / (1 + share) * (size_a + size_b) - _SLACK)
 
 
+def _alike(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two sets, as their least hashes tell it."""
+    x, y = np.frombuffer(a, _U), np.frombuffer(b, _U)
+    most = min(x[-1] if len(x) == SKETCH else ~_U(0), y[-1] if len(y) == SKETCH else ~_U(0))
+    n = np.searchsorted(x, most, "right") + np.searchsorted(y, most, "right")
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(n - both, 1)
+
+
 def _lists(batches, least_rows: int = 200_000):
     """Tables of whole lists: (columns, first row of each list and the end), from sorted rows."""
     held, n = [], 0
 
     def table():
         t = pa.Table.from_batches(held).combine_chunks()
-        columns = {c: t[c].to_numpy() for c in t.column_names}
+        columns = {c: t[c].to_numpy(zero_copy_only=False) for c in t.column_names}
         token = columns["token"]
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]])) if len(token) else np.zeros(1, np.int64)
         return t, columns, first
@@ -164,9 +176,15 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
                 k = np.concatenate(long)
                 yield pa.RecordBatch.from_arrays([pa.array(c["token"][k]), pa.array(ids[k]), pa.nulls(len(k), pa.int64()), pa.array(size[k]), pa.array(at[k])], names=["token", "a", "b", "size", "at"])
 
+    def sketch(batches):
+        for t in _parts(batches):
+            owner, h = sets(t["text"], width)
+            first = np.searchsorted(owner, np.arange(t.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([t["id"], pa.array([h[a : min(b, a + SKETCH)].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], names=["id", "sketch"])
+
     def propose_apart(batches):
         for c, first in _lists(batches):
-            ids, size, at, part = c["id"], c["size"], c["at"], c["part"]
+            ids, size, at, part, least = c["id"], c["size"], c["at"], c["part"], c["sketch"]
             for lo, hi in zip(first[:-1], first[1:]):
                 if (part[lo:hi] == part[lo]).all():
                     continue
@@ -175,6 +193,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
                     j = np.arange(i + 1, lo + np.searchsorted(size[lo:hi], size[i] / share + _SLACK, "right"))
                     j = j[part[j] != part[i]]
                     j = j[_may(size[i], at[i], size[j], at[j], share)]
+                    j = np.array([k for k in j.tolist() if _alike(least[i], least[k]) >= share - DOUBT], np.int64)
                     found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
                 pairs = np.unique(np.concatenate(found, axis=1), axis=1)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
@@ -207,7 +226,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
     apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b")
     long = proposed.where("b is null").select("token", F.col("a").alias("id"), "size", "at")
-    long = long.join(of("id"), "id", "left").select("token", "id", "size", "at", F.coalesce("part_id", "id").alias("part"))
+    in_long = cut(long.select("id").distinct())
+    few = in_long.count() <= 1_000_000
+    sketched = rows.join(F.broadcast(in_long) if few else in_long, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(sketch, "id long, sketch binary")
+    long = long.join(of("id"), "id", "left").join(sketched, "id").select("token", "id", "size", "at", F.coalesce("part_id", "id").alias("part"), "sketch")
     long = long.repartition("token").sortWithinPartitions("token", "size", "id").mapInArrow(propose_apart, "a long, b long")
     rest = cut(apart.union(long).distinct().join(best, ["a", "b"], "left_anti"))
     return links.union(verified(rest)).union(equal)
