@@ -14,7 +14,7 @@ from docpipe.llm.decontaminate import overlaps
 from docpipe.llm.mixing import mix_sources
 from docpipe.llm.near_copies import near_copies
 from docpipe.llm.shared import components, cut
-from docpipe.llm.simhash import near_duplicates
+from docpipe.llm.simhash import duplicate_links
 from docpipe.llm.substring_dedup import dedup_substrings
 from docpipe.llm.toxicity import scorer, train_model
 
@@ -39,13 +39,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     of rows with a null id, the one of smallest row key stays.
     """
     rows = docs.withColumn("_row", row_key(docs))
-    of = cut(near_duplicates(rows, "_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("part")).distinct())
-    links = near_copies(rows, "_row")
-    a, b = (of.select(F.col("_row").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
-    moved = cut(components(links.join(a, "a").join(b, "b"), "part_a", "part_b"))
-    of = of.join(moved, of.part == moved.node, "left").select("_row", F.coalesce("component", "part").alias("part"))
+    of = components(duplicate_links(rows, "_row").union(near_copies(rows, "_row")))
     ids = rows.select("_row", "doc_id").distinct()
-    best = ids.join(of, "_row").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best")).select("best.*")
+    best = ids.join(of, ids._row == of.node, "left").withColumn("part", F.coalesce("component", "_row")).groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best")).select("best.*")
     named = best.where("not none").groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")
     kept = cut(named.union(best.where("none").select("_row")))
     return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)

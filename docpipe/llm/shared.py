@@ -297,12 +297,17 @@ def trim() -> None:
 # --- connected components ----------------------------------------------------
 
 
+#: Most nodes, but for one batch, that a task holds when it turns links into stars.
+STAR_NODES = 500_000
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest node reachable from each linked node: columns node, component.
 
-    ``links`` holds pairs of 64-bit integers. First every partition replaces its own
-    links by a spanning star, which changes no component; then large-star and
-    small-star rounds run until nothing changes. Every step is an aggregate or a join
+    ``links`` holds pairs of 64-bit integers. Large-star and small-star rounds run until
+    nothing changes. Before and after the links meet in a shuffle, at the start and in each
+    round, every partition replaces its own links by spanning stars, ``STAR_NODES`` nodes at a
+    time, which changes no component and saves rounds. Every step is an aggregate or a join
     on even keys, each round's links are written to the shared folder, and none are
     gathered in one place. Links from a node to itself and nulls are left out.
     """
@@ -316,21 +321,26 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 x = p
             return x
 
+        def stars():
+            found = [(x, r) for x in parent if (r := root(x)) != x]
+            parent.clear()
+            return pa.RecordBatch.from_pydict({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([r for _, r in found], pa.int64())})
+
         for t in batches:
             for x, y in zip(t["u"].to_pylist(), t["v"].to_pylist()):
                 parent.setdefault(x, x)
                 parent.setdefault(y, y)
                 if (r := root(x)) != (s := root(y)):
                     parent[max(r, s)] = min(r, s)
-        found = [(x, root(x)) for x in parent]
-        found = [(x, r) for x, r in found if x != r]
-        yield pa.RecordBatch.from_pydict({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([r for _, r in found], pa.int64())})
+            if len(parent) >= STAR_NODES:
+                yield stars()
+        yield stars()
 
     pairs = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
-    now = cut(pairs.mapInArrow(contract, "u long, v long").distinct())
+    now = cut(pairs.mapInArrow(contract, "u long, v long").distinct().mapInArrow(contract, "u long, v long"))
     state = None
     while True:
-        new = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if new[0] == 0 or tuple(new) == state:
             break
         state = tuple(new)
@@ -340,7 +350,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v")))
-        now = cut(small.distinct())
+        now = cut(small.distinct().mapInArrow(contract, "u long, v long"))
     return now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), F.least("u", "component").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

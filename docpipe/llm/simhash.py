@@ -100,6 +100,20 @@ def near_links(fps: DataFrame, list_limit: int = 64) -> DataFrame:
     return pairs.union(stars)
 
 
+def duplicate_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", list_limit: int = 64) -> DataFrame:
+    """Links a, b between ids that connect what ``near_duplicates`` puts in one component.
+
+    For callers that add links of their own before they ask for components. Rows without an
+    id take part in no link; otherwise rows are treated as ``near_duplicates`` treats them.
+    """
+    of = cut(fingerprints(docs, doc_id, text).where("doc_id is not null"))
+    classes = cut(of.groupBy("fp").agg(F.min("doc_id").alias("b")))
+    equal = of.join(classes, "fp").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
+    sides = [classes.select(F.col("fp").alias(f"fp_{x}"), F.col("b").alias(x)) for x in "ab"]
+    close = near_links(classes.select("fp"), list_limit).toDF("fp_a", "fp_b").join(sides[0], "fp_a").join(sides[1], "fp_b")
+    return equal.union(close.select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", list_limit: int = 64) -> DataFrame:
     """One row for each document: doc_id, fp, component_id (smallest id reachable).
 

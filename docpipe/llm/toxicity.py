@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import _LOWER, _SPACE, _powers, choose, crc_mod, cut, digest_at, digest_limits, mix, utf8
+from .shared import _LOWER, _SPACE, _powers, choose, crc_mod, cut, digest_at, digest_limits, mix, trim, utf8
 
 _U = np.uint64
 ORDERS = (3, 4, 5, 6, 8)
@@ -145,7 +145,9 @@ def sample_rows(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str,
 
 def train_model(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_mb: int = 12) -> Model:
     train = F.coalesce(train if train is not None else crc_mod(doc_id, 5) != 0, F.lit(False))
-    return fit(*sample_rows(docs, labels, train, doc_id, text, label, sample_mb))
+    model = fit(*sample_rows(docs, labels, train, doc_id, text, label, sample_mb))
+    trim()
+    return model
 
 
 def scorer(model: Model):
