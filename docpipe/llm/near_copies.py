@@ -9,12 +9,16 @@ proposes is filtered by sizes and positions and verified on the texts themselves
 Only what connects is asked for, so each text is first verified against the one text that
 shares most lists with it. Pairs whose texts these links leave in different components are
 verified then. A list longer than ``list_limit`` at first proposes only its neighbours in
-order of size, and later those of its members that are still apart, pair by pair, unless
-sketches of the two texts are far from alike. A large group of copies stays linear.
+order of size, and later those of its members that are still apart, pair by pair. A large
+group of copies stays linear. Common phrases bring texts together that are far from alike,
+so each entry carries a signature of its whole text, and pairs whose signatures differ in
+more bits than those of near copies do go before they leave their list.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,10 +30,11 @@ _U = np.uint64
 #: Bytes of text sampled for the order of shingles, and most shingles that it knows of.
 SAMPLE_BYTES, MOST_KNOWN = 64 << 20, 500_000
 NEIGHBOURS = 8
-#: Least hashes of a text in a long list. Their share in common strays by 0.05 from the similarity
-#: of two texts (standard deviation); ``DOUBT`` is six times that, so that a link is lost once in 10^9.
-SKETCH, DOUBT = 64, 0.3
+#: Bits of a signature, and how likely near copies are to differ in more bits than ``limits`` allows.
+BITS, LOSS = 128, 1e-9
 _SLACK = 1e-9
+#: An entry of the index: a shingle, its text, the set's size, the place in it, the signature.
+ENTRY = ["token", "id", "size", "at", "s", "t"]
 
 
 def sets(column, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,13 +89,29 @@ def _may(size_a, at_a, size_b, at_b, share: float):
     return (small >= share * large - _SLACK) & (most >= share / (1 + share) * (size_a + size_b) - _SLACK)
 
 
-def _alike(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two sets, as their least hashes tell it."""
-    x, y = np.frombuffer(a, _U), np.frombuffer(b, _U)
-    most = min(x[-1] if len(x) == SKETCH else ~_U(0), y[-1] if len(y) == SKETCH else ~_U(0))
-    n = np.searchsorted(x, most, "right") + np.searchsorted(y, most, "right")
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / max(n - both, 1)
+def signatures(owner: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """One row of two 64-bit numbers for each of ``n`` sets in order, as ``sets`` gives them.
+
+    The hashes of a set fall into ``BITS`` equal ranges; a range's bit is the last one of its
+    least hash, or zero if it is empty. Where two sets have a hash in a range at all, the least
+    of both is in both with the probability of their similarity, otherwise bits agree by chance.
+    """
+    at = owner * BITS + (h >> _U(64 - 7)).astype(np.int64)
+    first = np.ones(len(h), bool)
+    first[1:] = at[1:] != at[:-1]
+    bits = np.zeros(n * BITS, np.uint8)
+    bits[at[first]] = (h[first] & _U(1)).astype(np.uint8)
+    return np.packbits(bits.reshape(n, BITS), axis=1).view(np.int64)
+
+
+def limits(share: float) -> np.ndarray:
+    """By the number of ranges in use: the most bits in which signatures of near copies differ."""
+    p, found = (1 - share) / 2, []
+    for m in range(BITS + 1):
+        chance = np.array([comb(m, k) * p**k * (1 - p) ** (m - k) for k in range(m + 1)])
+        more = np.append(np.cumsum(chance[::-1])[::-1][1:], 0.0)
+        found.append(int(np.argmax(more < LOSS)))
+    return np.array(found)
 
 
 def _lists(batches, least_rows: int = 200_000):
@@ -138,10 +159,19 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     gone = equal.select(F.col("a").alias("id"))
     rows = rows.join(F.broadcast(gone) if gone.count() <= 1_000_000 else gone, "id", "left_anti")
     known, often = _frequent(rows, width)
+    trim()
+    differ = limits(share)
+
+    def near(c, i, j):
+        """Whether entries i and j of a list may belong to near copies, by size, position and signature."""
+        bits = sum(np.bitwise_count((c[x][i] ^ c[x][j]).view(_U)).astype(np.int64) for x in "st")
+        used = np.minimum(c["size"][i].astype(np.int64) + c["size"][j], BITS)
+        return _may(c["size"][i], c["at"][i], c["size"][j], c["at"][j], share) & (bits <= differ[used])
 
     def first_members(batches):
         for t in _parts(batches):
             owner, h = sets(t["text"], width)
+            sign = signatures(owner, h, t.num_rows)
             at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
             rank = np.where(known[at] == h, often[at], 0) if len(known) else np.zeros(len(h), np.int64)
             h = h[np.lexsort((rank, owner))]
@@ -150,11 +180,11 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
             most = size - np.ceil(share * size - _SLACK).astype(np.int64) + 1
             keep = np.flatnonzero(place < most[owner])
             own = owner[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), t["id"].take(pa.array(own)), pa.array(size[own].astype(np.int32)), pa.array(place[keep].astype(np.int32))], names=["token", "id", "size", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), t["id"].take(pa.array(own)), pa.array(size[own].astype(np.int32)), pa.array(place[keep].astype(np.int32)), pa.array(sign[own, 0]), pa.array(sign[own, 1])], names=ENTRY)
 
     def propose(batches):
         for c, first in _lists(batches):
-            ids, size, at, n = c["id"], c["size"], c["at"], np.diff(first)
+            ids, n = c["id"], np.diff(first)
             left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for m in np.unique(n[(n > 1) & (n <= list_limit)]):
                 i, j = np.triu_indices(m, 1)
@@ -167,24 +197,19 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
                     left.append(rows_of[:-step])
                     right.append(rows_of[step:])
             left, right = np.concatenate(left), np.concatenate(right)
-            may = _may(size[left], at[left], size[right], at[right], share) & (ids[left] != ids[right])
+            may = near(c, left, right) & (ids[left] != ids[right])
             a, b = ids[left[may]], ids[right[may]]
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             none = pa.nulls(pairs.shape[1], pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[0]), pa.array(pairs[1]), none.cast(pa.int32()), none.cast(pa.int32())], names=["token", "a", "b", "size", "at"])
+            size = none.cast(pa.int32())
+            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[0]), size, size, none, none, pa.array(pairs[1])], names=[*ENTRY, "b"])
             if long:
                 k = np.concatenate(long)
-                yield pa.RecordBatch.from_arrays([pa.array(c["token"][k]), pa.array(ids[k]), pa.nulls(len(k), pa.int64()), pa.array(size[k]), pa.array(at[k])], names=["token", "a", "b", "size", "at"])
-
-    def sketch(batches):
-        for t in _parts(batches):
-            owner, h = sets(t["text"], width)
-            first = np.searchsorted(owner, np.arange(t.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([t["id"], pa.array([h[a : min(b, a + SKETCH)].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], names=["id", "sketch"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[x][k]) for x in ENTRY), pa.nulls(len(k), pa.int64())], names=[*ENTRY, "b"])
 
     def propose_apart(batches):
         for c, first in _lists(batches):
-            ids, size, at, part, least = c["id"], c["size"], c["at"], c["part"], c["sketch"]
+            ids, size, part = c["id"], c["size"], c["part"]
             for lo, hi in zip(first[:-1], first[1:]):
                 if (part[lo:hi] == part[lo]).all():
                     continue
@@ -192,8 +217,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
                 for i in range(lo, hi):
                     j = np.arange(i + 1, lo + np.searchsorted(size[lo:hi], size[i] / share + _SLACK, "right"))
                     j = j[part[j] != part[i]]
-                    j = j[_may(size[i], at[i], size[j], at[j], share)]
-                    j = np.array([k for k in j.tolist() if _alike(least[i], least[k]) >= share - DOUBT], np.int64)
+                    j = j[near(c, i, j)]
                     found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
                 pairs = np.unique(np.concatenate(found, axis=1), axis=1)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
@@ -216,20 +240,17 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
         joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
         return cut(joined.mapInArrow(verify, "a long, b long"))
 
-    index = rows.mapInArrow(first_members, "token long, id long, size int, at int")
+    entry = "token long, id long, size int, at int, s long, t long"
+    index = rows.mapInArrow(first_members, entry)
     index = index.repartition("token").sortWithinPartitions("token", "size", "id")
-    proposed = cut(index.mapInArrow(propose, "token long, a long, b long, size int, at int"))
-    pairs = cut(proposed.where("b is not null").groupBy("a", "b").count())
+    proposed = cut(index.mapInArrow(propose, f"{entry}, b long"))
+    pairs = cut(proposed.where("b is not null").select(F.col("id").alias("a"), "b").groupBy("a", "b").count())
     best = cut(pairs.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a")))
     links = verified(best)
     part = cut(components(links))
     of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
     apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b")
-    long = proposed.where("b is null").select("token", F.col("a").alias("id"), "size", "at")
-    in_long = cut(long.select("id").distinct())
-    few = in_long.count() <= 1_000_000
-    sketched = rows.join(F.broadcast(in_long) if few else in_long, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(sketch, "id long, sketch binary")
-    long = long.join(of("id"), "id", "left").join(sketched, "id").select("token", "id", "size", "at", F.coalesce("part_id", "id").alias("part"), "sketch")
+    long = proposed.where("b is null").join(of("id"), "id", "left").select(*ENTRY, F.coalesce("part_id", "id").alias("part"))
     long = long.repartition("token").sortWithinPartitions("token", "size", "id").mapInArrow(propose_apart, "a long, b long")
     rest = cut(apart.union(long).distinct().join(best, ["a", "b"], "left_anti"))
     return links.union(verified(rest)).union(equal)

@@ -67,3 +67,31 @@ def test_stage_drops_near_copies(spark, prose):
 
 def test_empty_table(make_docs):
     assert near_copies(make_docs([])).count() == 0
+
+
+def test_signatures_differ_as_expected():
+    import numpy as np
+
+    from docpipe.llm import near_copies as N
+
+    rng = np.random.default_rng(3)
+    for size in (6, 40, 300, 3000):
+        shared, own = size * 8 // 9, size - size * 8 // 9  # a similarity of at least 0.8
+        owner, h = [], []
+        for pair in range(200):
+            both = rng.integers(0, 2**64, shared, dtype=np.uint64)
+            for side in range(2):
+                h.append(np.sort(np.concatenate([both, rng.integers(0, 2**64, own, dtype=np.uint64)])))
+                owner.append(np.full(size, 2 * pair + side))
+        sign = N.signatures(np.concatenate(owner), np.concatenate(h), 400)
+        for s, of in zip(sign[:4], h[:4]):
+            bits = [0] * N.BITS
+            for x in sorted(of.tolist(), reverse=True):
+                bits[x >> 57] = x & 1
+            assert s.tobytes() == np.packbits(bits).tobytes()
+        differ = np.bitwise_count((sign[::2] ^ sign[1::2]).view(np.uint64)).sum(axis=1)
+        assert differ.max() <= N.limits(0.8)[min(2 * size, N.BITS)]
+        apart = np.bitwise_count((sign[:-2:2] ^ sign[2::2]).view(np.uint64)).sum(axis=1)
+        assert size < 300 or (apart > N.limits(0.8)[N.BITS]).mean() > 0.99
+    assert (np.diff(N.limits(0.8)) >= 0).all() and N.limits(1.0).max() == 0
+    assert N.signatures(np.zeros(0, np.int64), np.zeros(0, np.uint64), 2).tolist() == [[0, 0], [0, 0]]
