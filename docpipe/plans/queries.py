@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import extract, lookup, merge, report, resolve, score, validation
-from ..schemas import COMPLETENESS_COLUMNS, EXPORT_COLUMNS, ORDER, PATIENT, PATIENT_FIELDS, record, settle
+from ..schemas import COMPLETENESS_COLUMNS, EXPORT_COLUMNS, ORDER, ORDER_FIELDS, PATIENT, PATIENT_FIELDS, record, settle
 
 from ..scratch import spread
 from ..sources import files
@@ -321,7 +321,7 @@ def summary_recommendations(spark, sf_dir):
 
 
 def fill_rate_by_field(spark, sf_dir):
-    return report.fill_rates(records(spark, sf_dir)).where("filled > 0").select("record", "field", "filled", "total", F.round("percentage", 9).alias("percentage"), "rating")
+    return report.fill_rates(records(spark, sf_dir)).select("record", "field", "filled", "total", F.round("percentage", 9).alias("percentage"), "rating")
 
 
 def low_fill_fields(spark, sf_dir):
@@ -477,7 +477,9 @@ ORACLE_SQL = {
         count(*) FILTER (WHERE ok AND k % 8 >= 6) AS high_completeness, count(*) FILTER (WHERE ok AND k % 8 BETWEEN 4 AND 5) AS medium_completeness, count(*) FILTER (WHERE ok AND k % 8 < 4) AS low_completeness,
         round(avg(conf) FILTER (WHERE ok), 9) AS avg_confidence, round(avg(compl) FILTER (WHERE ok), 9) AS avg_completeness, round(count(*) FILTER (WHERE ok) / count(*)::DOUBLE * 100, 9) AS parsed_pct, sum(t) AS time_total, round(avg(t), 9) AS time_avg, min(t) FILTER (WHERE t > 0) AS time_min, max(t) AS time_max FROM r""",
     "summary_recommendations": f"WITH {_RECORDS}, s AS (SELECT avg(conf) FILTER (WHERE ok) AS a, avg(compl) FILTER (WHERE ok) AS b, count(*) FILTER (WHERE ok AND k % 4 <> 1) / count(*) FILTER (WHERE ok)::DOUBLE AS st FROM r) SELECT array_to_string(list_filter([CASE WHEN a < 0.6 THEN 'Average confidence is low - consider improving text extraction quality' END, CASE WHEN b < 0.5 THEN 'Average completeness is low - review field extraction patterns' END, CASE WHEN st < 0.7 THEN 'Many documents required LLM fallback - consider enhancing structured parser' END], lambda x: x IS NOT NULL), '|') AS recommendations FROM s",
-    "fill_rate_by_field": f"WITH {_RECORDS}, {_RATES} SELECT record, field, filled, total, round(percentage, 9) AS percentage, CASE WHEN percentage >= 70 THEN 'Good' WHEN percentage >= 30 THEN 'Fair' ELSE 'Poor' END AS rating FROM rates",
+    "fill_rate_by_field": f"""WITH {_RECORDS}, {_RATES}, every AS (SELECT 'patient' AS record, unnest({list(PATIENT_FIELDS)}) AS field UNION ALL SELECT 'order', unnest({[*ORDER_FIELDS, 'episode_diagnoses']})),
+      whole AS (SELECT record, field, coalesce(filled, 0) AS filled, (SELECT max(total) FROM rates) AS total, coalesce(percentage, 0::DOUBLE) AS percentage FROM every LEFT JOIN rates USING (record, field))
+      SELECT record, field, filled, total, round(percentage, 9) AS percentage, CASE WHEN percentage >= 70 THEN 'Good' WHEN percentage >= 30 THEN 'Fair' ELSE 'Poor' END AS rating FROM whole""",
     "low_fill_fields": f"WITH {_RECORDS}, {_RATES} SELECT record, field FROM rates WHERE field IN ('patient_fname', 'patient_lname', 'dob', 'order_date', 'physician_name') AND percentage < 70",
     "field_samples_top3": f"WITH {_RECORDS}, {_RATES} " + _SAMPLES.format(value="value", fields="'patient_fname', 'dob', 'order_no', 'physician_name', 'episode_diagnoses'"),
     "field_samples_masked": f"WITH {_RECORDS}, {_RATES} " + _SAMPLES.format(value="regexp_replace(regexp_replace(value, '[A-Za-z]', 'x', 'g'), '[0-9]', '9', 'g')", fields="'medical_record_no', 'phone_number'"),
