@@ -10,6 +10,7 @@ from .conversation_repair import COUNTS, damaged, repair_conversations
 from .decontaminate import overlaps
 from .html_extract import extract_pages
 from .language_id import identify_languages
+from .license_scan import scan_licenses
 from .lm_scoring import score_documents
 from .mixing import mix_sources
 from .prefix_trie import stitched_trie
@@ -72,6 +73,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.select("conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     repaired = repair_conversations(damaged(_table(spark, sf_dir, "conversations")))
     return repaired.select("conv_id", *COUNTS, "audit", "repaired_sha256")
@@ -89,6 +94,7 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_decontaminate": op10_decontaminate,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_license_scan": op12_license_scan,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
