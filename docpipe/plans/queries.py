@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import extract, lookup, merge, report, resolve, score, validation
+from ..operators import extract, lookup, merge, report, resolve, score, similar, validation
 from ..schemas import COMPLETENESS_COLUMNS, EXPORT_COLUMNS, ORDER, ORDER_FIELDS, PATIENT, PATIENT_FIELDS, record, settle
 
 from ..scratch import spread
@@ -226,8 +226,7 @@ def dup_merge_best(spark, sf_dir):
 
 def dup_members(spark, sf_dir):
     rows = records(spark, sf_dir)
-    groups = rows.where("ordinal % 3 = 0").select("ordinal")
-    return resolve.in_groups(rows, groups).select("ordinal", "doc_id")
+    return resolve.in_groups(rows, resolve.group_by_components(rows)).select("ordinal", "doc_id")
 
 
 def dup_report(spark, sf_dir):
@@ -241,9 +240,15 @@ def existing_patients_anti(spark, sf_dir):
     return resolve.not_known(records(spark, sf_dir), known, F.col("patient.medical_record_no"), "m").select("ordinal")
 
 
+ENDINGS, SECOND = ("son", "ette", "y", "lyn"), ("Mary", "Jo", "Anna")
+
+
 def similar_pairs_theta(spark, sf_dir):
-    rows = people(spark, sf_dir).select(F.col("c_custkey").alias("ordinal"), record(PATIENT, {"patient_fname": F.col("first"), "dob": F.date_format("dob", "MM/dd/yyyy"), "medical_record_no": F.concat(F.lit("HH"), F.lpad((F.col("c_custkey") % 500).cast("string"), 6, "0"))}).alias("patient"))
-    return resolve.similar_patients(rows.where("ordinal % 20 = 0"), rows).select("query_ordinal", "ordinal", F.round("score", 6).alias("score"))
+    """Customers under varied first names, some without birth date or number; every hundredth asks."""
+    k = F.col("c_custkey")
+    name = F.when(k % 3 == 0, F.col("first")).when(k % 3 == 1, F.concat("first", pick(ENDINGS, k))).otherwise(F.concat(pick(SECOND, k), F.lit(" "), F.col("first")))
+    rows = people(spark, sf_dir).select(k.alias("ordinal"), record(PATIENT, {"patient_fname": name, "dob": F.when(k % 4 == 0, F.date_format("dob", "MM/dd/yyyy")), "medical_record_no": F.when(k % 5 == 0, F.concat(F.lit("HH"), F.lpad((k % 500).cast("string"), 6, "0")))}).alias("patient"))
+    return similar.similar_patients(rows.where("ordinal % 100 = 0"), rows).select("query_ordinal", F.col("rank").cast("long").alias("rank"), "ordinal", F.round("score", 9).alias("score"))
 
 
 def worklist_rows(spark, sf_dir) -> DataFrame:
@@ -354,6 +359,23 @@ def document_extraction(spark, sf_dir) -> DataFrame:
     return files.extract_text(d)
 
 
+def render_pdf(text: Column) -> Column:
+    """A PDF file of one page whose lines are the text's; codes are UTF-16, so any character can be shown."""
+    lines = F.transform(F.split(text, "\n"), lambda x: F.concat(F.lit("<"), F.hex(F.encode(x, "UTF-16BE")), F.lit("> Tj T*")))
+    content = F.concat(F.lit("BT /F1 10 Tf 12 TL 50 780 Td\n"), F.array_join(lines, "\n"), F.lit("\nET"))
+    unicode = "1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfrange <0000> <FFFF> <0000> endbfrange"
+    objects = ("<</Type /Catalog /Pages 2 0 R>>", "<</Type /Pages /Kids [3 0 R] /Count 1>>", "<</Type /Page /Parent 2 0 R /Contents 4 0 R /Resources <</Font <</F1 5 0 R>> >> >>", None, "<</Type /Font /Subtype /Type0 /BaseFont /Plain /Encoding /Identity-H /DescendantFonts [7 0 R] /ToUnicode 6 0 R>>", f"<</Length {len(unicode)}>> stream\n{unicode}\nendstream", "<</Type /Font /Subtype /CIDFontType2 /BaseFont /Plain /DW 500>>")
+    parts = [F.concat(F.lit(f"\n{k} 0 obj "), F.concat(F.lit("<</Length "), F.length(content).cast("string"), F.lit(">> stream\n"), content, F.lit("\nendstream")) if x is None else F.lit(x), F.lit(" endobj")) for k, x in enumerate(objects, 1)]
+    return F.encode(F.concat(F.lit("%PDF-1.7"), *parts, F.lit("\ntrailer <</Root 1 0 R>>\n%%EOF")), "UTF-8")
+
+
+def pdf_text_roundtrip(spark, sf_dir):
+    """Every text is written as a PDF file and read back."""
+    d = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("string").alias("doc_id"), render_pdf(F.coalesce("text", F.lit(""))).alias("pdf_buffer"), F.lit(None).cast("string").alias("content"))
+    got = files.extract_text(settle(d, {"pdf_buffer": F.col("pdf_buffer")}))
+    return got.select("doc_id", "status", "extraction_method", F.col("text_length").cast("long").alias("text_length"), F.md5("text").alias("text_md5"))
+
+
 def extraction_summary(spark, sf_dir):
     s = report.extraction_summary(document_extraction(spark, sf_dir))
     return s.select("total", "extracted", "digital", "ocr", F.round("avg_quality", 9).alias("avg_quality"), "total_chars")
@@ -395,7 +417,7 @@ def full_pipeline_report(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     order_doc_roundtrip, completeness_score, confidence_score, parse_decision, fill_missing_merge, anti_new_diagnoses, diagnosis_slots6, export_41, completeness_report, valid_invalid_split, first_per_doc, dup_keys, dup_groups, dup_groups_greedy,
     dup_merge_best, dup_members, dup_report, existing_patients_anti, similar_pairs_theta, worklist_validate, worklist_summary, worklist_last_wins, header_canonicalize, lookup_join_fallback_key, company_lookup_case_insensitive, backfill_rules,
-    tracking_remarks, api_overwrite, bucket_histogram, summary_recommendations, fill_rate_by_field, low_fill_fields, field_samples_top3, field_samples_masked, error_prefix_counts, method_counts, fetch_summary, extraction_summary, document_router,
+    tracking_remarks, api_overwrite, bucket_histogram, summary_recommendations, fill_rate_by_field, low_fill_fields, field_samples_top3, field_samples_masked, error_prefix_counts, method_counts, fetch_summary, extraction_summary, document_router, pdf_text_roundtrip,
     doc_quality_score, doc_scanned_flag, doc_phone_extract, best_engine, full_pipeline_report,
 )}
 
@@ -449,7 +471,40 @@ ORACLE_SQL = {
     "dup_keys": f"WITH {_RECORDS}, {_DUP} SELECT key, count(*) AS n, min(ordinal) AS first FROM keys GROUP BY key",
     "dup_merge_best": f"""WITH {_RECORDS}, s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY conf DESC, ordinal) AS n FROM r)
       SELECT doc_id, max(CASE WHEN n = 1 THEN ordinal END) AS ordinal, coalesce(arg_min(fname, n) FILTER (WHERE fname <> ''), '') AS fname, coalesce(arg_min(dob, n) FILTER (WHERE dob <> ''), '') AS dob, coalesce(arg_min(phone, n) FILTER (WHERE phone <> ''), '') AS phone, max(conf) AS confidence_score FROM s GROUP BY doc_id""",
-    "dup_members": f"WITH {_RECORDS} SELECT ordinal, doc_id FROM r WHERE ordinal % 3 = 0",
+    "dup_members": f"WITH {_RECORDS}, {_DUP} SELECT ordinal, doc_id FROM r WHERE ordinal IN (SELECT ordinal FROM keys WHERE key IN (SELECT key FROM keys GROUP BY key HAVING count(DISTINCT ordinal) > 1))",
+    "dup_groups": f"""WITH RECURSIVE {_RECORDS}, {_DUP}, least AS (SELECT key, min(ordinal) AS low FROM keys GROUP BY key HAVING count(DISTINCT ordinal) > 1),
+      links AS (SELECT DISTINCT ordinal AS a, low AS b FROM keys JOIN least USING (key)), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+      reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)
+      SELECT a AS ordinal, min(b) AS group_id FROM reach GROUP BY a""",
+    "dup_groups_greedy": f"""WITH {_RECORDS}, {_DUP}, kinds AS (SELECT ordinal, key, split_part(key, ':', 1) AS kind FROM keys),
+      first AS (SELECT ordinal, key, kind FROM kinds QUALIFY row_number() OVER (PARTITION BY ordinal ORDER BY CASE kind WHEN 'name_dob' THEN 0 WHEN 'mrn' THEN 1 ELSE 2 END) = 1),
+      by_mrn AS (SELECT key, min(ordinal) AS since FROM first WHERE kind = 'mrn' GROUP BY key),
+      taken AS (SELECT ordinal FROM kinds JOIN by_mrn USING (key) WHERE since < ordinal),
+      founded AS (SELECT key, since FROM by_mrn UNION ALL SELECT key, min(ordinal) FROM first WHERE kind = 'name_dob' AND ordinal NOT IN (SELECT ordinal FROM taken) GROUP BY key),
+      joined AS (SELECT ordinal, key AS group_key FROM kinds JOIN founded USING (key) WHERE since <= ordinal QUALIFY row_number() OVER (PARTITION BY ordinal ORDER BY CASE kind WHEN 'name_dob' THEN 0 ELSE 1 END) = 1)
+      SELECT ordinal, group_key FROM joined QUALIFY count(*) OVER (PARTITION BY group_key) > 1""",
+    "similar_pairs_theta": f"""WITH RECURSIVE {_PEOPLE}, p AS (
+        SELECT c_custkey AS k, upper(CASE c_custkey % 3 WHEN 0 THEN first WHEN 1 THEN first || {sql_pick(ENDINGS, 'c_custkey')} ELSE {sql_pick(SECOND, 'c_custkey')} || ' ' || first END) AS name,
+               CASE WHEN c_custkey % 4 = 0 THEN strftime(dob, '%m/%d/%Y') ELSE '' END AS born, CASE WHEN c_custkey % 5 = 0 THEN lpad((c_custkey % 500)::VARCHAR, 6, '0') ELSE '' END AS number FROM people),
+      names AS (SELECT DISTINCT name FROM p), pairs AS (SELECT a.name AS x, b.name AS y FROM names a, names b),
+      starts AS (SELECT x, y, i.i, j.j FROM pairs, LATERAL (SELECT unnest(range(1, length(x) + 1)) AS i) i, LATERAL (SELECT unnest(range(1, length(y) + 1)) AS j) j WHERE substr(x, i.i, 1) = substr(y, j.j, 1)),
+      blocks AS (SELECT x, y, i, j, l.l FROM starts, LATERAL (SELECT unnest(range(1, length(x) + 1)) AS l) l WHERE i + l.l - 1 <= length(x) AND j + l.l - 1 <= length(y) AND substr(x, i, l.l) = substr(y, j, l.l)),
+      parts(x, y, xa, xb, ya, yb) AS (
+        SELECT x, y, 1, length(x), 1, length(y) FROM pairs
+        UNION ALL
+        SELECT x, y, CASE WHEN side = 0 THEN xa ELSE i + l END, CASE WHEN side = 0 THEN i - 1 ELSE xb END, CASE WHEN side = 0 THEN ya ELSE j + l END, CASE WHEN side = 0 THEN j - 1 ELSE yb END
+        FROM (SELECT s.*, b.i, b.j, b.l, row_number() OVER (PARTITION BY s.x, s.y, s.xa, s.xb, s.ya, s.yb ORDER BY b.l DESC, b.i, b.j) AS n
+              FROM parts s JOIN blocks b ON b.x = s.x AND b.y = s.y AND b.i >= s.xa AND b.i + b.l - 1 <= s.xb AND b.j >= s.ya AND b.j + b.l - 1 <= s.yb) t, (VALUES (0), (1)) v(side)
+        WHERE n = 1),
+      matched AS (SELECT s.x, s.y, s.xa, s.xb, s.ya, s.yb, max(b.l) AS l FROM parts s JOIN blocks b ON b.x = s.x AND b.y = s.y AND b.i >= s.xa AND b.i + b.l - 1 <= s.xb AND b.j >= s.ya AND b.j + b.l - 1 <= s.yb GROUP BY ALL),
+      ratios AS (SELECT x, y, 2.0::DOUBLE * coalesce(sum(l), 0) / (length(x) + length(y)) AS ratio FROM pairs LEFT JOIN matched USING (x, y) GROUP BY x, y),
+      alike AS (SELECT x, y, CASE WHEN split_part(x, ' ', -1) = split_part(y, ' ', -1) THEN least(1.0::DOUBLE, ratio + 0.2::DOUBLE) ELSE ratio END AS s FROM ratios),
+      scored AS (
+        SELECT q.k AS query_ordinal, e.k AS ordinal,
+               (0.4::DOUBLE * s + CASE WHEN q.born <> '' AND q.born = e.born THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN q.number <> '' AND q.number = e.number THEN 0.2::DOUBLE ELSE 0 END)
+               / (0.4::DOUBLE + CASE WHEN q.born <> '' AND e.born <> '' THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN q.number <> '' AND e.number <> '' THEN 0.2::DOUBLE ELSE 0 END) AS score
+        FROM p q JOIN p e ON q.k % 100 = 0 JOIN alike ON x = q.name AND y = e.name)
+      SELECT query_ordinal, row_number() OVER (PARTITION BY query_ordinal ORDER BY score DESC, ordinal) AS rank, ordinal, round(score, 9) AS score FROM scored WHERE score > 0.7::DOUBLE""",
     "dup_report": f"""WITH {_RECORDS} SELECT doc_id AS group_id, count(*) AS size, string_agg('Document: ' || doc_id || ', Name: ' || CASE WHEN fname <> '' THEN fname ELSE 'Unknown' END || ', DOB: ' || CASE WHEN dob <> '' THEN dob ELSE 'Unknown' END || ', MRN: ' || CASE WHEN mrn <> '' THEN mrn ELSE 'Unknown' END || ', Confidence: ' || printf('%.2f', conf), chr(10) ORDER BY ordinal) AS members FROM r GROUP BY doc_id""",
     "existing_patients_anti": f"WITH {_RECORDS} SELECT ordinal FROM r WHERE mrn = '' OR mrn NOT IN (SELECT mrn FROM people WHERE c_custkey % 2 = 0)",
     "worklist_validate": f"""WITH {_WORK}, e AS (SELECT *, list_filter([CASE WHEN received = '' THEN 'Missing received_on' WHEN received = '13/45/2025' THEN 'Invalid date format in received_on' END, CASE WHEN trim(status) = '' THEN 'Missing status' END], lambda x: x IS NOT NULL) AS errors FROM w)
@@ -487,6 +542,8 @@ ORACLE_SQL = {
     "method_counts": f"WITH {_RECORDS} SELECT method AS extraction_method, count(*) AS documents FROM r WHERE ok GROUP BY 1",
     "fetch_summary": "WITH s AS (SELECT count(*) AS total, count(*) FILTER (WHERE doc_id % 10 <> 0) AS success, coalesce(sum(strlen(text)) FILTER (WHERE doc_id % 10 <> 0), 0)::BIGINT AS bytes FROM documents) SELECT total, success, bytes, total - success AS failed, round(success / greatest(total, 1)::DOUBLE * 100, 2) AS success_rate, round(bytes / 1048576.0::DOUBLE, 2) AS total_mb, round(bytes / 1024.0::DOUBLE / greatest(success, 1), 2) AS avg_kb FROM s",
     "extraction_summary": "WITH s AS (SELECT text, doc_id % 7 <> 0 AND regexp_replace(text, '\\s', '', 'g') <> '' AS ok FROM documents) SELECT count(*) AS total, count(*) FILTER (WHERE ok) AS extracted, 0::BIGINT AS digital, 0::BIGINT AS ocr, round(avg(least(length(text) / 5000.0::DOUBLE, 1)) FILTER (WHERE ok), 9) AS avg_quality, (sum(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g'))) FILTER (WHERE ok))::BIGINT AS total_chars FROM s",
+    "pdf_text_roundtrip": r"""WITH s AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS t FROM documents)
+      SELECT doc_id::VARCHAR AS doc_id, CASE WHEN t <> '' THEN 'extracted' ELSE 'failed' END AS status, CASE WHEN t <> '' THEN 'digital' ELSE 'none' END AS extraction_method, length(t)::BIGINT AS text_length, md5(t) AS text_md5 FROM s""",
     "document_router": "WITH s AS (SELECT doc_id, text, doc_id % 7 <> 0 AND regexp_replace(text, '\\s', '', 'g') <> '' AS ok FROM documents) SELECT doc_id::VARCHAR AS doc_id, CASE WHEN ok THEN 'extracted' ELSE 'failed' END AS status, CASE WHEN ok THEN 'pre_extracted' ELSE 'none' END AS extraction_method, CASE WHEN ok THEN '' ELSE 'No text could be extracted' END AS error, CASE WHEN ok THEN round(least(length(text) / 5000.0::DOUBLE, 1), 9) ELSE 0::DOUBLE END AS quality_score FROM s",
     "doc_quality_score": r"""WITH a AS (SELECT doc_id, text, regexp_replace(regexp_replace(text, '[^\x00-\x7F]', 'x', 'g'), '^\s+|\s+$', '', 'g') AS t FROM documents),
       b AS (SELECT doc_id, text, length(t) AS n, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS l, length(regexp_replace(t, '[^0-9]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS f, length(regexp_replace(t, '[^\s\x0b]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS s, length(regexp_replace(t, '[^.,;:()\[\]{}/_@#$%^&*+=<>?!"''-]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS p FROM a)

@@ -9,8 +9,8 @@ from pathlib import PurePosixPath
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
-from ..schemas import blank
+from ..functions.text import squeeze, strip
+from ..schemas import blank, settle
 
 # What a header may be called, and what stands for no value.
 HEADERS = {"id": "doc_id", "doc id": "doc_id", "patient": "patient", "patient name": "patient", "name": "patient", "received on": "received_on", "receivedon": "received_on", "status": "status", "physician": "physician", "doc type": "doc_type", "facility": "facility", "facility type": "facility_type", "agency": "agency", "soc": "soc", "start of care": "soc"}
@@ -123,22 +123,39 @@ def to_documents(fetched: DataFrame) -> DataFrame:
     return rows.withColumn("content", F.when(F.col("pdf_buffer").isNull(), F.col("content")))
 
 
-def extract_text(documents: DataFrame, extractor=None) -> DataFrame:
+#: Digital text below so many characters is given to OCR. Fixed value.
+LEAST_DIGITAL = 200
+
+
+def extract_text(documents: DataFrame, extractor=None, ocr=None) -> DataFrame:
     """doc_id, text, status, error, quality_score, extraction_method, is_scanned, text_length.
 
-    A row with text passes as it is. Bytes go to ``extractor``, a column function from
-    binary to struct(text, method); without one they fail, as reading PDFs needs
-    libraries that are not part of this one.
+    A row with text passes as it is. Bytes are read as PDF (``sources.pdf``), their white
+    space collapsed; text that looks scanned or has under 200 characters goes to ``ocr``, a
+    column function from binary to text, and stays as it is where that is not given or finds
+    nothing. ``extractor``, a column function from binary to struct(text, method), replaces both.
     """
-    content, raw = F.col("content"), F.col("pdf_buffer")
-    own = F.when(~blank(content), F.struct(content.alias("text"), F.lit("pre_extracted").alias("method")))
-    got = F.coalesce(own, F.when(raw.isNotNull(), extractor(raw))) if extractor else own
-    rows = documents.withColumn("_got", got)
-    ok = ~blank(F.col("_got.text"))
     from ..functions.text import length_quality, looks_scanned
-
+    from .pdf import digital_text
+
+    raw = F.col("pdf_buffer")
+    own = F.when(~blank(F.col("content")), F.struct(F.col("content").alias("text"), F.lit("pre_extracted").alias("method")))
+    if extractor is not None:
+        rows = documents.withColumn("_got", F.coalesce(own, F.when(raw.isNotNull(), extractor(raw)))).withColumns({"_scanned": looks_scanned(F.col("_got.text")), "_error": F.lit("")})
+    else:
+        # only rows that need it are read
+        rows = settle(documents, {"_own": own, "_pdf": digital_text(F.when(blank(F.col("content")), raw))})
+        text = squeeze(F.col("_pdf.text"))
+        rows = settle(rows, {"_digital": text, "_weak": looks_scanned(F.col("_pdf.head")) | (F.length(text) < LEAST_DIGITAL)})
+        read = F.when(F.col("_own").isNull() & F.col("_weak") & raw.isNotNull(), squeeze(ocr(raw))) if ocr is not None else F.lit(None).cast("string")
+        rows = settle(rows, {"_seen": read})
+        seen = ~blank(F.col("_seen"))
+        got = F.coalesce("_own", F.when(seen, F.struct(F.col("_seen").alias("text"), F.lit("ocr").alias("method"))), F.struct(F.col("_digital").alias("text"), F.lit("digital").alias("method")))
+        rows = rows.withColumns({"_got": got, "_scanned": F.col("_weak"), "_error": F.when(raw.isNotNull(), F.col("_pdf.error")).otherwise("")})
     text = F.col("_got.text")
-    return rows.select("doc_id", F.when(ok, text).otherwise("").alias("text"), F.when(ok, "extracted").otherwise("failed").alias("status"), F.when(ok, "").otherwise("No text could be extracted").alias("error"), F.when(ok, length_quality(text)).otherwise(0.0).alias("quality_score"), F.when(ok, F.col("_got.method")).otherwise("none").alias("extraction_method"), F.when(ok & (F.col("_got.method") != "pre_extracted"), looks_scanned(text)).otherwise(False).alias("is_scanned"), F.when(ok, F.length(strip(text))).otherwise(0).alias("text_length"))
+    ok = ~blank(text)
+    error = F.when(ok, "").when(F.col("_error") != "", F.concat(F.lit("No text could be extracted: "), "_error")).otherwise("No text could be extracted")
+    return rows.select("doc_id", F.when(ok, text).otherwise("").alias("text"), F.when(ok, "extracted").otherwise("failed").alias("status"), error.alias("error"), F.when(ok, length_quality(text)).otherwise(0.0).alias("quality_score"), F.when(ok, F.col("_got.method")).otherwise("none").alias("extraction_method"), F.when(ok & (F.col("_got.method") != "pre_extracted"), F.col("_scanned")).otherwise(False).alias("is_scanned"), F.when(ok, F.length(strip(text))).otherwise(0).alias("text_length"))
 
 
 def best_of(candidates: Column) -> Column:
