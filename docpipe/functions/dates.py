@@ -68,8 +68,58 @@ _YMD = [rf"^(\d{{4}}){s}(\d{{1,2}}){s}(\d{{1,2}})$" for s in ("-", "/")]
 
 
 def normalize_worklist_date(c: Column) -> Column:
-    """Ten formats in order; null if none fits (nothing is guessed)."""
-    return let(strip(c), _worklist_date)
+    """Ten formats in order, then free forms (``infer_date``); null if none fits."""
+    return let(strip(c), lambda x: F.coalesce(_worklist_date(x), infer_date(x)))
+
+
+# Fixed values of free forms: words that say nothing, and a time of day at the end.
+IDLE = ("st", "nd", "rd", "th", "of", "the", "on", "at", "and", "ad")
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+TIME = r"(?:(?:^|\s+|,\s*)(?:at\s+)?|(?<=\d)t)\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:[ap]\.?m\.?)?\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2})?$"
+
+
+def infer_date(c: Column) -> Column:
+    """MM/DD/YYYY from a free form, null if it has none.
+
+    A time of day at the end is cut off; what is left is taken as words, numbers and signs.
+    Weekdays and idle words go; anything else that is no month, number or one of ``, . / -``
+    makes it no date. With a month's name: day and year in either order (a number of four
+    digits, or above 31, is the year), or a year alone (its first day). Without: year first
+    if that has four digits or is above 31, else month, day, year; a month above 12 changes
+    place with the day; two numbers are month and year; eight digits are year, month, day.
+    Years of two digits to 68 are 20xx. Days that the calendar lacks are no dates.
+    """
+    return let(F.regexp_replace(F.lower(strip(c)), TIME, ""), lambda x: let(F.regexp_extract_all(x, F.lit(r"[a-z]+|\d+|[^a-z\d\s,./\-]"), F.lit(0)), _inferred))
+
+
+def _inferred(found: Column) -> Column:
+    idle = lambda w: w.isin(*IDLE) | ((F.length(w) >= 3) & w.isin(*WEEKDAYS, *(d[:k] for d in WEEKDAYS for k in (3, 4, 5))))
+    month = lambda w: w.isin(*MONTHS, *(m[:3] for m in MONTHS), "sept")
+    number = lambda w: F.rlike(w, F.lit(r"^\d+$"))
+    rest = F.filter(found, lambda w: ~idle(w))
+    return let(F.struct(F.size(rest).alias("n"), F.filter(rest, month).alias("names"), F.filter(rest, number).alias("numbers")), _from_parts)
+
+
+def _from_parts(x: Column) -> Column:
+    at = lambda k: F.get(x["numbers"], F.lit(k))
+    a, b, d = at(0), at(1), at(2)
+    value = lambda n: F.when(F.length(n) <= 4, n.cast("int"))
+    is_year = lambda n: (F.length(n) == 4) | (value(n) > 31)
+    year = lambda n: F.when(F.length(n) == 4, n).when(F.length(n) <= 2, century(pad2(n), 68))
+    name = month_number(F.get(x["names"], F.lit(0)))
+    told = lambda m, day, y: let(mdy(m, day, year(y)), lambda v: F.when(is_calendar_date(v), v))
+    swapped = lambda m, day, y: F.when(value(m) > 12, told(day, m, y)).otherwise(told(m, day, y))
+    first = F.lit("01")
+    digits8 = F.when(F.length(a).isin(8, 12, 14), F.substring(a, 1, 8))
+    named = F.when(F.size(x["numbers"]) == 2, F.when(is_year(a), told(name, b, a)).otherwise(told(name, a, b))).when((F.size(x["numbers"]) == 1) & (F.length(a) == 4), told(name, first, a))
+    bare = (
+        F.when(F.size(x["numbers"]) == 3, F.when(is_year(a), swapped(b, d, a)).otherwise(swapped(a, b, d)))
+        .when((F.size(x["numbers"]) == 2) & (F.length(b) == 4) & (F.length(a) <= 2), told(a, first, b))
+        .when((F.size(x["numbers"]) == 2) & (F.length(a) == 4) & (F.length(b) <= 2), told(b, first, a))
+        .when((F.size(x["numbers"]) == 1) & digits8.isNotNull(), told(F.substring(digits8, 5, 2), F.substring(digits8, 7, 2), F.substring(digits8, 1, 4)))
+    )
+    whole = F.size(x["names"]) + F.size(x["numbers"]) == x["n"]
+    return F.when(whole & (F.size(x["names"]) == 1), named).when(whole & (F.size(x["names"]) == 0), bare)
 
 
 def _worklist_date(c: Column) -> Column:

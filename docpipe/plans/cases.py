@@ -37,7 +37,7 @@ CLEAN = "<HEADER>\nPATIENT DETAILS\nPatient one\n<ORDERS>\nORDERS\nfirst\n<ORDER
 CASES: dict = {
     "date_standardize_multi_format": (dates.standardize_date, [("1/5/2024", "01/05/2024"), ("DOB: 3-7-1950", "03/07/1950"), ("2024-02-29", "02/29/2024"), ("02/30/2024", ""), ("May 5, 2025", "05/05/2025"), ("12 Sept 1999", "09/12/1999"), ("1.2.31", "01/02/1931"), ("1/2/30", "01/02/2030"), ("7 8 1988", "07/08/1988"), ("13/45/2025", ""), ("born 4/9/1960 age 64", "04/09/1960"), (" ", ""), ("June 31 2020", ""), ("Birthday: 6/1/1970 54 years old", "06/01/1970")]),
     "date_yy_pivot": (dates.normalize_extracted_date, [("1/5/49", "01/05/2049"), ("1/5/50", "01/05/1950"), ("02/31/2024", "02/31/2024"), ("5/21/2024 8:41 AM", "05/21/2024"), ("May 8, 2025", "05/08/2025"), ("soon", "soon"), ("1-2-1999", "01/02/1999")]),
-    "date_worklist": (lambda c: F.coalesce(dates.normalize_worklist_date(c), F.lit("none")), [("5/1/2025", "05/01/2025"), ("05-01-25", "05/01/2025"), ("1.2.69", "01/02/1969"), ("1.2.68", "01/02/2068"), ("2025/3/4", "03/04/2025"), ("March 4, 2025", "03/04/2025"), ("Mar 4, 2025", "03/04/2025"), ("4 March 2025", "none"), ("02/30/2025", "none"), ("", "none")]),
+    "date_worklist": (lambda c: F.coalesce(dates.normalize_worklist_date(c), F.lit("none")), [("5/1/2025", "05/01/2025"), ("05-01-25", "05/01/2025"), ("1.2.69", "01/02/1969"), ("1.2.68", "01/02/2068"), ("2025/3/4", "03/04/2025"), ("March 4, 2025", "03/04/2025"), ("Mar 4, 2025", "03/04/2025"), ("4 March 2025", "03/04/2025"), ("soon", "none"), ("March 32, 2025", "none"), ("02/30/2025", "none"), ("", "none")]),
     "date_backfill": (dates.normalize_backfill_date, [("5/1/2025", "05/01/2025"), ("21-May-2025", "05/21/2025"), ("2025-3-4", "03/04/2025"), ("1/2/69", "01/02/1969"), ("2025/3/4", ""), ("x", "")]),
     "date_match": (dates.normalize_match_date, [("01/05/1990", "01/05/1990"), ("1/5/2025", "15/20/2025"), ("010551", "01/05/1951"), ("010550", "01/05/2050"), ("1/15/99", "01/15/1999"), ("2024-01-05", "20/24/0105"), ("", "")]),
     "date_strict": (lambda c: _flag(dates.is_strict_date(c)), [("02/31/2024", "true"), ("2/3/2024", "false"), ("12/01/1999", "true"), ("13/01/1999", "false"), ("", "false")]),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates, encoding
 from ..functions import text as T
 from ..operators import extract, lookup, merge, report, resolve, score, similar, validation
 from ..schemas import COMPLETENESS_COLUMNS, EXPORT_COLUMNS, ORDER, ORDER_FIELDS, PATIENT, PATIENT_FIELDS, record, settle
@@ -376,6 +377,28 @@ def pdf_text_roundtrip(spark, sf_dir):
     return got.select("doc_id", "status", "extraction_method", F.col("text_length").cast("long").alias("text_length"), F.md5("text").alias("text_md5"))
 
 
+#: Forms of a date: in Spark's patterns, with text around it in quotes.
+FREE_FORMS = ("d MMMM yyyy", "MMMM d'th', yyyy", "'the' d'th of' MMMM yyyy", "EEEE, MMMM d, yyyy", "yyyy MMM d", "yyyyMMdd", "yyyy-MM-dd'T'10:20:30", "M/d/yyyy '10:30 AM'", "dd-MMM-yyyy", "yyyy.MM.dd", "EEE d MMM yyyy 'at 9:05'", "MMM. d, yyyy")
+
+
+def date_free_form(spark, sf_dir):
+    """Every order's date, written in one of twelve forms, some with a month's name alone or no date at all."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    written = F.lit("no date")
+    for i, form in enumerate(FREE_FORMS):
+        written = F.when(k % 14 == i, F.date_format(d, form)).otherwise(written)
+    written = F.when(k % 14 == 12, F.date_format(d, "MMMM yyyy")).otherwise(written)
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(dates.normalize_worklist_date(written), F.lit("none")).alias("date"))
+
+
+def encoding_detect(spark, sf_dir):
+    """Texts as bytes, in Latin-1 where that has all their characters, and back by what the bytes look like."""
+    text = F.coalesce("text", F.lit(""))
+    raw = F.when(F.rlike(text, F.lit(r"^[\x00-\x7F\xA0-\xFF]*$")), F.encode(text, "ISO-8859-1")).otherwise(F.encode(text, "UTF-8"))
+    d = settle(spread(table(spark, sf_dir, "documents")).select("doc_id", raw.alias("raw")), {"got": encoding.decoded(F.col("raw"))})
+    return d.select("doc_id", F.col("got.encoding").alias("encoding"), F.md5("got.text").alias("text_md5"), (F.col("got.confidence") >= encoding.LEAST).alias("sure"))
+
+
 def extraction_summary(spark, sf_dir):
     s = report.extraction_summary(document_extraction(spark, sf_dir))
     return s.select("total", "extracted", "digital", "ocr", F.round("avg_quality", 9).alias("avg_quality"), "total_chars")
@@ -417,7 +440,7 @@ def full_pipeline_report(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     order_doc_roundtrip, completeness_score, confidence_score, parse_decision, fill_missing_merge, anti_new_diagnoses, diagnosis_slots6, export_41, completeness_report, valid_invalid_split, first_per_doc, dup_keys, dup_groups, dup_groups_greedy,
     dup_merge_best, dup_members, dup_report, existing_patients_anti, similar_pairs_theta, worklist_validate, worklist_summary, worklist_last_wins, header_canonicalize, lookup_join_fallback_key, company_lookup_case_insensitive, backfill_rules,
-    tracking_remarks, api_overwrite, bucket_histogram, summary_recommendations, fill_rate_by_field, low_fill_fields, field_samples_top3, field_samples_masked, error_prefix_counts, method_counts, fetch_summary, extraction_summary, document_router, pdf_text_roundtrip,
+    tracking_remarks, api_overwrite, bucket_histogram, summary_recommendations, fill_rate_by_field, low_fill_fields, field_samples_top3, field_samples_masked, error_prefix_counts, method_counts, fetch_summary, extraction_summary, document_router, pdf_text_roundtrip, date_free_form, encoding_detect,
     doc_quality_score, doc_scanned_flag, doc_phone_extract, best_engine, full_pipeline_report,
 )}
 
@@ -544,6 +567,9 @@ ORACLE_SQL = {
     "extraction_summary": "WITH s AS (SELECT text, doc_id % 7 <> 0 AND regexp_replace(text, '\\s', '', 'g') <> '' AS ok FROM documents) SELECT count(*) AS total, count(*) FILTER (WHERE ok) AS extracted, 0::BIGINT AS digital, 0::BIGINT AS ocr, round(avg(least(length(text) / 5000.0::DOUBLE, 1)) FILTER (WHERE ok), 9) AS avg_quality, (sum(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g'))) FILTER (WHERE ok))::BIGINT AS total_chars FROM s",
     "pdf_text_roundtrip": r"""WITH s AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS t FROM documents)
       SELECT doc_id::VARCHAR AS doc_id, CASE WHEN t <> '' THEN 'extracted' ELSE 'failed' END AS status, CASE WHEN t <> '' THEN 'digital' ELSE 'none' END AS extraction_method, length(t)::BIGINT AS text_length, md5(t) AS text_md5 FROM s""",
+    "date_free_form": "SELECT o_orderkey, CASE o_orderkey % 14 WHEN 13 THEN 'none' WHEN 12 THEN strftime(o_orderdate, '%m/01/%Y') ELSE strftime(o_orderdate, '%m/%d/%Y') END AS date FROM orders",
+    "encoding_detect": r"""SELECT doc_id, CASE WHEN regexp_full_match(t, '[\x00-\x7F]*') THEN 'ascii' WHEN regexp_full_match(t, '[\x00-\x7F\x{A0}-\x{FF}]*') THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding, md5(t) AS text_md5, true AS sure
+      FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""",
     "document_router": "WITH s AS (SELECT doc_id, text, doc_id % 7 <> 0 AND regexp_replace(text, '\\s', '', 'g') <> '' AS ok FROM documents) SELECT doc_id::VARCHAR AS doc_id, CASE WHEN ok THEN 'extracted' ELSE 'failed' END AS status, CASE WHEN ok THEN 'pre_extracted' ELSE 'none' END AS extraction_method, CASE WHEN ok THEN '' ELSE 'No text could be extracted' END AS error, CASE WHEN ok THEN round(least(length(text) / 5000.0::DOUBLE, 1), 9) ELSE 0::DOUBLE END AS quality_score FROM s",
     "doc_quality_score": r"""WITH a AS (SELECT doc_id, text, regexp_replace(regexp_replace(text, '[^\x00-\x7F]', 'x', 'g'), '^\s+|\s+$', '', 'g') AS t FROM documents),
       b AS (SELECT doc_id, text, length(t) AS n, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS l, length(regexp_replace(t, '[^0-9]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS f, length(regexp_replace(t, '[^\s\x0b]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS s, length(regexp_replace(t, '[^.,;:()\[\]{}/_@#$%^&*+=<>?!"''-]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS p FROM a)

@@ -9,6 +9,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.encoding import SAMPLE, choose, decoded
 from ..functions.text import squeeze, strip
 from ..schemas import blank, settle
 
@@ -27,17 +28,25 @@ def canonical_headers(columns: Iterable[str]) -> list[str]:
     return [HEADERS.get(key(c), c) for c in columns]
 
 
-def sniff_encoding(spark: SparkSession, path: str, size: int = 10_000) -> str:
-    """UTF-8 if the first bytes are that, else ISO-8859-1."""
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, size).alias("b")).first()
-    if head is None:
+def sniff_encoding(spark: SparkSession, path: str, size: int = SAMPLE) -> str:
+    """The encoding of a file, or of the first one of a folder or pattern, by its first bytes.
+
+    Only those bytes are read; an empty file is UTF-8.
+    """
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(path)
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((x for x in fs.globStatus(pattern) or []), key=lambda x: x.getPath().toString())
+    while found and found[0].isDirectory():
+        inner = [x for x in fs.listStatus(found[0].getPath()) if not x.getPath().getName().startswith(("_", "."))]
+        found = sorted(inner, key=lambda x: x.getPath().toString()) + found[1:]
+    if not found:
         return "UTF-8"
+    stream = fs.open(found[0].getPath())
     try:
-        bytes(head.b).decode("utf-8")
-    except UnicodeDecodeError as e:
-        if e.end < len(head.b) - 3:  # a character cut off at the end is no evidence
-            return "ISO-8859-1"
-    return "UTF-8"
+        return choose(bytes(stream.readNBytes(size)))
+    finally:
+        stream.close()
 
 
 def read_csv(spark: SparkSession, path: str, max_rows: int | None = None, encoding: str | None = None) -> DataFrame:
@@ -83,6 +92,14 @@ def read_texts(spark: SparkSession, paths: str | list[str], glob: str = "*.txt",
     return found.limit(limit) if limit is not None else found
 
 
+def read_encoded_texts(spark: SparkSession, paths: str | list[str], glob: str = "*.txt") -> DataFrame:
+    """Text files in any of the known encodings, a row each: doc_id, content, encoding, confidence, file_name, file_size, status."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
+    found = settle(found.select("path", "length", "content"), {"got": decoded(F.col("content"))})
+    path = F.col("path")
+    return found.select(file_stem(path).alias("doc_id"), F.col("got.text").alias("content"), F.col("got.encoding").alias("encoding"), F.col("got.confidence").alias("confidence"), F.element_at(F.split(path, "/"), -1).alias("file_name"), F.col("length").alias("file_size"), F.lit("success").alias("status"))
+
+
 def mock_pdfs(spark: SparkSession, n: int) -> DataFrame:
     """Made-up documents for dry runs: ids MOCK_0..., sizes growing by 1024 bytes."""
     size = (F.col("id") + 10) * 1024

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.merge import completeness_rows, export_rows
+from .document_files import write_document_files
 
 FAILED_PARSE = ("doc_id", "error", "extraction_method", "confidence_score", "completeness_score", "processing_time")
 FAILED_FETCH = ("doc_id", "error", "status_code", "patient", "received_on")
@@ -62,14 +63,15 @@ def write_results(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_json_per_document(parsed: DataFrame, path: str) -> None:
-    """One folder of JSON for each document."""
-    parsed.select("doc_id", F.to_json(F.struct(*parsed.columns)).alias("value")).write.mode("overwrite").partitionBy("doc_id").text(path)
+def write_json_per_document(parsed: DataFrame, path: str, fanout: int = 1) -> None:
+    """One JSON file for each document, ``<doc_id>_parsed.json``; of a document's rows the last by ordinal."""
+    order = F.col("ordinal") if "ordinal" in parsed.columns else None
+    write_document_files(parsed, F.col("doc_id"), F.to_json(F.struct(*parsed.columns)), path, "_parsed.json", fanout, order)
 
 
-def write_texts(extracted: DataFrame, path: str) -> None:
-    """One folder of text for each document."""
-    extracted.select("doc_id", F.col("text").alias("value")).write.mode("overwrite").partitionBy("doc_id").text(path)
+def write_texts(extracted: DataFrame, path: str, fanout: int = 1) -> None:
+    """One text file for each document, ``<doc_id>.txt``."""
+    write_document_files(extracted, F.col("doc_id"), F.col("text"), path, ".txt", fanout)
 
 
 def write_report(lines: DataFrame, path: str) -> None:
