@@ -2,17 +2,18 @@
 
 Two sets that share enough of their members share one among the first few of each, in
 whatever order all sets agree on (prefix filtering), so texts that meet in no list of an
-index over these first members are no near copies: no pair is lost. Members that many
-texts of a sample have come last in that order, which keeps lists short. What a list
-proposes is filtered by sizes and positions and verified on the texts themselves.
-
-Only what connects is asked for, so each text is first verified against the one text that
-shares most lists with it. Pairs whose texts these links leave in different components are
-verified then. A list longer than ``list_limit`` at first proposes only its neighbours in
-order of size, and later those of its members that are still apart, pair by pair. A large
-group of copies stays linear. Common phrases bring texts together that are far from alike,
-so each entry carries a signature of its whole text, and pairs whose signatures differ in
-more bits than those of near copies do go before they leave their list.
+index over these first members are no near copies. Members that many texts of a sample have
+come last in that order, which keeps lists short.
+
+Only what connects is asked for, and most of it is found beforehand: texts whose least hashes
+agree in one of ``BANDS`` bands are verified against the smallest id of their band. So large
+groups of copies are one component, in rows that grow with the texts, before the index is
+looked at, and it only proposes pairs of different components: first the one that shares most
+lists with a text, then, of texts still apart, every other. Common phrases bring texts
+together that are far from alike, so each entry carries a signature of its whole text, and
+pairs whose signatures differ in more bits than those of near copies do go before they leave
+their list (a near copy is lost that way once in 10^9). Every pair that counts is verified on
+the texts themselves.
 """
 
 from __future__ import annotations
@@ -24,17 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, ascii_lower, components, cut, digest_at, ngram_hashes, trim
+from .shared import Words, ascii_lower, components, cut, digest_at, mix, ngram_hashes, trim
 
 _U = np.uint64
 #: Bytes of text sampled for the order of shingles, and most shingles that it knows of.
 SAMPLE_BYTES, MOST_KNOWN = 64 << 20, 500_000
-NEIGHBOURS = 8
+#: Bands of least hashes, and hash ranges in each.
+BANDS, BAND = 16, 8
+#: A shingle that so many texts of the sample have gets a list for each class of sizes.
+FREQUENT = 64
 #: Bits of a signature, and how likely near copies are to differ in more bits than ``limits`` allows.
 BITS, LOSS = 128, 1e-9
 _SLACK = 1e-9
-#: An entry of the index: a shingle, its text, the set's size, the place in it, the signature.
-ENTRY = ["token", "id", "size", "at", "s", "t"]
+#: An entry of the index: a shingle, its text, the component so far, the set's size, the place in it, the signature.
+ENTRY = {"token": pa.int64(), "id": pa.int64(), "part": pa.int64(), "size": pa.int32(), "at": pa.int32(), "s": pa.int64(), "t": pa.int64()}
 
 
 def sets(column, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,6 +108,27 @@ def signatures(owner: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(bits.reshape(n, BITS), axis=1).view(np.int64)
 
 
+def bands(owner: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """``BANDS`` keys for each of ``n`` sets, none of them empty, by the least hash of each range.
+
+    An empty range has the next one's that is not, changed by how far that is.
+    """
+    at = owner * BITS + (h >> _U(64 - 7)).astype(np.int64)
+    first = np.ones(len(h), bool)
+    first[1:] = at[1:] != at[:-1]
+    least = np.zeros(n * BITS, _U)
+    least[at[first]] = h[first]
+    least = np.tile(least.reshape(n, BITS), 2)
+    where = np.where(np.tile(np.bincount(at[first], minlength=n * BITS).reshape(n, BITS) > 0, 2), np.arange(2 * BITS), 2 * BITS)
+    nearest = np.minimum.accumulate(where[:, ::-1], axis=1)[:, ::-1][:, :BITS]
+    value = np.take_along_axis(least, nearest, axis=1) + (nearest - np.arange(BITS)).astype(_U) * _U(0x9E3779B97F4A7C15)
+    value = value.reshape(n, BANDS, BAND)
+    key = np.broadcast_to(np.arange(BANDS, dtype=_U), (n, BANDS))
+    for k in range(BAND):
+        key = mix(key * _U(0x5851F42D4C957F2D) + value[:, :, k])
+    return key
+
+
 def limits(share: float) -> np.ndarray:
     """By the number of ranges in use: the most bits in which signatures of near copies differ."""
     p, found = (1 - share) / 2, []
@@ -140,15 +165,14 @@ def _lists(batches, least_rows: int = 200_000):
     trim()
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.8, width: int = 5, list_limit: int = 64) -> DataFrame:
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.8, width: int = 5, list_limit: int = 64, banded: bool = True) -> DataFrame:
     """Links a, b between ids. Texts are near copies if the Jaccard similarity of their
     ``width``-word shingles is ``share`` or more; links connect just those ids that a chain
-    of near copies connects.
+    of near copies connects. ``banded`` and ``list_limit`` only choose the way there.
 
     Null, empty and blank texts are near copies of nothing. Rows without an id are left out;
     other columns are ignored; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null and text is not null")
 
     # equal texts: one of each goes on
@@ -168,59 +192,58 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
         used = np.minimum(c["size"][i].astype(np.int64) + c["size"][j], BITS)
         return _may(c["size"][i], c["at"][i], c["size"][j], c["at"][j], share) & (bits <= differ[used])
 
+    def band_keys(batches):
+        for t in _parts(batches):
+            owner, h = sets(t["text"], width)
+            some = np.unique(owner)
+            keys = bands(np.searchsorted(some, owner), h, len(some))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), t["id"].take(pa.array(np.repeat(some, BANDS)))], names=["key", "id"])
+
     def first_members(batches):
         for t in _parts(batches):
             owner, h = sets(t["text"], width)
             sign = signatures(owner, h, t.num_rows)
             at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
             rank = np.where(known[at] == h, often[at], 0) if len(known) else np.zeros(len(h), np.int64)
-            h = h[np.lexsort((rank, owner))]
+            order = np.lexsort((rank, owner))
+            h, rank = h[order], rank[order]
             size = np.bincount(owner, minlength=t.num_rows)
             place = np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
             most = size - np.ceil(share * size - _SLACK).astype(np.int64) + 1
             keep = np.flatnonzero(place < most[owner])
+            # near copies' sizes fall into one class or two that follow each other
+            classes = np.floor(np.log(np.maximum(size[owner[keep]], 1)) / -np.log(share) + _SLACK).astype(np.int64) if share < 1 else size[owner[keep]]
+            often_here = rank[keep] >= FREQUENT
+            keep, classes = np.concatenate([keep, keep[often_here]]), np.concatenate([np.where(often_here, classes, -1), classes[often_here] + 1])
+            token = np.where(classes < 0, h[keep], mix(h[keep] + classes.astype(_U) * _U(0x9E3779B97F4A7C15)))
             own = owner[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), t["id"].take(pa.array(own)), pa.array(size[own].astype(np.int32)), pa.array(place[keep].astype(np.int32)), pa.array(sign[own, 0]), pa.array(sign[own, 1])], names=ENTRY)
+            took = lambda c: t[c].take(pa.array(own))
+            values = {"token": token.view(np.int64), "id": took("id"), "part": took("part"), "size": size[own].astype(np.int32), "at": place[keep].astype(np.int32), "s": sign[own, 0], "t": sign[own, 1]}
+            yield pa.RecordBatch.from_arrays([pa.array(v, kind) if isinstance(v, np.ndarray) else v for v, kind in zip(values.values(), ENTRY.values())], names=list(ENTRY))
 
     def propose(batches):
         for c, first in _lists(batches):
-            ids, n = c["id"], np.diff(first)
-            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for m in np.unique(n[(n > 1) & (n <= list_limit)]):
+            ids, size, part, n = c["id"], c["size"], c["part"], np.diff(first)
+            mixed = np.zeros(len(n), bool)
+            if len(n):
+                mixed = np.minimum.reduceat(part, first[:-1]) != np.maximum.reduceat(part, first[:-1])
+            found = [np.zeros((2, 0), np.int64)]
+
+            def keep(i, j):
+                ok = (part[i] != part[j]) & near(c, i, j)
+                a, b = ids[i[ok] if isinstance(i, np.ndarray) else np.full(int(ok.sum()), i)], ids[j[ok]]
+                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+
+            for m in np.unique(n[mixed & (n <= list_limit)]):
                 i, j = np.triu_indices(m, 1)
-                start = first[:-1][n == m][:, None]
-                left.append((start + i).ravel())
-                right.append((start + j).ravel())
-            long = [np.arange(first[k], first[k + 1]) for k in np.flatnonzero(n > list_limit)]
-            for rows_of in long:
-                for step in range(1, NEIGHBOURS + 1):
-                    left.append(rows_of[:-step])
-                    right.append(rows_of[step:])
-            left, right = np.concatenate(left), np.concatenate(right)
-            may = near(c, left, right) & (ids[left] != ids[right])
-            a, b = ids[left[may]], ids[right[may]]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            none = pa.nulls(pairs.shape[1], pa.int64())
-            size = none.cast(pa.int32())
-            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[0]), size, size, none, none, pa.array(pairs[1])], names=[*ENTRY, "b"])
-            if long:
-                k = np.concatenate(long)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c[x][k]) for x in ENTRY), pa.nulls(len(k), pa.int64())], names=[*ENTRY, "b"])
-
-    def propose_apart(batches):
-        for c, first in _lists(batches):
-            ids, size, part = c["id"], c["size"], c["part"]
-            for lo, hi in zip(first[:-1], first[1:]):
-                if (part[lo:hi] == part[lo]).all():
-                    continue
-                found = [np.zeros((2, 0), np.int64)]
-                for i in range(lo, hi):
-                    j = np.arange(i + 1, lo + np.searchsorted(size[lo:hi], size[i] / share + _SLACK, "right"))
-                    j = j[part[j] != part[i]]
-                    j = j[near(c, i, j)]
-                    found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
-                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+                start = first[:-1][mixed & (n == m)][:, None]
+                keep((start + i).ravel(), (start + j).ravel())
+            for k in np.flatnonzero(mixed & (n > list_limit)):
+                lo, hi = first[k], first[k + 1]
+                for i in range(lo, hi):  # sizes rise along a list: what may be near is one run of it
+                    keep(i, np.arange(i + 1, lo + np.searchsorted(size[lo:hi], size[i] / share + _SLACK, "right")))
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
     def verify(batches):
         for t in _parts(batches, 500):
@@ -240,17 +263,22 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
         joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
         return cut(joined.mapInArrow(verify, "a long, b long"))
 
-    entry = "token long, id long, size int, at int, s long, t long"
-    index = rows.mapInArrow(first_members, entry)
+    # most of what connects: texts that agree in a band, each with the band's smallest id
+    keyed = cut((rows if banded else rows.limit(0)).mapInArrow(band_keys, "key long, id long"))
+    least = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("most")).where("a < most").select("key", "a")
+    links = verified(cut(keyed.join(least, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()))
+    part = cut(components(links))
+    of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
+
+    # the rest: pairs of different components that share a list
+    labels = of("id")
+    labelled = rows.join(F.broadcast(labels) if labels.count() <= 1_000_000 else labels, "id", "left").select("id", "text", F.coalesce("part_id", "id").alias("part"))
+    index = labelled.mapInArrow(first_members, "token long, id long, part long, size int, at int, s long, t long")
     index = index.repartition("token").sortWithinPartitions("token", "size", "id")
-    proposed = cut(index.mapInArrow(propose, f"{entry}, b long"))
-    pairs = cut(proposed.where("b is not null").select(F.col("id").alias("a"), "b").groupBy("a", "b").count())
+    pairs = cut(index.mapInArrow(propose, "a long, b long").groupBy("a", "b").count())
     best = cut(pairs.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a")))
-    links = verified(best)
+    links = links.union(verified(best))
     part = cut(components(links))
-    of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
     apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b")
-    long = proposed.where("b is null").join(of("id"), "id", "left").select(*ENTRY, F.coalesce("part_id", "id").alias("part"))
-    long = long.repartition("token").sortWithinPartitions("token", "size", "id").mapInArrow(propose_apart, "a long, b long")
-    rest = cut(apart.union(long).distinct().join(best, ["a", "b"], "left_anti"))
+    rest = cut(apart.join(best, ["a", "b"], "left_anti"))
     return links.union(verified(rest)).union(equal)

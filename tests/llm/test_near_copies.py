@@ -46,11 +46,11 @@ def copies(prose):
     return list(enumerate([*texts, *chain, *many, texts[6].upper(), texts[1], "", None, " \n"]))
 
 
-@pytest.mark.parametrize("limit", [4, 64])
-def test_links_connect_all_near_copies(make_docs, copies, limit):
+@pytest.mark.parametrize("limit, banded", [(4, True), (64, True), (4, False), (64, False)])
+def test_links_connect_all_near_copies(make_docs, copies, limit, banded):
     s = [shingles(t or "") for _, t in copies]
     near = [(a, b) for b in range(len(s)) for a in range(b) if s[a] and s[b] and 5 * len(s[a] & s[b]) >= 4 * len(s[a] | s[b])]
-    links = [(r.a, r.b) for r in near_copies(make_docs(copies), list_limit=limit).collect()]
+    links = [(r.a, r.b) for r in near_copies(make_docs(copies), list_limit=limit, banded=banded).collect()]
     assert {(min(x), max(x)) for x in links} <= set(near)
     assert groups(range(len(s)), links) == groups(range(len(s)), near)
 
@@ -65,6 +65,17 @@ def test_stage_drops_near_copies(spark, prose):
     assert left == {rows[k] for k in (0, 3, 5, 6)}
 
 
+def test_frequent_shingles_and_long_texts(make_docs, prose):
+    """One passage in most texts, so that its shingles are frequent in the sample; long texts among near copies."""
+    passage, long = prose(60), prose(30_000)
+    texts = [f"{passage} {prose(1 + k % 9)}" for k in range(200)] + [long, f"{long} end", prose(200), f"{prose(2)} {long}"]
+    s = [shingles(t) for t in texts]
+    near = [(a, b) for b in range(len(s)) for a in range(b) if 5 * len(s[a] & s[b]) >= 4 * len(s[a] | s[b])]
+    for banded in (True, False):
+        links = [(r.a, r.b) for r in near_copies(make_docs(list(enumerate(texts))), list_limit=8, banded=banded).collect()]
+        assert groups(range(len(s)), links) == groups(range(len(s)), near)
+
+
 def test_empty_table(make_docs):
     assert near_copies(make_docs([])).count() == 0
 
