@@ -8,11 +8,13 @@ come last in that order, which keeps lists short.
 Only what connects is asked for, and most of it is found beforehand: texts whose least hashes
 agree in one of ``BANDS`` bands are verified against the smallest id of their band. So large
 groups of copies are one component, in rows that grow with the texts, before the index is
-looked at, and it only proposes pairs of different components: first the one that shares most
-lists with a text, then, of texts still apart, every other. Common phrases bring texts
+looked at, and it only proposes pairs of different components: first the one whose signature
+is closest to a text's, then, of texts still apart, every other. Common phrases bring texts
 together that are far from alike, so each entry carries a signature of its whole text, and
 pairs whose signatures differ in more bits than those of near copies do go before they leave
-their list (a near copy is lost that way once in 10^9). Every pair that counts is verified on
+their list (a near copy is lost that way once in 10^9). Two texts that share many lists are
+proposed by one of them only: that of their least first member, if both have the same one by
+one of two orders. Every pair that counts is verified on
 the texts themselves.
 """
 
@@ -37,8 +39,10 @@ FREQUENT = 64
 #: Bits of a signature, and how likely near copies are to differ in more bits than ``limits`` allows.
 BITS, LOSS = 128, 1e-9
 _SLACK = 1e-9
-#: An entry of the index: a shingle, its text, the component so far, the set's size, the place in it, the signature.
-ENTRY = {"token": pa.int64(), "id": pa.int64(), "part": pa.int64(), "size": pa.int32(), "at": pa.int32(), "s": pa.int64(), "t": pa.int64()}
+#: An entry of the index: a shingle, its text, the component so far, the set's size, the place in it, the signature,
+#: the least first member by two orders, and by which of them (bits) the shingle is that.
+ENTRY = {"token": pa.int64(), "id": pa.int64(), "part": pa.int64(), "size": pa.int32(), "at": pa.int32(), "s": pa.int64(), "t": pa.int64(), "m": pa.int64(), "w": pa.int64(), "own": pa.int8()}
+SALTS = (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47)
 
 
 def sets(column, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,10 +191,15 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     differ = limits(share)
 
     def near(c, i, j):
-        """Whether entries i and j of a list may belong to near copies, by size, position and signature."""
+        """Whether entries i and j of a list may belong to near copies and are this list's to propose, and their signatures' distance."""
         bits = sum(np.bitwise_count((c[x][i] ^ c[x][j]).view(_U)).astype(np.int64) for x in "st")
         used = np.minimum(c["size"][i].astype(np.int64) + c["size"][j], BITS)
-        return _may(c["size"][i], c["at"][i], c["size"][j], c["at"][j], share) & (bits <= differ[used])
+        may = _may(c["size"][i], 0, c["size"][j], 0, share) & (bits <= differ[used])
+        # positions bound what is left only where texts meet first, which need not be in the list that proposes them
+        meets = _may(c["size"][i], c["at"][i], c["size"][j], c["at"][j], share)
+        both = c["own"][i] & c["own"][j]
+        mine = np.where(c["m"][i] == c["m"][j], (both & 1) > 0, np.where(c["w"][i] == c["w"][j], (both & 2) > 0, meets))
+        return may & mine, bits
 
     def band_keys(batches):
         for t in _parts(batches):
@@ -213,12 +222,18 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
             keep = np.flatnonzero(place < most[owner])
             # near copies' sizes fall into one class or two that follow each other
             classes = np.floor(np.log(np.maximum(size[owner[keep]], 1)) / -np.log(share) + _SLACK).astype(np.int64) if share < 1 else size[owner[keep]]
+            starts = np.flatnonzero(np.concatenate([[True], owner[keep][1:] != owner[keep][:-1]])) if len(keep) else np.zeros(0, np.int64)
+            orders = [mix(h[keep] ^ _U(x)) for x in SALTS]
+            least = [np.repeat(np.minimum.reduceat(x, starts), np.diff(np.append(starts, len(keep)))) if len(keep) else x for x in orders]
+            own_bits = sum(((x == y).astype(np.int8) << k for k, (x, y) in enumerate(zip(orders, least))), np.zeros(len(keep), np.int8))
             often_here = rank[keep] >= FREQUENT
-            keep, classes = np.concatenate([keep, keep[often_here]]), np.concatenate([np.where(often_here, classes, -1), classes[often_here] + 1])
+            twice = np.concatenate([np.arange(len(keep)), np.flatnonzero(often_here)])
+            least, own_bits = [x[twice] for x in least], own_bits[twice]
+            keep, classes = keep[twice], np.concatenate([np.where(often_here, classes, -1), classes[often_here] + 1])
             token = np.where(classes < 0, h[keep], mix(h[keep] + classes.astype(_U) * _U(0x9E3779B97F4A7C15)))
             own = owner[keep]
             took = lambda c: t[c].take(pa.array(own))
-            values = {"token": token.view(np.int64), "id": took("id"), "part": took("part"), "size": size[own].astype(np.int32), "at": place[keep].astype(np.int32), "s": sign[own, 0], "t": sign[own, 1]}
+            values = {"token": token.view(np.int64), "id": took("id"), "part": took("part"), "size": size[own].astype(np.int32), "at": place[keep].astype(np.int32), "s": sign[own, 0], "t": sign[own, 1], "m": least[0].view(np.int64), "w": least[1].view(np.int64), "own": own_bits}
             yield pa.RecordBatch.from_arrays([pa.array(v, kind) if isinstance(v, np.ndarray) else v for v, kind in zip(values.values(), ENTRY.values())], names=list(ENTRY))
 
     def propose(batches):
@@ -227,12 +242,13 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
             mixed = np.zeros(len(n), bool)
             if len(n):
                 mixed = np.minimum.reduceat(part, first[:-1]) != np.maximum.reduceat(part, first[:-1])
-            found = [np.zeros((2, 0), np.int64)]
+            found = [np.zeros((3, 0), np.int64)]
 
             def keep(i, j):
-                ok = (part[i] != part[j]) & near(c, i, j)
+                ok, bits = near(c, i, j)
+                ok &= part[i] != part[j]
                 a, b = ids[i[ok] if isinstance(i, np.ndarray) else np.full(int(ok.sum()), i)], ids[j[ok]]
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+                found.append(np.stack([np.minimum(a, b), np.maximum(a, b), bits[ok]]))
 
             for m in np.unique(n[mixed & (n <= list_limit)]):
                 i, j = np.triu_indices(m, 1)
@@ -243,7 +259,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
                 for i in range(lo, hi):  # sizes rise along a list: what may be near is one run of it
                     keep(i, np.arange(i + 1, lo + np.searchsorted(size[lo:hi], size[i] / share + _SLACK, "right")))
             pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1]), "bits": pa.array(pairs[2])})
 
     def verify(batches):
         for t in _parts(batches, 500):
@@ -273,10 +289,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     # the rest: pairs of different components that share a list
     labels = of("id")
     labelled = rows.join(F.broadcast(labels) if labels.count() <= 1_000_000 else labels, "id", "left").select("id", "text", F.coalesce("part_id", "id").alias("part"))
-    index = labelled.mapInArrow(first_members, "token long, id long, part long, size int, at int, s long, t long")
+    index = labelled.mapInArrow(first_members, "token long, id long, part long, size int, at int, s long, t long, m long, w long, own byte")
     index = index.repartition("token").sortWithinPartitions("token", "size", "id")
-    pairs = cut(index.mapInArrow(propose, "a long, b long").groupBy("a", "b").count())
-    best = cut(pairs.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a")))
+    pairs = cut(index.mapInArrow(propose, "a long, b long, bits long").groupBy("a", "b").agg(F.min("bits").alias("bits")))
+    best = cut(pairs.groupBy("b").agg(F.min_by("a", F.struct("bits", "a")).alias("a")))
     links = links.union(verified(best))
     part = cut(components(links))
     apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b")
