@@ -2,9 +2,11 @@
 
 A seed is a fixed mask over consecutive tokens of which only some positions count, so a
 substitution at an ignored position leaves its hash as it is. Hashes of all masks at all
-positions of test and training texts are joined; around each hit the two texts are laid
-side by side, and the best-scoring ungapped stretch through the hit is verified: it must
-hold enough equal tokens, and few enough substitutions.
+positions of test and training texts are joined. A hit says which diagonal it is on: how far
+one text is shifted against the other. Along each diagonal with a hit the two texts are laid
+side by side once, in one linear pass, and the best-scoring ungapped stretch through any of
+its hits is verified: it must hold enough equal tokens, and few enough substitutions. So
+repeated tokens cost no more than their diagonals.
 
 Test sets are small as a rule: if their seeds fit in ``broadcast_mb`` (measured), every
 task joins its documents with a copy in memory and nothing is shuffled. A larger test
@@ -24,6 +26,8 @@ _U = np.uint64
 #: Ones count, zeros are ignored. Three substitutions in 15 tokens leave a hit of one of them.
 MASKS = ("11111", "1101011", "100110011")
 LEAST_TOKENS = 5
+#: Meetings that are looked at together.
+MEETINGS = 4_000_000
 #: Tokens are runs of letters and digits: every other ASCII byte breaks them.
 BREAKS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
@@ -56,14 +60,49 @@ def inside(words: Words, width: int) -> np.ndarray:
     return np.flatnonzero(stop - np.arange(n) >= width)
 
 
-def best_stretch(a: np.ndarray, b: np.ndarray, at: int) -> tuple[int, int, int]:
-    """Start, end and equal tokens of the best stretch through position ``at``: +1 equal, -1 not."""
-    score = np.where(a == b, 1, -1)
-    right = np.cumsum(score[at:])
-    left = np.cumsum(score[: at + 1][::-1])
-    stop = at + int(right.argmax()) + 1
-    start = at - int(left.argmax())
-    return start, stop, int((score[start:stop] > 0).sum())
+def all_seeds(words: Words, masks: list[str]):
+    """Hash, text and place in it of every seed, mask by mask."""
+    owner = np.repeat(np.arange(len(words.counts)), words.counts)
+    for m in masks:
+        at = inside(words, len(m))
+        yield seeds(words.hashes, m)[at] if len(at) else np.zeros(0, _U), owner[at], at - words.first[:-1][owner[at]]
+
+
+def best_on_diagonal(equal: np.ndarray, masks: list[str], least: int, identity: float):
+    """(start, stop, equal tokens) of the best stretch that counts through any seed hit: most equal tokens, then first.
+
+    A stretch through a place goes left and right as far as the sum of +1 for equal tokens
+    and -1 for others grows; all places' stretches come from running extremes of prefix sums.
+    """
+    n = len(equal)
+    if np.count_nonzero(equal) < least:
+        return None
+    hit = np.zeros(n, bool)
+    for m in masks:
+        if len(m) <= n:
+            here = np.ones(n - len(m) + 1, bool)
+            for k, one in enumerate(m):
+                if one == "1":
+                    here &= equal[k : k + len(here)]
+            hit[: len(here)] |= here
+    places = np.flatnonzero(hit)
+    if not len(places):
+        return None
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -1))])
+    right = np.maximum.accumulate(total[::-1])[::-1]  # most from here on
+    # the first place at which that most is reached, and the last one at which the least before was
+    index = np.arange(n + 1)
+    stop = np.minimum.accumulate(np.where(total == right, index, n + 1)[::-1])[::-1]
+    low = np.minimum.accumulate(total)
+    start = np.maximum.accumulate(np.where(total == low, index, -1))
+    start, stop = start[places], stop[places + 1]
+    same = np.concatenate([[0], np.cumsum(equal)])
+    count = same[stop] - same[start]
+    ok = np.flatnonzero((count >= least) & (count >= identity * (stop - start)))
+    if not len(ok):
+        return None
+    k = ok[np.argmax(count[ok] * (n + 1) - start[ok])]
+    return int(start[k]), int(stop[k]), int(count[k])
 
 
 class Index:
@@ -74,46 +113,43 @@ class Index:
         self.ids = ids
         self.texts = [words.hashes[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
         self.masks = masks_for({len(t) for t in self.texts})
-        item = np.repeat(np.arange(len(ids)), words.counts)
-        start = np.arange(len(words.hashes)) - words.first[:-1][item]
-        keys, items, places = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for m in self.masks:
-            at = inside(words, len(m))
-            keys.append(seeds(words.hashes, m)[at] if len(at) else np.zeros(0, _U))
-            items.append(item[at])
-            places.append(start[at])
-        keys, items, places = map(np.concatenate, (keys, items, places))
+        keys, items, places = (np.concatenate(x) for x in zip(*all_seeds(words, self.masks)))
         order = np.argsort(keys, kind="stable")
         self.keys, self.items, self.places = keys[order], items[order], places[order]
         self.table = np.zeros(1 << 22, bool)
         self.table[(self.keys >> _U(42)).astype(np.int64)] = True
 
-    def hits(self, words: Words):
-        """(text, offset of the test text, item, place in the text) of each meeting, once."""
-        found = set()
-        for m in self.masks:
-            at = inside(words, len(m))
-            if not len(at) or not len(self.keys):
-                continue
-            h = seeds(words.hashes, m)[at]
+    def diagonals(self, words: Words) -> np.ndarray:
+        """Columns text, item, offset of the item in the text, of every diagonal with a seed of both, once."""
+        # one number for text, item and offset: offsets lie between minus the longest item and the longest text
+        longest = max(map(len, self.texts), default=0)
+        wide, n_items = longest + int(words.counts.max(initial=0)) + 1, max(len(self.texts), 1)
+        found = [np.zeros(0, np.int64)]
+        for h, text, place in all_seeds(words, self.masks):
             near = np.flatnonzero(self.table[(h >> _U(42)).astype(np.int64)])
             low, high = np.searchsorted(self.keys, h[near]), np.searchsorted(self.keys, h[near], "right")
-            for k in np.flatnonzero(high > low):
-                position = int(at[near[k]])
-                text = int(np.searchsorted(words.first, position, "right")) - 1
-                for j in range(int(low[k]), int(high[k])):
-                    item, place = int(self.items[j]), int(self.places[j])
-                    found.add((text, item, position - int(words.first[text]) - place, place))
-        return found
-
-
-def verify(doc: np.ndarray, item: np.ndarray, offset: int, place: int, least: int, share: float, identity: float):
-    """The stretch (start and end in the document, start in the item, equal) if it counts."""
+            near, low, high = near[high > low], low[high > low], high[high > low]
+            ends = np.cumsum(high - low)
+            at = 0
+            while at < len(near):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + MEETINGS, "right")))
+                n = (high - low)[at:to]
+                each = np.repeat(near[at:to], n)
+                j = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[at:to], n)
+                found.append(np.unique((text[each] * n_items + self.items[j]) * wide + place[each] - self.places[j] + longest))
+                at = to
+        pair, offset = np.divmod(np.unique(np.concatenate(found)), wide)
+        return np.stack([pair // n_items, pair % n_items, offset - longest], axis=1)
+
+
+def verify(doc: np.ndarray, item: np.ndarray, offset: int, masks: list[str], least: int, share: float, identity: float):
+    """The best stretch of a diagonal (start and end in the document, start in the item, equal) if one counts."""
     low, high = max(0, -offset), min(len(item), len(doc) - offset)
-    a, b, equal = best_stretch(item[low:high], doc[low + offset : high + offset], place - low)
-    if equal >= min(least, int(np.ceil(share * len(item)))) and equal >= identity * (b - a):
-        return low + a + offset, low + b + offset, low + a, equal
-    return None
+    found = best_on_diagonal(item[low:high] == doc[low + offset : high + offset], masks, min(least, int(np.ceil(share * len(item)))), identity)
+    if found is None:
+        return None
+    a, b, equal = found
+    return low + a + offset, low + b + offset, low + a, equal
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 12, share: float = 0.75, identity: float = 0.75, broadcast_mb: int = 32) -> DataFrame:
@@ -148,9 +184,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
                 for lo in range(0, t.num_rows, 2000):
                     part = t.slice(lo, 2000)
                     words, ids, out = tokens(part["text"]), part["doc_id"].to_pylist(), []
-                    for text, item, offset, place in index.hits(words):
+                    for text, item, offset in index.diagonals(words).tolist():
                         doc = words.hashes[words.first[text] : words.first[text + 1]]
-                        if ok := verify(doc, index.texts[item], offset, place, *limits):
+                        if ok := verify(doc, index.texts[item], offset, index.masks, *limits):
                             a, b, start, equal = ok
                             out.append((ids[text], index.ids[item], equal, len(index.texts[item]), a, b, start))
                     yield table(out)
@@ -164,12 +200,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
             def per_batch(batches):
                 for t in batches:
                     words = tokens(t[column])
-                    owner = np.repeat(np.arange(t.num_rows), words.counts)
-                    start = np.arange(len(words.hashes)) - words.first[:-1][owner]
-                    for m in masks:
-                        at = inside(words, len(m))
-                        h = seeds(words.hashes, m)[at] if len(at) else np.zeros(0, _U)
-                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), t[name].take(pa.array(owner[at])), pa.array(start[at].astype(np.int32))], names=["seed", name, f"{name}_at"])
+                    for h, text, place in all_seeds(words, masks):
+                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), t[name].take(pa.array(text)), pa.array(place.astype(np.int32))], names=["seed", name, f"{name}_at"])
 
             return per_batch
 
@@ -177,18 +209,19 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
         asked = rows.withColumn("doc", F.xxhash64("doc_id", "text"))
         left = asked.select("doc", "text").mapInArrow(seed_rows("doc", "text"), "seed long, doc long, doc_at int")
         right = keyed.select("item", "item_text").mapInArrow(seed_rows("item", "item_text"), "seed long, item long, item_at int").distinct()
-        hits = left.join(right, "seed").groupBy("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("offset")).agg(F.collect_set("item_at").alias("places"))
+        # a pair has as many diagonals as both texts have tokens, at most; its texts move once
+        hits = left.join(right, "seed").select("doc", "item", (F.col("doc_at") - F.col("item_at")).alias("offset")).distinct().groupBy("doc", "item").agg(F.collect_list("offset").alias("offsets"))
 
         def check(batches):
             for t in batches:
                 d, i = tokens(t["text"]), tokens(t["item_text"])
                 out = []
-                for k, (doc, item, offset, places) in enumerate(zip(*(t[c].to_pylist() for c in ("doc_id", "item_id", "offset", "places")))):
+                for k, (doc, item, offsets) in enumerate(zip(*(t[c].to_pylist() for c in ("doc_id", "item_id", "offsets")))):
                     one, other = d.hashes[d.first[k] : d.first[k + 1]], i.hashes[i.first[k] : i.first[k + 1]]
-                    for a, b, start, equal in {ok for place in places if (ok := verify(one, other, offset, place, *limits))}:
+                    for a, b, start, equal in {ok for offset in offsets if (ok := verify(one, other, offset, masks, *limits))}:
                         out.append((doc, item, equal, len(other), a, b, start))
                 yield table(out)
 
-        met = hits.join(asked, "doc").join(keyed, "item").select("doc_id", "item_id", "offset", "places", "text", "item_text").mapInArrow(check, found)
+        met = hits.join(asked, "doc").join(keyed, "item").select("doc_id", "item_id", "offsets", "text", "item_text").mapInArrow(check, found)
     best = F.max_by(F.struct("n_matched", "n_item", "doc_start", "doc_end", "item_start"), F.struct("n_matched", -F.col("doc_start"), -F.col("item_start"))).alias("best")
     return met.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")

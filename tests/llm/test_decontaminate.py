@@ -1,7 +1,12 @@
+import math
 import random
+import re
+import time
+from itertools import accumulate
 
 import pytest
 
+from docpipe.llm import decontaminate as D
 from docpipe.llm.decontaminate import overlaps
 
 
@@ -58,3 +63,56 @@ def test_empty_tables(spark, tables):
     for m in (32, -1):
         assert overlaps(docs.limit(0), bench, broadcast_mb=m).count() == 0
         assert overlaps(docs, bench.limit(0), broadcast_mb=m).count() == 0
+
+
+def plain_overlaps(docs, items, least=12, share=0.75, identity=0.75):
+    """All diagonals of all pairs, every place that a mask fits at, both ways as far as the sum grows."""
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
+
+    masks, found = D.masks_for({len(words(t)) for _, t in items}), {}
+    for i, item_text in items:
+        item = words(item_text)
+        for d, text in docs:
+            doc = words(text)
+            for offset in range(-len(item) + 1, len(doc)):
+                low, high = max(0, -offset), min(len(item), len(doc) - offset)
+                same = [item[k] == doc[k + offset] for k in range(low, high)]
+                for place in range(len(same)):
+                    if not any(place + len(m) <= len(same) and all(same[place + k] for k, one in enumerate(m) if one == "1") for m in masks):
+                        continue
+                    right = list(accumulate(1 if x else -1 for x in same[place:]))
+                    left = list(accumulate(1 if x else -1 for x in same[place::-1]))
+                    stop, start = place + right.index(max(right)) + 1, place - left.index(max(left))
+                    equal = sum(same[start:stop])
+                    if equal >= min(least, math.ceil(share * len(item))) and equal >= identity * (stop - start):
+                        row = (-equal, low + start + offset, low + start, len(item), low + stop + offset)
+                        found[d, i] = min(found.get((d, i), row), row)
+    return sorted((d, i, -r[0], r[3], r[1], r[4], r[2]) for (d, i), r in found.items())
+
+
+@pytest.mark.parametrize("broadcast_mb", [32, -1])
+def test_agrees_with_all_diagonals(spark, make_docs, broadcast_mb):
+    rng = random.Random(12)
+    word = lambda: rng.choice("a b c d e f".split())  # noqa: E731  few words: many chance meetings and repeats
+    items = [(k, " ".join(word() for _ in range(rng.choice((5, 6, 7, 8, 9, 14, 30))))) for k in range(12)] + [(50, "a " * 40), (51, "a b " * 25), (52, None)]
+    docs = [(k, " ".join(word() for _ in range(rng.choice((0, 4, 7, 20, 60))))) for k in range(25)] + [(90, "a " * 60), (91, "x " + "b a " * 30), (92, None)]
+    docs += [(100 + k, f"{' '.join(word() for _ in range(9))} {t} z") for k, t in items if t]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(map(tuple, overlaps(make_docs(docs), bench, broadcast_mb=broadcast_mb).collect()))
+    assert found == plain_overlaps(docs, items)
+
+
+def test_repeated_tokens_are_quick():
+    import pyarrow as pa
+
+    text = pa.array(["same " * 800])
+    index = D.Index([1], text)
+    words = D.tokens(text)
+    start = time.perf_counter()
+    rows = [D.verify(words.hashes, index.texts[0], offset, index.masks, 12, 0.75, 0.75) for _, _, offset in index.diagonals(words).tolist()]
+    assert time.perf_counter() - start < 1.0 and max(r[3] for r in rows if r) == 800
+    periodic = pa.array(["yes no " * 10_000])
+    start = time.perf_counter()
+    assert len(D.Index([1], pa.array(["yes no " * 200])).diagonals(D.tokens(periodic))) > 10_000
+    assert time.perf_counter() - start < 10
