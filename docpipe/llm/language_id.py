@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import choose, crc_mod, digest_at, digest_limits, mix, utf8
+from .shared import choose, crc_mod, cut, digest_at, digest_limits, mix, size_caps, utf8
 
 _U = np.uint64
 _MARK = "▁"
 #: Words up to so many bytes are read many at once, longer ones one by one.
 AT_ONCE = 1024
+#: Bytes of text sampled for each language at least, however many languages share the sample.
+LEAST_BYTES = 128_000
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
 
 
@@ -186,14 +188,30 @@ def cut_words(text: bytes) -> list[bytes]:
     return [b" " + w for w in normalise(text).split()]
 
 
+def in_parts(word: bytes) -> list[bytes]:
+    """The word, one of more than ``AT_ONCE`` bytes in consecutive parts of up to so many, cut between characters."""
+    out, at = [], 0
+    while len(word) - at > AT_ONCE:
+        stop = at + AT_ONCE
+        while stop > at + 1 and word[stop] & 0xC0 == 0x80:
+            stop -= 1
+        out.append(word[at:stop])
+        at = stop
+    return [*out, word[at:]]
+
+
 def train(counts: dict[str, dict[bytes, int]], docs: dict[str, int], pieces: Pieces, rounds: int = 8, smooth: float = 0.5) -> Model:
-    """EM from word counts of each language; probabilities are smoothed by ``smooth`` a piece."""
+    """EM from word counts of each language; probabilities are smoothed by ``smooth`` a piece.
+
+    All of every word teaches; a very long one does so in parts (``in_parts``).
+    """
     langs = sorted(counts)
     words = sorted({w for c in counts.values() for w in c})
     weight = np.array([[counts[lang].get(w, 0) for lang in langs] for w in words], float).reshape(len(words), len(langs))
+    parts = [in_parts(w) for w in words]
+    words, weight = [p for some in parts for p in some], np.repeat(weight, [len(some) for some in parts], axis=0)
     prob = np.full((pieces.n, len(langs)), 1.0 / pieces.n)
-    # a piece's share of a long word is told by its first AT_ONCE bytes
-    groups = [(at, pieces.find(grid), grid.shape[1], size) for at, grid, size in by_length([w[:AT_ONCE] for w in words])] if words else []
+    groups = [(at, pieces.find(grid), grid.shape[1], size) for at, grid, size in by_length(words)] if words else []
     for _ in range(rounds if langs and words else 0):
         table = np.vstack([prob, np.zeros((1, len(langs)))])
         expected = np.zeros((pieces.n + 1, len(langs)))
@@ -245,16 +263,20 @@ def word_counts(docs: DataFrame, text: str, lang: str, flush: int = 200_000) ->
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary_path: str | None = None, sample_mb: int = 4, doc_id: str = "doc_id") -> Model:
     """Model of the languages in ``docs``; rows with a null language or text teach nothing.
 
-    It is fitted on a sample of whole texts, ``sample_mb`` MB at most over all languages,
-    in the order of a digest of id and text.
+    It is fitted on a sample of whole texts, ``sample_mb`` MB over all languages, but
+    ``LEAST_BYTES`` for each language at least, in the order of a digest of id and text. Very
+    long texts are left out where a language has enough others (``shared.size_caps``); every
+    language teaches by one text at least, however long its texts are.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     kind, size = F.col(lang).cast("string"), F.octet_length(F.col(text)).cast("long")
     langs = rows.select(kind).distinct().count()
-    budget = sample_mb * 1_000_000 // max(langs, 1)
+    budget = max(sample_mb * 1_000_000 // max(langs, 1), LEAST_BYTES)
     at = digest_at(F.col(doc_id), F.col(text))
-    limit, seen = digest_limits(rows.select(at.alias("_at"), kind.alias("_kind"), size.alias("_size")), budget)
-    sample = rows.withColumn("_at", at).where((size <= budget // 16) & (F.col("_at") < choose(kind, limit, 0.0))).dropDuplicates(["_at"]) if limit else rows.limit(0)
+    slim = cut(rows.select(at.alias("_at"), kind.alias("_kind"), size.alias("_size")))
+    caps = size_caps(slim, budget)
+    limit, seen = digest_limits(slim, budget, caps)
+    sample = rows.withColumn("_at", at).where((size <= choose(kind, caps, 0.0)) & (F.col("_at") < choose(kind, limit, 0.0))).dropDuplicates(["_at"]) if limit else rows.limit(0)
     pieces = Pieces(vocabulary(vocabulary_path))
     counts: dict[str, dict[bytes, int]] = {one: {} for one in seen}
     for r in word_counts(sample, text, lang).toArrow().to_pylist():

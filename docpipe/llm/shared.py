@@ -126,12 +126,33 @@ def choose(kind: Column, by: dict, none: float) -> Column:
     return F.coalesce(*(F.when(kind == F.lit(k), F.lit(float(v))) for k, v in by.items()), F.lit(none))
 
 
-def digest_limits(slim: DataFrame, budget: int) -> tuple[dict, dict]:
+def size_caps(slim: DataFrame, budget: int) -> dict:
+    """For each kind: the size up to which texts count for a sample of ``budget`` bytes.
+
+    A sixteenth of the budget where texts up to that hold half of it, so that a sample has
+    many texts; else that doubled until they do, or until it holds all texts of the kind.
+    """
+    least = max(budget // 16, 1)
+    level = F.greatest(F.ceil(F.log2(F.col("_size") / F.lit(float(least)))), F.lit(0)).cast("int")
+    sums = slim.where(F.col("_kind").isNotNull()).groupBy("_kind", F.when(F.col("_size") > least, level).otherwise(0).alias("level")).agg(F.sum("_size").alias("bytes")).collect()
+    caps = {}
+    for kind in {r["_kind"] for r in sums}:
+        room = budget // 2
+        for r in sorted((r for r in sums if r["_kind"] == kind), key=lambda r: r["level"]):
+            if room > 0:
+                caps[kind] = least << r["level"]
+            room -= r["bytes"]
+    return caps
+
+
+def digest_limits(slim: DataFrame, budget: int, caps: dict | None = None) -> tuple[dict, dict]:
     """For each kind: up to which place texts fit in ``budget`` bytes, and its rows.
 
     ``slim`` has a row for each text: _at (its ``digest_at``), _kind, _size. Limits come from
     byte counts of at most 4096 digest ranges a kind, over all rows; rows of one digest count
-    once. Texts above a sixteenth of the budget do not count: a sample must leave them out.
+    once. Texts above their kind's cap (``size_caps``; a sixteenth of the budget where it is
+    not given) do not count: a sample must leave them out. With caps, a kind whose every text
+    is longer than the budget still has one of them.
     """
     slim = slim.where(F.col("_kind").isNotNull()).groupBy("_kind", "_at").agg(F.max("_size").alias("_size"), F.count("*").alias("_n"))
     slim = cut(slim)
@@ -140,7 +161,8 @@ def digest_limits(slim: DataFrame, budget: int) -> tuple[dict, dict]:
     if not facts:
         return {}, {}
     at, kind = F.col("_at"), F.col("_kind")
-    small = slim.where((F.col("_size") <= budget // 16) & (at < choose(kind, share, 0.0)))
+    fits = F.col("_size") <= (choose(kind, caps, 0.0) if caps else budget // 16)
+    small = slim.where(fits & (at < choose(kind, share, 0.0)))
     ranges = small.groupBy("_kind", F.floor(at / choose(kind, share, 1.0) * 4096).cast("int").alias("part")).agg(F.sum("_size").alias("bytes")).collect()
     limit = {}
     for k in share:
@@ -150,6 +172,9 @@ def digest_limits(slim: DataFrame, budget: int) -> tuple[dict, dict]:
             if room < 0:
                 break
             limit[k] = (r["part"] + 1) / 4096 * share[k]
+    if caps and (none := [k for k in share if not limit[k]]):
+        firsts = slim.where(fits & kind.isin(none)).groupBy("_kind").agg(F.min("_at").alias("first")).collect()
+        limit |= {r["_kind"]: float(np.nextafter(r["first"], 2.0)) for r in firsts}
     return limit, {r["_kind"]: r["n"] for r in facts}
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import _LOWER, _SPACE, _powers, choose, crc_mod, cut, digest_at, digest_limits, mix, trim, utf8
+from .shared import _LOWER, _SPACE, _powers, choose, crc_mod, cut, digest_at, digest_limits, mix, size_caps, trim, utf8
 
 _U = np.uint64
 ORDERS = (3, 4, 5, 6, 8)
@@ -127,18 +127,23 @@ def fit(texts: list[bytes], labels: np.ndarray, rate: float | None = None, alpha
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str, text: str, label: str, sample_mb: int) -> tuple[list[bytes], np.ndarray, float]:
-    """Whole labelled texts, ``sample_mb`` MB at most, half from each class where it has as
-    many, and the share of ones among all labelled rows."""
+    """Whole labelled texts, ``sample_mb`` MB, half from each class where it has as many, and
+    the share of ones among all labelled rows.
+
+    Very long texts are left out where a class has enough others (``shared.size_caps``); a
+    class of long texts only teaches by one at least, whatever its size.
+    """
     marked = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where("_y in (0, 1)").groupBy("_id").agg(F.max("_y").alias("_y"))
     budget = sample_mb * 500_000
     rows = docs.where(train).select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"))
     rows = rows.withColumns({"_size": F.octet_length("_t").cast("long"), "_at": digest_at(F.col("_id"), F.col("_t"))})
     # ids, sizes and digests alone meet the labels; texts are read again for the sample
     slim = cut(rows.select("_id", "_size", "_at").join(marked, "_id").select("_id", "_size", "_at", F.col("_y").alias("_kind")))
-    limit, n = digest_limits(slim, budget)
-    within = (F.col("_size") <= budget // 16) & (F.col("_at") < choose(F.col("_kind"), limit, 0.0)) if limit else F.lit(False)
+    caps = size_caps(slim, budget)
+    limit, n = digest_limits(slim, budget, caps)
+    within = (F.col("_size") <= choose(F.col("_kind"), caps, 0.0)) & (F.col("_at") < choose(F.col("_kind"), limit, 0.0)) if limit else F.lit(False)
     chosen = cut(slim.where(within).select("_id", "_at", F.col("_kind").alias("_y")).distinct())
-    sample = rows.where(F.col("_size") <= budget // 16).join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["_id", "_at"]).dropDuplicates(["_id", "_at"])
+    sample = rows.where(F.col("_size") <= max(caps.values(), default=0)).join(F.broadcast(chosen) if chosen.count() <= 100_000 else chosen, ["_id", "_at"]).dropDuplicates(["_id", "_at"])
     got = sample.select("_id", "_y", "_t").toArrow().sort_by([("_id", "ascending"), ("_t", "ascending")])
     return [t.encode() for t in got["_t"].to_pylist()], np.array(got["_y"].to_pylist(), int), n.get(1, 0) / max(sum(n.values()), 1)
 

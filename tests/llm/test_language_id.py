@@ -100,3 +100,33 @@ def test_held_out_accuracy(spark):
 @pytest.mark.parametrize("text, out", [("Ab1c É.ß", b"ab c \xc3\xa9 \xc3\x9f"), ("a-b", b"a b")])
 def test_normalise(text, out):
     assert L.normalise(text.encode()) == out
+
+
+def test_languages_of_long_texts_only(spark):
+    """Each language teaches, whatever the length of its texts, and however many share the sample."""
+    long = [(k, " ".join(EN * 9_000) + f" {k}", "en") for k in range(6)]  # half a MB each
+    short = [(100 + k, " ".join(DE) + f" {k}", "de") for k in range(60)]
+    docs = spark.createDataFrame(long + short, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in L.identify_languages(docs, F.lit(False), sample_mb=1).collect()}
+    assert all(v == ("en" if k < 100 else "de") for k, v in got.items())
+
+
+def test_a_hundred_languages(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for lang in range(100):
+        words = ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(30)]
+        rows += [(lang * 10 + k, " ".join(rng.choice(words, 700)), f"l{lang:02d}") for k in range(4)]  # 4 kB each
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = L.identify_languages(docs, F.col("doc_id") % 10 == 3).where("held_out").collect()
+    assert len(got) == 100 and sum(r.lang_pred == f"l{r.doc_id // 10:02d}" for r in got) >= 99
+
+
+def test_long_words_teach_whole():
+    word = (" " + "né" * 3_000).encode()
+    parts = L.in_parts(word)
+    assert b"".join(parts) == word and max(map(len, parts)) <= L.AT_ONCE and all(p.decode() for p in parts)
+    pieces = L.Pieces(["▁", "n", "é", "x", "y"])
+    model = L.train({"a": {b" " + b"n" * 1_500 + b"x" * 1_500: 1}, "b": {b" " + b"n" * 1_500 + b"y" * 1_500: 1}}, {"a": 1, "b": 1}, pieces)
+    scores = model.word_scores([b"xxxx", b"yyyy"])
+    assert scores[0, 0] > scores[0, 1] and scores[1, 1] > scores[1, 0]

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from docpipe.llm import toxicity as T
 
@@ -67,3 +68,12 @@ def test_nothing_to_learn_from(spark, make_docs):
     one = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
     assert {r.predicted for r in T.score_toxicity(docs, one).collect()} == {0}
     assert T.score_toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_a_class_of_long_texts_only(spark):
+    long = [(k, "vilest insults here " * 30_000 + str(k)) for k in range(4)]  # 600 kB each
+    short = [(100 + k, f"calm words of number {k}") for k in range(80)]
+    docs = spark.createDataFrame(long + short, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 100)) for k, _ in long + short], "doc_id long, toxic int")
+    model = T.train_model(docs, labels, F.lit(True), sample_mb=6)
+    assert model.score(np.frombuffer(b"vilest insults", np.uint8)) > 0.5 > model.score(np.frombuffer(b"calm words of number 7", np.uint8))
