@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.standardize import full_name
 from ..schemas import ORDER_FIELDS, PATIENT_FIELDS, blank
 
 # Bounds of the buckets, of field ratings and of recommendations.
@@ -125,3 +126,45 @@ def report_text(one_row: DataFrame, title: str) -> DataFrame:
     """The figures of a one-row summary as lines of text."""
     lines = [F.concat(F.lit(f"{c}: "), F.col(c).cast("string")) for c in one_row.columns]
     return one_row.select(F.concat_ws("\n", F.lit(title), F.lit("=" * len(title)), *lines).alias("value"))
+
+
+#: Invalid rows that a validation report names. Fixed value.
+NAMED_ROWS = 20
+
+
+def validation_report(validated: DataFrame, title: str = "Input Reader - Validation Report") -> DataFrame:
+    """A worklist's validation as text (``value``): its figures, and the first invalid rows with their errors."""
+    bad = validated.where("not is_valid").select("row_number", F.array_join("errors", ", ").alias("said")).orderBy("row_number").limit(NAMED_ROWS)
+    named = bad.agg(F.array_sort(F.collect_list(F.struct("row_number", "said"))).alias("named"))
+    one = worklist_summary(validated).crossJoin(named)  # one row each
+    lines = F.transform("named", lambda r: F.concat(F.lit("Row "), r["row_number"], F.lit(": "), r["said"]))
+    more = F.when(F.col("invalid") > NAMED_ROWS, F.array(F.concat(F.lit("... and "), F.col("invalid") - NAMED_ROWS, F.lit(" more invalid rows")))).otherwise(F.array().cast("array<string>"))
+    head = F.array(F.lit(title), F.lit("=" * 40), F.lit(""), *(F.concat(F.lit(f"{n} rows: "), F.col(c).cast("string")) for n, c in (("Total", "total"), ("Valid", "valid"), ("Invalid", "invalid"))), F.concat(F.lit("Success rate: "), F.col("success_rate").cast("string"), F.lit("%")))
+    tail = F.when(F.col("invalid") > 0, F.concat(F.array(F.lit(""), F.lit("Invalid Rows:"), F.lit("-" * 20)), lines, more)).otherwise(F.array().cast("array<string>"))
+    return one.select(F.array_join(F.concat(head, tail), "\n").alias("value"))
+
+
+def fields_enhanced(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(ordinal, n): how many patient and order fields were blank before and are filled after."""
+    filled = lambda record, fields: [F.when(blank(F.col(f"b.{record}")[f]) & ~blank(F.col(f"a.{record}")[f]), 1).otherwise(0) for f in fields]
+    plain = [f for f in ORDER_FIELDS if f != "episode_diagnoses"]
+    listed = F.when((F.size(F.col("b.order.episode_diagnoses")) <= 0) & (F.size(F.col("a.order.episode_diagnoses")) > 0), 1).otherwise(0)
+    each = [*filled("patient", PATIENT_FIELDS), *filled("order", plain), listed]
+    return before.alias("b").join(after.alias("a"), F.col("b.ordinal") == F.col("a.ordinal")).select(F.col("b.ordinal").alias("ordinal"), F.aggregate(F.array(*each), F.lit(0), lambda x, y: x + y).alias("n"))
+
+
+def processing_statistics(parsed: DataFrame, groups: DataFrame, enhanced: DataFrame, key: str = "group_id") -> DataFrame:
+    """Totals of a run in one row: documents, successes, second extractions, duplicate groups, enhanced fields and their mean."""
+    one = parsed.agg(F.count("*").alias("total"), F.count_if(F.col("status") == "parsed").alias("successful"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("source") == "llm").alias("second_extractions"))
+    one = one.crossJoin(groups.agg(F.countDistinct(key).alias("duplicates_found"))).crossJoin(enhanced.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("fields_enhanced")))  # one row each
+    total = F.greatest(F.col("total"), F.lit(1))
+    return one.withColumns({"success_rate": rate(F.col("successful"), F.col("total")), "second_rate": rate(F.col("second_extractions"), F.col("total")), "average_enhancements": F.col("fields_enhanced") / total})
+
+
+def summary_line(row: Column) -> Column:
+    """A parsed record in one line; of a failed one, why."""
+    p, o = row["patient"], row["order"]
+    name = full_name(p["patient_fname"], F.lit(""), p["patient_lname"])
+    number = F.when(o["order_no"] != "", F.concat(F.lit("Order #"), o["order_no"])).otherwise("No order number")
+    told = F.format_string("%s - %s (Confidence: %.2f)", name, number, F.coalesce(row["confidence_score"], F.lit(0.0)))
+    return F.when(row["status"] != "parsed", F.concat(F.lit("Failed: "), F.coalesce(row["error"], F.lit("")))).otherwise(told)

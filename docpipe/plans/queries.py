@@ -377,6 +377,34 @@ def pdf_text_roundtrip(spark, sf_dir):
     return got.select("doc_id", "status", "extraction_method", F.col("text_length").cast("long").alias("text_length"), F.md5("text").alias("text_md5"))
 
 
+def validation_report_text(spark, sf_dir):
+    rows = worklist_rows(spark, sf_dir)
+    return report.validation_report(validation.validate_worklist(rows))
+
+
+def processing_statistics(spark, sf_dir):
+    """Statistics of the records, as if a second reading had found every third one's city."""
+    rows = records(spark, sf_dir)
+    p = F.col("patient")
+    after = rows.withColumn("patient", F.struct(*(F.when(F.col("ordinal") % 3 == 0, "Troy").otherwise(p[f]).alias(f) if f == "city" else p[f].alias(f) for f in PATIENT_FIELDS)).cast(PATIENT))
+    groups = rows.select("ordinal", F.col("doc_id").alias("group_id"))
+    one = report.processing_statistics(rows, groups, report.fields_enhanced(rows, after))
+    return one.select("total", "successful", "failed", "second_extractions", "duplicates_found", F.col("fields_enhanced").cast("long").alias("fields_enhanced"), *(F.round(c, 6).alias(c) for c in ("success_rate", "second_rate", "average_enhancements")))
+
+
+def record_summary_line(spark, sf_dir):
+    rows = records(spark, sf_dir)
+    return rows.select("ordinal", report.summary_line(F.struct(*rows.columns)).alias("line"))
+
+
+def engine_choice(spark, sf_dir):
+    """Three engines' qualities, made from the document's number."""
+    k = F.col("doc_id")
+    one = lambda name, n: F.struct(((k % n) / float(n)).alias("quality"), F.lit(name).alias("method"))
+    best = files.best_engine(one("first", 10), one("second", 7), one("ocr", 3))
+    return table(spark, sf_dir, "documents").select("doc_id", best["method"].alias("method"), F.round(best["quality"], 9).alias("quality"))
+
+
 #: Forms of a date: in Spark's patterns, with text around it in quotes.
 FREE_FORMS = ("d MMMM yyyy", "MMMM d'th', yyyy", "'the' d'th of' MMMM yyyy", "EEEE, MMMM d, yyyy", "yyyy MMM d", "yyyyMMdd", "yyyy-MM-dd'T'10:20:30", "M/d/yyyy '10:30 AM'", "dd-MMM-yyyy", "yyyy.MM.dd", "EEE d MMM yyyy 'at 9:05'", "MMM. d, yyyy")
 
@@ -440,7 +468,7 @@ def full_pipeline_report(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     order_doc_roundtrip, completeness_score, confidence_score, parse_decision, fill_missing_merge, anti_new_diagnoses, diagnosis_slots6, export_41, completeness_report, valid_invalid_split, first_per_doc, dup_keys, dup_groups, dup_groups_greedy,
     dup_merge_best, dup_members, dup_report, existing_patients_anti, similar_pairs_theta, worklist_validate, worklist_summary, worklist_last_wins, header_canonicalize, lookup_join_fallback_key, company_lookup_case_insensitive, backfill_rules,
-    tracking_remarks, api_overwrite, bucket_histogram, summary_recommendations, fill_rate_by_field, low_fill_fields, field_samples_top3, field_samples_masked, error_prefix_counts, method_counts, fetch_summary, extraction_summary, document_router, pdf_text_roundtrip, date_free_form, encoding_detect,
+    tracking_remarks, api_overwrite, bucket_histogram, summary_recommendations, fill_rate_by_field, low_fill_fields, field_samples_top3, field_samples_masked, error_prefix_counts, method_counts, fetch_summary, extraction_summary, document_router, pdf_text_roundtrip, date_free_form, encoding_detect, validation_report_text, processing_statistics, record_summary_line, engine_choice,
     doc_quality_score, doc_scanned_flag, doc_phone_extract, best_engine, full_pipeline_report,
 )}
 
@@ -570,6 +598,16 @@ ORACLE_SQL = {
     "date_free_form": "SELECT o_orderkey, CASE o_orderkey % 14 WHEN 13 THEN 'none' WHEN 12 THEN strftime(o_orderdate, '%m/01/%Y') ELSE strftime(o_orderdate, '%m/%d/%Y') END AS date FROM orders",
     "encoding_detect": r"""SELECT doc_id, CASE WHEN regexp_full_match(t, '[\x00-\x7F]*') THEN 'ascii' WHEN regexp_full_match(t, '[\x00-\x7F\x{A0}-\x{FF}]*') THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding, md5(t) AS text_md5, true AS sure
       FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""",
+    "validation_report_text": f"""WITH {_WORK}, e AS (SELECT row_number AS n, list_filter([CASE WHEN received = '' THEN 'Missing received_on' WHEN received = '13/45/2025' THEN 'Invalid date format in received_on' END, CASE WHEN trim(status) = '' THEN 'Missing status' END], lambda x: x IS NOT NULL) AS errors FROM w),
+      c AS (SELECT count(*) AS total, count(*) FILTER (len(errors) = 0) AS valid FROM e), bad AS (SELECT n, array_to_string(errors, ', ') AS said FROM e WHERE len(errors) > 0 ORDER BY n LIMIT 20)
+      SELECT 'Input Reader - Validation Report' || chr(10) || repeat('=', 40) || chr(10) || chr(10) || 'Total rows: ' || total || chr(10) || 'Valid rows: ' || valid || chr(10) || 'Invalid rows: ' || (total - valid) || chr(10) || 'Success rate: ' || round(valid / greatest(total, 1)::DOUBLE * 100, 1) || '%'
+        || CASE WHEN total > valid THEN chr(10) || chr(10) || 'Invalid Rows:' || chr(10) || repeat('-', 20) || chr(10) || (SELECT string_agg('Row ' || n || ': ' || said, chr(10) ORDER BY n) FROM bad) ELSE '' END
+        || CASE WHEN total - valid > 20 THEN chr(10) || '... and ' || (total - valid - 20) || ' more invalid rows' ELSE '' END AS value FROM c""",
+    "processing_statistics": f"""WITH {_RECORDS} SELECT count(*) AS total, count(*) FILTER (ok) AS successful, count(*) FILTER (NOT ok) AS failed, count(*) FILTER (ok AND k % 4 = 1) AS second_extractions, count(DISTINCT doc_id) AS duplicates_found, count(*) FILTER (k % 3 = 0) AS fields_enhanced,
+      round(count(*) FILTER (ok) / count(*)::DOUBLE * 100, 6) AS success_rate, round(count(*) FILTER (ok AND k % 4 = 1) / count(*)::DOUBLE * 100, 6) AS second_rate, round(count(*) FILTER (k % 3 = 0) / count(*)::DOUBLE, 6) AS average_enhancements FROM r""",
+    "record_summary_line": f"WITH {_RECORDS} SELECT ordinal, CASE WHEN NOT ok THEN 'Failed: ' || error ELSE concat_ws(' ', nullif(fname, ''), nullif(lname, '')) || ' - ' || CASE WHEN order_no <> '' THEN 'Order #' || order_no ELSE 'No order number' END || ' (Confidence: ' || printf('%.2f', conf) || ')' END AS line FROM r",
+    "engine_choice": """WITH q AS (SELECT doc_id, (doc_id % 10) / 10.0::DOUBLE AS a, (doc_id % 7) / 7.0::DOUBLE AS b, (doc_id % 3) / 3.0::DOUBLE AS c FROM documents), two AS (SELECT *, a > 0 AND a < 0.6 AND b > a AS second, CASE WHEN a > 0 AND a < 0.6 AND b > a THEN b ELSE a END AS best FROM q)
+      SELECT doc_id, CASE WHEN best < 0.25 AND c > best THEN 'ocr' WHEN second THEN 'second' ELSE 'first' END AS method, round(CASE WHEN best < 0.25 AND c > best THEN c ELSE best END, 9) AS quality FROM two""",
     "document_router": "WITH s AS (SELECT doc_id, text, doc_id % 7 <> 0 AND regexp_replace(text, '\\s', '', 'g') <> '' AS ok FROM documents) SELECT doc_id::VARCHAR AS doc_id, CASE WHEN ok THEN 'extracted' ELSE 'failed' END AS status, CASE WHEN ok THEN 'pre_extracted' ELSE 'none' END AS extraction_method, CASE WHEN ok THEN '' ELSE 'No text could be extracted' END AS error, CASE WHEN ok THEN round(least(length(text) / 5000.0::DOUBLE, 1), 9) ELSE 0::DOUBLE END AS quality_score FROM s",
     "doc_quality_score": r"""WITH a AS (SELECT doc_id, text, regexp_replace(regexp_replace(text, '[^\x00-\x7F]', 'x', 'g'), '^\s+|\s+$', '', 'g') AS t FROM documents),
       b AS (SELECT doc_id, text, length(t) AS n, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS l, length(regexp_replace(t, '[^0-9]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS f, length(regexp_replace(t, '[^\s\x0b]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS s, length(regexp_replace(t, '[^.,;:()\[\]{}/_@#$%^&*+=<>?!"''-]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS p FROM a)

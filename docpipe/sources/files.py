@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.encoding import SAMPLE, choose, decoded
 from ..functions.text import squeeze, strip
-from ..schemas import blank, settle
+from ..schemas import blank, let, settle
 
 # What a header may be called, and what stands for no value.
 HEADERS = {"id": "doc_id", "doc id": "doc_id", "patient": "patient", "patient name": "patient", "name": "patient", "received on": "received_on", "receivedon": "received_on", "status": "status", "physician": "physician", "doc type": "doc_type", "facility": "facility", "facility type": "facility_type", "agency": "agency", "soc": "soc", "start of care": "soc"}
@@ -181,5 +181,20 @@ def best_of(candidates: Column) -> Column:
     return F.array_max(numbered)["x"]
 
 
+# Below them a second engine, and OCR, are tried.
+MEDIOCRE, UNREADABLE = 0.6, 0.25
+
+
+def best_engine(first: Column, second: Column, ocr: Column) -> Column:
+    """Of three engines' structs (quality, ...) the one to keep, in the order in which they are tried.
+
+    The second counts where the first is mediocre but not empty, OCR where the better of
+    both is unreadable; each only if it is better than what is there.
+    """
+    q = lambda x: F.coalesce(x["quality"], F.lit(0.0))
+    two = F.when((q(first) > 0) & (q(first) < MEDIOCRE) & (q(second) > q(first)), second).otherwise(first)
+    return let(two, lambda x: F.when((q(x) < UNREADABLE) & (q(ocr) > q(x)), ocr).otherwise(x))
+
+
 def stem(path: str) -> str:
     return PurePosixPath(path).stem

@@ -1,7 +1,10 @@
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from docpipe.plans import rendered
 from docpipe.plans.cases import CASES
+from docpipe.plans.rendered import RENDERED
 
 
 @pytest.mark.parametrize("name", sorted(CASES))
@@ -17,3 +20,19 @@ def test_null_input(spark, name):
     function, _ = CASES[name]
     df = spark.createDataFrame([(None,)], "input string")
     df.select(function(F.col("input")).alias("value")).collect()
+
+
+def test_rendered_queries_are_functions_of_cases():
+    assert set(RENDERED) <= set(CASES) and len(set(CASES) - set(RENDERED)) <= 15
+
+
+@pytest.mark.parametrize("name", ["date_yy_pivot", "ssn_match", "name_match", "mrn_extract"])
+def test_rendered_values_agree_with_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    got = {r.o_orderkey: r.value for r in rendered.query(name)(spark, folder).collect()}
+    con = duckdb.connect()
+    for t in ("orders", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    sql = con.sql(rendered.oracle(name))
+    at = sql.columns.index("o_orderkey")
+    assert got == {r[at]: r[1 - at] for r in sql.fetchall()} and len(set(got.values())) > 20
