@@ -76,6 +76,9 @@ CASES: dict = {
     "dob_extract": (extract.dob, [("DOB: 1/5/1950", "01/05/1950"), ("Date of Birth: May 15, 1980", "05/15/1980"), ("born 1-5-49", "01/05/2049"), ("none", "")]),
     "gender_extract": (extract.gender, [("Patient's Gender: FEMALE", "FEMALE"), ("Sex: M", "MALE"), ("Sex: M or F", ""), ("Gender: Male or Female, circle one", ""), ("none", "")]),
     "mrn_extract": (extract.mrn, [("(MA250430076706)", "MA250430076706"), ("MR#: C0200089881701", "C0200089881701"), ("MR Number: 000000200", "000000200"), ("(1275520097)", "1275520097"), ("(0000000000)", ""), ("none", "")]),
+    "medicare_extract": (extract.medicare_number, [("Patient's Medicare No. 1EG4TE5MK72 SOC", "1EG4TE5MK72"), ("Medicare: 1EG4TE5MK72", "1EG4TE5MK72"), ("none", "")]),
+    "ssn_extract": (extract.ssn, [("SSN: 123-45-6789", "123-45-6789"), ("id 123456789 x", "123456789"), ("none", "")]),
+    "gender_validate": (lambda c: _flag(validate.gender(c)), [("M", "true"), ("female", "true"), ("x", "false"), ("", "false")]),
     "order_number_extract": (extract.order_number, [("Order Number #1286414219", "1286414219"), ("Order Number: HOME PLAN 38031747", "38031747"), ("Order No. 1234567", "1234567"), ("Order 12", "")]),
     "order_date_extract": (extract.order_date, [("Order Date: 5/1/2024", "05/01/2024"), ("ordered: 5-1-24", "05/01/2024"), ("Visit Date: 1/2/2024 Order Date: 3/4/2024", "01/02/2024"), ("none", "")]),
     "period_extract": (lambda c: _fields(extract.certification_period(c), "start", "end"), [("Certification Period: 5/1/2024 to 6/29/2024", "05/01/2024|06/29/2024"), ("Episode Dates 4/14/2025 - 6/12/2025", "04/14/2025|06/12/2025"), ("SOC Date: 5/1/2024", "05/01/2024|06/29/2024"), ("on 1/1/2024 and on 3/1/2024", "01/01/2024|03/01/2024"), ("none", "|")]),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, encoding
 from ..functions import text as T
 from ..operators import extract, lookup, merge, report, resolve, score, similar, validation
-from ..schemas import COMPLETENESS_COLUMNS, EXPORT_COLUMNS, ORDER, ORDER_FIELDS, PATIENT, PATIENT_FIELDS, record, settle
+from ..schemas import COMPLETENESS_COLUMNS, EXPORT_COLUMNS, ORDER, ORDER_FIELDS, PATIENT, PATIENT_FIELDS, record, settle, with_fields
 
 from ..scratch import spread
 from ..sources import files
@@ -450,6 +450,16 @@ def doc_phone_extract(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", extract.phone_number(F.col("text")).alias("phone"))
 
 
+def records_standardize(spark, sf_dir):
+    """Records written in other cases and forms, put in standard ones."""
+    rows, p = records(spark, sf_dir), F.col("patient")
+    other = {"patient_fname": F.lower(p["patient_fname"]), "patient_lname": F.upper(p["patient_lname"]), "patient_sex": F.lower(p["patient_sex"]), "phone_number": F.regexp_replace(p["phone_number"], r"\D", "")}
+    rows = settle(rows, {"patient": with_fields(p, PATIENT, other)})
+    got = settle(rows, {"s": merge.standardize_records(F.col("patient"), F.col("order"))})
+    a, b = F.col("s.patient"), F.col("s.order")
+    return got.select("ordinal", a["patient_fname"].alias("fname"), a["patient_lname"].alias("lname"), a["dob"].alias("dob"), a["patient_sex"].alias("sex"), a["phone_number"].alias("phone"), b["order_date"].alias("order_date"), b["physician_name"].alias("physician"))
+
+
 def best_engine(spark, sf_dir):
     k = F.col("c_custkey")
     three = F.array(*(F.struct((k * m % 7 / 7).alias("quality"), F.lit(n).alias("engine")) for m, n in ((1, "a"), (3, "b"), (5, "c"))))
@@ -469,7 +479,7 @@ QUERIES = {f.__name__: f for f in (
     order_doc_roundtrip, completeness_score, confidence_score, parse_decision, fill_missing_merge, anti_new_diagnoses, diagnosis_slots6, export_41, completeness_report, valid_invalid_split, first_per_doc, dup_keys, dup_groups, dup_groups_greedy,
     dup_merge_best, dup_members, dup_report, existing_patients_anti, similar_pairs_theta, worklist_validate, worklist_summary, worklist_last_wins, header_canonicalize, lookup_join_fallback_key, company_lookup_case_insensitive, backfill_rules,
     tracking_remarks, api_overwrite, bucket_histogram, summary_recommendations, fill_rate_by_field, low_fill_fields, field_samples_top3, field_samples_masked, error_prefix_counts, method_counts, fetch_summary, extraction_summary, document_router, pdf_text_roundtrip, date_free_form, encoding_detect, validation_report_text, processing_statistics, record_summary_line, engine_choice,
-    doc_quality_score, doc_scanned_flag, doc_phone_extract, best_engine, full_pipeline_report,
+    doc_quality_score, doc_scanned_flag, doc_phone_extract, records_standardize, best_engine, full_pipeline_report,
 )}
 
 _DUP = """keys AS (
@@ -608,6 +618,11 @@ ORACLE_SQL = {
     "record_summary_line": f"WITH {_RECORDS} SELECT ordinal, CASE WHEN NOT ok THEN 'Failed: ' || error ELSE concat_ws(' ', nullif(fname, ''), nullif(lname, '')) || ' - ' || CASE WHEN order_no <> '' THEN 'Order #' || order_no ELSE 'No order number' END || ' (Confidence: ' || printf('%.2f', conf) || ')' END AS line FROM r",
     "engine_choice": """WITH q AS (SELECT doc_id, (doc_id % 10) / 10.0::DOUBLE AS a, (doc_id % 7) / 7.0::DOUBLE AS b, (doc_id % 3) / 3.0::DOUBLE AS c FROM documents), two AS (SELECT *, a > 0 AND a < 0.6 AND b > a AS second, CASE WHEN a > 0 AND a < 0.6 AND b > a THEN b ELSE a END AS best FROM q)
       SELECT doc_id, CASE WHEN best < 0.25 AND c > best THEN 'ocr' WHEN second THEN 'second' ELSE 'first' END AS method, round(CASE WHEN best < 0.25 AND c > best THEN c ELSE best END, 9) AS quality FROM two""",
+    "records_standardize": f"WITH {_RECORDS} SELECT ordinal, fname, lname, dob, CASE sex WHEN 'M' THEN 'MALE' ELSE sex END AS sex, phone, strftime(d, '%m/%d/%Y') AS order_date, CASE WHEN physician <> '' THEN 'Jane Roe Md' ELSE '' END AS physician FROM r",
+    "doc_phone_extract": r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+      SELECT doc_id, CASE WHEN regexp_matches(t, '(?i)Phone:?\s*\((\d{3})\)\s*(\d{3})-(\d{4})') THEN '(' || regexp_extract(t, '(?i)Phone:?\s*\((\d{3})\)\s*(\d{3})-(\d{4})', 1) || ') ' || regexp_extract(t, '(?i)Phone:?\s*\((\d{3})\)\s*(\d{3})-(\d{4})', 2) || '-' || regexp_extract(t, '(?i)Phone:?\s*\((\d{3})\)\s*(\d{3})-(\d{4})', 3)
+        WHEN regexp_matches(t, '\((\d{3})\)\s*(\d{3})-(\d{4})') THEN '(' || regexp_extract(t, '\((\d{3})\)\s*(\d{3})-(\d{4})', 1) || ') ' || regexp_extract(t, '\((\d{3})\)\s*(\d{3})-(\d{4})', 2) || '-' || regexp_extract(t, '\((\d{3})\)\s*(\d{3})-(\d{4})', 3)
+        ELSE regexp_extract(t, '(?i)(?:phone|tel|telephone):?\s*(\(?\d{3}\)?[-.\s]*\d{3}[-.\s]*\d{4})', 1) END AS phone FROM t""",
     "document_router": "WITH s AS (SELECT doc_id, text, doc_id % 7 <> 0 AND regexp_replace(text, '\\s', '', 'g') <> '' AS ok FROM documents) SELECT doc_id::VARCHAR AS doc_id, CASE WHEN ok THEN 'extracted' ELSE 'failed' END AS status, CASE WHEN ok THEN 'pre_extracted' ELSE 'none' END AS extraction_method, CASE WHEN ok THEN '' ELSE 'No text could be extracted' END AS error, CASE WHEN ok THEN round(least(length(text) / 5000.0::DOUBLE, 1), 9) ELSE 0::DOUBLE END AS quality_score FROM s",
     "doc_quality_score": r"""WITH a AS (SELECT doc_id, text, regexp_replace(regexp_replace(text, '[^\x00-\x7F]', 'x', 'g'), '^\s+|\s+$', '', 'g') AS t FROM documents),
       b AS (SELECT doc_id, text, length(t) AS n, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS l, length(regexp_replace(t, '[^0-9]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS f, length(regexp_replace(t, '[^\s\x0b]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS s, length(regexp_replace(t, '[^.,;:()\[\]{}/_@#$%^&*+=<>?!"''-]', '', 'g')) / greatest(length(t), 1)::DOUBLE AS p FROM a)

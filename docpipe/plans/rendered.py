@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import standardize
+from ..functions import standardize, text
+from ..operators import enhanced, merge
 from ..scratch import spread
-from ..schemas import settle
+from ..schemas import ORDER, PATIENT, record, settle
 from . import cases
 from .queries import _PEOPLE, people, table
 
@@ -134,6 +135,9 @@ RENDERED = {
     "dob_extract": (dated("dob", "'DOB: 'M/d/yyyy", "'Date of Birth: 'MMMM d, yyyy", "'born 'M-d-yy", "'none'"), by_key(_of("dob"), _of("dob"), _pivot("dob", 49), "''")),
     "gender_extract": (lambda k: F.when(k % 3 == 0, F.concat(F.lit("Patient's Gender: "), F.col("sex"))).when(k % 3 == 1, F.concat(F.lit("Sex: "), F.substring("sex", 1, 1))).otherwise(F.lit("none")), by_key("sex", "sex", "''")),
     "mrn_extract": (chosen("MR#: {mrn}", "MR Number: {ten}", "none"), by_key("mrn", "ten", "''")),
+    "medicare_extract": (chosen("Patient's Medicare No. 1EG{four}MK72 SOC", "Medicare: A{ten}", "none"), by_key("'1EG' || four || 'MK72'", "'A' || ten", "''")),
+    "ssn_extract": (lambda k: F.when(k % 3 == 0, F.concat(F.lit("SSN: "), F.concat_ws("-", F.substring("nine", 1, 3), F.substring("nine", 4, 2), F.substring("nine", 6, 4)))).when(k % 3 == 1, F.concat(F.lit("id "), F.col("nine"), F.lit(" x"))).otherwise(F.lit("none")), by_key(_DASHED, "nine", "''")),
+    "gender_validate": (lambda k: F.when(k % 3 == 0, F.lower("sex")).when(k % 3 == 1, F.substring("sex", 1, 1)).otherwise(F.col("last")), by_key("'true'", "'true'", "'false'")),
     "order_number_extract": (chosen("Order Number #{ten}", "Order Number: HOME PLAN 3{nine}", "Order No. 7{nine}", "Order 12"), by_key("ten", "'3' || nine", "'7' || nine", "''")),
     "order_date_extract": (dated("day", "'Order Date: 'M/d/yyyy", "'ordered: 'M-d-yy", "'none'"), by_key(_of("day"), _of("day"), "''")),
     "phone_extract": (chosen("Phone: {phone}", "none"), by_key("phone", "''")),
@@ -166,3 +170,35 @@ def query(name: str):
 def oracle(name: str) -> str:
     return f"WITH {_FACTS} SELECT k AS o_orderkey, {RENDERED[name][1]} AS value FROM f"
 
+
+# --- functions of several columns ---------------------------------------------
+
+
+def records_enhance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with gaps, filled from a rendered text and put in standard forms."""
+    k = F.col("k")
+    said = F.format_string("Birth Date: %s\nSSN: %s\nMRN: 1%s\nNPI: %s\nInsurance: %s  Mutual\n", F.date_format("dob", "M/d/yyyy"), F.concat_ws("-", F.substring("nine", 1, 3), F.substring("nine", 4, 2), F.substring("nine", 6, 4)), "nine", "ten", "last")
+    patient = record(PATIENT, {"patient_fname": F.lower("first"), "patient_lname": F.upper("last"), "dob": F.when(k % 2 == 0, F.date_format("dob", "M-d-yyyy")), "patient_sex": F.when(k % 3 == 0, F.lower("sex")), "phone_number": F.regexp_replace("phone", r"\D", ""), "medical_record_no": F.when(k % 5 == 0, F.lower("mrn"))})
+    rows = settle(spread(facts(spark, sf_dir)), {"said": said, "patient": patient, "order": record(ORDER, {})})
+    rows = settle(rows, {"found": enhanced.critical_fields(F.col("said"))})
+    rows = settle(rows, {"e": merge.enhance(F.col("patient"), F.col("order"), F.col("found"))})
+    p, o = F.col("e.patient"), F.col("e.order")
+    return rows.select("k", p["patient_fname"].alias("fname"), p["patient_lname"].alias("lname"), p["dob"].alias("dob"), p["ssn"].alias("ssn"), p["medical_record_no"].alias("mrn"), p["patient_sex"].alias("sex"), p["phone_number"].alias("phone"), o["physician_npi"].alias("npi"), o["insurance_payer"].alias("payer"))
+
+
+def section_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read for a patient and for an order: its section, or the whole text without one."""
+    k = F.col("k")
+    said = F.when(k % 2 == 0, F.format_string("PATIENT INFORMATION\nName %s\nORDERS\nGive %s", "last", "five")).otherwise(F.format_string("Name %s\nonly %s", "last", "five"))
+    rows = settle(spread(facts(spark, sf_dir)), {"clean": text.preprocess(said)})
+    rows = settle(rows, {"sec": text.sections(F.col("clean"))})
+    return rows.select("k", text.route(F.col("sec.HEADER"), F.col("clean")).alias("for_patient"), text.route(F.col("sec.ORDERS"), F.col("clean")).alias("for_order"))
+
+
+EXTRA = {"records_enhance": records_enhance, "section_route": section_route}
+EXTRA_SQL = {
+    "records_enhance": f"""WITH {_FACTS} SELECT k, first AS fname, last AS lname, {_of('dob')} AS dob, CASE WHEN nine LIKE '000%' THEN '' ELSE {_DASHED} END AS ssn, CASE WHEN k % 5 = 0 THEN mrn ELSE '1' || nine END AS mrn,
+      CASE WHEN k % 3 = 0 THEN sex ELSE '' END AS sex, phone, ten AS npi, last || ' Mutual' AS payer FROM f""",
+    "section_route": f"""WITH {_FACTS} SELECT k, CASE WHEN k % 2 = 0 THEN 'PATIENT INFORMATION' || chr(10) || 'Name ' || last ELSE 'Name ' || last || chr(10) || 'only ' || five END AS for_patient,
+      CASE WHEN k % 2 = 0 THEN 'ORDERS' || chr(10) || 'Give ' || five ELSE 'Name ' || last || chr(10) || 'only ' || five END AS for_order FROM f""",
+}
