@@ -6,7 +6,8 @@ index over these first members are no near copies. Members that many texts of a
 come last in that order, which keeps lists short.
 
 Only what connects is asked for, and most of it is found beforehand: texts whose least hashes
-agree in one of ``BANDS`` bands are verified against the smallest id of their band. So large
+agree in one of ``BANDS`` bands are verified against the most central text of their band: the
+one whose bands hold most texts in all, as an original's do among its changed copies. So large
 groups of copies are one component, in rows that grow with the texts, before the index is
 looked at, and it only proposes pairs of different components: first the one whose signature
 is closest to a text's, then, of texts still apart, every other. Common phrases bring texts
@@ -279,10 +280,12 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
         joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
         return cut(joined.mapInArrow(verify, "a long, b long"))
 
-    # most of what connects: texts that agree in a band, each with the band's smallest id
+    # most of what connects: texts that agree in a band, each with the band's most central text
     keyed = cut((rows if banded else rows.limit(0)).mapInArrow(band_keys, "key long, id long"))
-    least = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("most")).where("a < most").select("key", "a")
-    links = verified(cut(keyed.join(least, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()))
+    shared = cut(keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
+    scored = shared.join(shared.groupBy("id").agg(F.sum("n").alias("score")), "id").select("key", "id", "score")
+    hubs = scored.groupBy("key").agg(F.max_by("id", F.struct("score", "id")).alias("a"))
+    links = verified(cut(shared.join(hubs, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()))
     part = cut(components(links))
     of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
 

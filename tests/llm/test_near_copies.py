@@ -65,6 +65,24 @@ def test_stage_drops_near_copies(spark, prose):
     assert left == {rows[k] for k in (0, 3, 5, 6)}
 
 
+def test_copies_of_an_original_in_the_middle(make_docs, prose):
+    """Changed copies are near their original only; its id is neither the smallest nor the largest."""
+    rng = random.Random(6)
+    words = prose(300).split()
+
+    def copy():
+        own = list(words)
+        for k in rng.sample(range(300), 6):
+            own[k] = f"zz{rng.random()}"
+        return " ".join(own)
+
+    rows = [(k, copy() if k != 57 else " ".join(words)) for k in range(120)]
+    s = [shingles(t) for _, t in rows]
+    near = [(a, b) for b in range(len(s)) for a in range(b) if 5 * len(s[a] & s[b]) >= 4 * len(s[a] | s[b])]
+    links = [(r.a, r.b) for r in near_copies(make_docs(rows)).collect()]
+    assert groups(range(len(s)), links) == groups(range(len(s)), near) and len(links) < 500
+
+
 def test_frequent_shingles_and_long_texts(make_docs, prose):
     """One passage in most texts, so that its shingles are frequent in the sample; long texts among near copies."""
     passage, long = prose(60), prose(30_000)
