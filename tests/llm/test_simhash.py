@@ -97,3 +97,11 @@ def test_many_rows_without_text_or_id(make_docs, prose):
     rows = [(None, prose(30)) for _ in range(30)] + [(i, None if i % 2 else "") for i in range(300)] + [(None, None)] * 60
     found = near_duplicates(make_docs(rows)).collect()
     assert len(found) == len(rows) and {r.component_id for r in found if r.fp == 0} == {0}
+
+
+def test_index_is_never_broadcast(spark, monkeypatch):
+    plans = []
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr("docpipe.llm.simhash.cut", plan)
+    plan(near_links(spark.range(300).selectExpr("id * id as fp"), 8))
+    assert len(plans) == 2 and all("Join" in p and "Broadcast" not in p for p in plans)
