@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from docpipe.llm import simhash
 from docpipe.llm.decontaminate import overlaps
 from docpipe.llm.toxicity import score_toxicity
 
@@ -80,3 +81,13 @@ def test_null_ids_are_decontaminated(spark, prose):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     left = {(r.doc_id, r.text) for r in P.drop_contaminated(spark, docs, SF).collect()}
     assert left == set(rows[1:3])
+
+
+def test_fingerprint_index_of_near_duplicates_is_never_broadcast(spark, monkeypatch):
+    plans = []
+    cut = simhash.cut
+    monkeypatch.setattr(simhash, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    docs = spark.createDataFrame([(k, f"text {k // 2} of some words") for k in range(40)], "doc_id long, text string")
+    simhash.duplicate_links(docs).collect()
+    joins = [p for p in plans if "Generate" in p and "Join" in p]
+    assert joins and not any("Broadcast" in p for p in joins)
