@@ -1,34 +1,38 @@
-"""Embedding near-duplicates by a subspace pigeonhole join.
-
-Unit vectors of cosine t or more are at most 2 (1 - t) apart in squared distance. A fixed
-rotation spreads their energy evenly over dimensions, which are split into blocks of
-eight. If two vectors are within the whole budget, they are within the budget's
-proportional part in one block at least, so a range join on each block, with that part
-as its squared radius, loses no link. The candidates of all blocks together are verified
-by exact cosines in double precision.
-
-The range join is a grid join: each vector is at home in one cell of a grid over a
-block's leading dimensions and visits the cells that its range reaches. The number of
-leading dimensions grows with the number of vectors, so that cells stay small. A crowded
-cell is split: its homes and its visitors are each dealt into parts, and every pair of
-parts is a group of its own. Equal vectors are one class from the start.
+"""Embedding near-duplicates: tiles of vectors, compared pair by pair as matrices.
+
+Vectors are dealt into tiles of some thousands, a row each, which are written once. Every
+pair of tiles meets in a task (a cartesian product: tasks read the tiles from the shared
+folder, so nothing is replicated by a shuffle), and a pair of tiles is one matrix product.
+So disk grows with the vectors, and time with the square of their number, at about a
+nanosecond a pair. (Cells of a grid need less time in theory, but 64 to 2,048 rows a vector.)
+
+Unit vectors of cosine t or more are at most 2 (1 - t) apart in squared distance, over all
+dimensions and so over any part of them. A fixed rotation spreads their energy evenly, so
+the first half of its dimensions drops nearly every pair that is far apart, in single
+precision with some slack; what is left is decided by exact cosines in double precision.
+
+A pair of tiles returns no links but sums: for each vector how many others it links with,
+and the smallest one that links within both tiles reach. A dense cluster thus has rows in
+proportion to its vectors and tiles. Equal vectors are one class from the start.
 """
 
 from __future__ import annotations
 
-import math
 from functools import lru_cache
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import components, cut
 
 BLOCK = 8
-_SLACK = 1e-5  # squared distance; blocks are compared in single precision
+#: Vectors in a tile, and tiles in a file, which a task holds.
+TILE, TILES = 4096, 16
+_SLACK = 1e-5  # squared distance, in single precision
 
 
 @lru_cache(maxsize=8)
@@ -51,106 +55,113 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def _matrix(column, dim: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def leading(n: int) -> int:
-    """Dimensions of the grid for n vectors."""
-    return max(3, min(BLOCK, math.ceil(math.log(max(n, 1) / 2000, 3)))) if n > 2000 else 3
+def _tiles(crowd: int, kind: type):
+    """Rows (dim, tile, ids, weights, vectors) of up to ``crowd`` vectors of one length each."""
 
+    def tiles(batches):
+        task, n, held = TaskContext.get().partitionId(), 0, {}
 
-def _cells(threshold: float, lead: int):
-    """Rows (dim, block, cell, at home, id, block's coordinates) for each vector."""
+        def tile(dim, t):
+            parts = (np.asarray(t["cls"]), np.asarray(t["weight"]), _matrix(t["embedding"], dim).astype(kind))
+            return pa.RecordBatch.from_pydict({"dim": pa.array([dim], pa.int32()), "tile": [task << 32 | n], **{c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(("ids", "weights", "vectors"), parts)}})
 
-    def cells(batches):
         for t in batches:
             sizes = np.asarray(t["dim"])
-            for dim in np.unique(sizes):
-                own = t.filter(pa.array(sizes == dim))
-                dim = int(dim)
-                for lo in range(0, own.num_rows, 2000):
-                    part = own.slice(lo, 2000)
-                    ids = np.asarray(part["cls"])
-                    x = unit(_matrix(part["embedding"], dim)) @ rotation(dim)
-                    for b, (a, z) in enumerate(block_edges(dim)):
-                        y = x[:, a:z]
-                        radius = math.sqrt(2 * (1 - threshold) * (z - a) / dim + _SLACK)
-                        g = min(lead, z - a)
-                        home = np.floor(y[:, :g] / (2 * radius)).astype(np.int64)
-                        low = np.floor((y[:, :g] - radius) / (2 * radius)).astype(np.int64)
-                        high = np.floor((y[:, :g] + radius) / (2 * radius)).astype(np.int64)
-                        flat = pa.array(y.astype(np.float32).ravel())
-                        for shift in product((0, 1), repeat=g):
-                            cell = low + np.array(shift)
-                            # where a range ends in its first cell there is no second to visit
-                            there = np.flatnonzero((cell <= high).all(axis=1))
-                            if not len(there):
-                                continue
-                            code = np.zeros(len(there), np.int64)
-                            for k in range(g):
-                                code = code * 4099 + cell[there, k] + 2048
-                            coords = pa.FixedSizeListArray.from_arrays(flat, z - a).take(pa.array(there)).cast(pa.list_(pa.float32()))
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(there), dim, np.int32)), pa.array(np.full(len(there), b, np.int32)), pa.array(code), pa.array((cell[there] == home[there]).all(axis=1)), pa.array(ids[there]), coords], names=["dim", "block", "cell", "home", "cls", "coords"])
-
-    return cells
-
-
-def _near(threshold: float):
-    def near(key, table):
-        dim, b = key[0].as_py(), key[1].as_py()
-        a, z = block_edges(dim)[b]
-        budget = 2 * (1 - threshold) * (z - a) / dim + _SLACK
-        x = table["coords"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, z - a)
-        ids, role = np.asarray(table["cls"]), np.asarray(table["role"])
-        homes, visitors = np.flatnonzero(role != 1), np.flatnonzero(role != 0)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        norm = np.einsum("ij,ij->i", x, x)
-        for lo in range(0, len(homes), 256):
-            h = homes[lo : lo + 256]
-            d = norm[h][:, None] + norm[visitors][None, :] - 2 * (x[h] @ x[visitors].T)
-            i, j = np.nonzero(d <= budget)
-            p, q = ids[h[i]], ids[visitors[j]]
-            left.append(p[p < q])
-            right.append(q[p < q])
-        return pa.table({"a": np.concatenate(left), "b": np.concatenate(right)})
-
-    return near
-
-
-def _verify(threshold: float):
-    def verify(batches):
+            for dim in map(int, np.unique(sizes)):
+                own = pa.Table.from_batches([*held.pop(dim, []), t.filter(pa.array(sizes == dim))])
+                while own.num_rows >= crowd:
+                    yield tile(dim, own.slice(0, crowd))
+                    own, n = own.slice(crowd), n + 1
+                held[dim] = own.to_batches()
+        for dim, rest in held.items():
+            if rest:
+                yield tile(dim, pa.Table.from_batches(rest))
+                n += 1
+
+    return tiles
+
+
+def _join(low: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Makes ``low``, the least member of each vector's component so far, hold links i, j too."""
+    while len(apart := np.flatnonzero(low[i] != low[j])):
+        i, j = i[apart], j[apart]
+        x, y = low[i], low[j]
+        np.minimum.at(low, np.maximum(x, y), np.minimum(x, y))
+        while (low[low] != low).any():
+            low[:] = low[low]
+
+
+def _compare(threshold: float, kind: type):
+    """Rows (a, b, others) of pairs of tiles: a vector, the least one it reaches, its links."""
+
+    def side(row: dict, x: str, dim: int, minus: bool):
+        unit_ = unit(np.frombuffer(row[f"vectors_{x}"], kind).reshape(-1, dim).astype(np.float64))
+        edges = block_edges(dim)
+        y = unit_ @ rotation(dim)[:, : edges[(len(edges) - 1) // 2][1]]
+        square, one = np.einsum("ij,ij->i", y, y)[:, None], np.ones((len(y), 1))
+        # the product of two such rows is the squared distance
+        lead = np.concatenate([-2 * y, square, one] if minus else [y, one, square], axis=1).astype(np.float32)
+        return np.frombuffer(row[f"ids_{x}"], np.int64), np.frombuffer(row[f"weights_{x}"], np.int64).astype(np.float64), unit_, lead
+
+    def compare(batches):
+        budget, last = np.float32(2 * (1 - threshold) + _SLACK), None
         for t in batches:
-            dims = np.asarray(t["dim"])
-            for dim in np.unique(dims):
-                own = t.filter(pa.array(dims == dim)) if len(np.unique(dims)) > 1 else t
-                cos = np.einsum("ij,ij->i", unit(_matrix(own["va"], int(dim))), unit(_matrix(own["vb"], int(dim))))
-                ok = own.filter(pa.array(cos >= threshold))
-                yield pa.RecordBatch.from_arrays([ok["a"], ok["b"]], names=["a", "b"])
-
-    return verify
-
-
-def near_links(classes: DataFrame, threshold: float, crowd: int = 2000) -> DataFrame:
-    """Pairs a < b of classes (cls, dim, embedding) whose cosine is ``threshold`` or more."""
-    n = classes.count()
-    rows = classes.select("cls", "dim", "embedding").mapInArrow(_cells(threshold, leading(n)), "dim int, block int, cell long, home boolean, cls long, coords array<float>")
-    rows = cut(rows)
-    counts = rows.groupBy("dim", "block", "cell").agg(F.count_if("home").alias("homes"), F.count("*").alias("visits")).where(f"visits > {crowd} and homes > 0")
-    crowded = cut(counts.select("dim", "block", "cell", F.ceil(F.col("homes") / crowd).cast("int").alias("hp"), F.ceil(F.col("visits") / crowd).cast("int").alias("vp")))
-    dealt = rows.join(crowded, ["dim", "block", "cell"], "left").fillna(1, ["hp", "vp"])
-    slot = F.xxhash64("cls")
-    each = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
-    # one part: a row plays both roles; more: a row for each role and each part of the other
-    whole = dealt.where("vp = 1").withColumns({"role": F.when(F.col("home"), 2).otherwise(1), "i": F.lit(0), "j": F.lit(0)})
-    homes = dealt.where("vp > 1 and home").withColumn("role", F.lit(0)).withColumn("i", F.pmod(slot, F.col("hp")).cast("int")).withColumn("j", F.explode(each("vp")))
-    visitors = dealt.where("vp > 1").withColumn("role", F.lit(1)).withColumn("j", F.pmod(slot, F.col("vp")).cast("int")).withColumn("i", F.explode(each("hp")))
-    cols = ["dim", "block", "cell", "i", "j", "role", "cls", "coords"]
-    groups = whole.select(cols).union(homes.select(cols)).union(visitors.select(cols))
-    pairs = groups.groupBy("dim", "block", "cell", "i", "j").applyInArrow(_near(threshold), "a long, b long").distinct()
-    vectors = classes.select("cls", "dim", "embedding")
-    left = pairs.join(vectors.select(F.col("cls").alias("a"), "dim", F.col("embedding").alias("va")), "a")
-    both = left.join(vectors.select(F.col("cls").alias("b"), F.col("embedding").alias("vb")), "b")
-    return both.select("a", "b", "dim", "va", "vb").mapInArrow(_verify(threshold), "a long, b long")
+            ids, least, others = ([np.zeros(0, np.int64)] for _ in range(3))
+            for r in range(t.num_rows):
+                row = {c: t[c][r].as_py() for c in ("dim", "tile_a", "tile_b")} | {c: t[c][r].as_buffer() for c in t.schema.names if pa.types.is_binary(t[c].type)}
+                dim, same = row["dim"], row["tile_a"] == row["tile_b"]
+                if last is None or last[0] != (dim, row["tile_a"]):
+                    last = (dim, row["tile_a"]), side(row, "a", dim, True)
+                id_a, weight_a, a, lead_a = last[1]
+                id_b, weight_b, b, lead_b = side(row, "b", dim, False)
+                lead_b = np.ascontiguousarray(lead_b.T)
+                at, n = (0, len(a)) if same else (len(a), len(a) + len(b))
+                name = np.sort(id_a if same else np.concatenate([id_a, id_b]))
+                place = np.searchsorted(name, id_a if same else np.concatenate([id_a, id_b]))
+                low, count = np.arange(n), np.zeros(n)
+                for lo in range(0, len(a), 256):
+                    near = lead_a[lo : lo + 256] @ lead_b
+                    if near.min() > budget:
+                        continue
+                    near = near <= budget
+                    i, j = lo + np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+                    ok = a[i] @ b[j].T >= threshold
+                    if same:
+                        ok &= i[:, None] != j
+                    count[i] += ok @ weight_b[j]
+                    if not same:
+                        count[at + j] += weight_a[i] @ ok
+                    u, v = np.nonzero(ok)
+                    _join(low, place[i[u]], place[at + j[v]])
+                found = np.flatnonzero(count)
+                ids.append(name[place[found]])
+                least.append(name[low[place[found]]])
+                others.append(np.rint(count[found]).astype(np.int64))
+            yield pa.RecordBatch.from_pydict({"a": np.concatenate(ids), "b": np.concatenate(least), "others": np.concatenate(others)})
+
+    return compare
+
+
+def near_links(classes: DataFrame, threshold: float, crowd: int = TILE) -> DataFrame:
+    """Rows a, b, others of classes (cls, dim, embedding, weight) that link with others.
+
+    Classes link if their cosine is ``threshold`` or more. The sum of ``others`` over a
+    class's rows is the weight of all classes that it links with; links a, b connect what
+    links connect. Tiles have up to ``crowd`` classes.
+    """
+    kind = np.float32 if classes.schema["embedding"].dataType.elementType == T.FloatType() else np.float64
+    files = max(classes.sparkSession.sparkContext.defaultParallelism, -(-classes.count() // (crowd * TILES)))
+    rows = classes.select("cls", "dim", "weight", "embedding").repartition(files)
+    tiles = cut(rows.mapInArrow(_tiles(crowd, kind), "dim int, tile long, ids binary, weights binary, vectors binary"))
+    left, right = (tiles.select(F.col("dim").alias(f"dim_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in ("tile", "ids", "weights", "vectors"))) for x in "ab")
+    # of two tiles each comes first as often as the other, so tasks are even
+    even = F.pmod(F.xxhash64(F.least("tile_a", "tile_b"), F.greatest("tile_a", "tile_b")), F.lit(2)) == 0
+    once = F.when(even, F.col("tile_a") <= F.col("tile_b")).otherwise(F.col("tile_a") >= F.col("tile_b"))
+    pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("dim_a") == F.col("dim_b")) & once).withColumnRenamed("dim_a", "dim").drop("dim_b")
+    return pairs.mapInArrow(_compare(threshold, kind), "a long, b long, others long")
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.95) -> DataFrame:
@@ -167,18 +178,17 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     usable = x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists(x, lambda v: v != 0)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding")).withColumn("usable", F.coalesce(usable, F.lit(False)))
     good = rows.where("usable").select("vec_id", "embedding")
+    # rows find their class by a 128-bit digest of the vector, which moves less than vectors do
+    digest = [F.xxhash64("embedding").alias("cls"), F.xxhash64(F.lit(1), "embedding").alias("more")]
     classes = good.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
-    # a class goes by its smallest id, which no other class has unless ids repeat
-    classes = cut(classes.withColumn("dim", F.size("embedding")).withColumn("cls", F.xxhash64("embedding", "least")))
+    classes = cut(classes.select("*", F.size("embedding").alias("dim"), *digest))
     links = cut(near_links(classes, threshold))
-    both = links.union(links.select("b", "a"))
-    weights = classes.select(F.col("cls").alias("b"), "weight")
-    linked = both.join(weights, "b").groupBy("a").agg(F.sum("weight").alias("others"))
+    linked = links.groupBy("a").agg(F.sum("others").alias("others"))
     part = components(links)
-    named = classes.join(part, classes.cls == part.node, "left").select("cls", "least", F.coalesce("component", "cls").alias("component"))
+    named = classes.join(part, classes.cls == part.node, "left").select("cls", "more", "least", "weight", F.coalesce("component", "cls").alias("component"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    facts = named.join(names, "component").select("cls", "component_id")
-    facts = classes.join(facts, "cls").join(linked, classes.cls == linked.a, "left").select("embedding", "component_id", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
-    found = good.join(facts, "embedding").select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id")
+    facts = named.join(names, "component").join(linked, named.cls == linked.a, "left")
+    facts = facts.select("cls", "more", "component_id", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    found = good.select("vec_id", *digest).join(facts, ["cls", "more"]).select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id")
     alone = rows.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return found.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

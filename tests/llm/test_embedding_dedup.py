@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -59,3 +61,42 @@ def test_rotation_and_blocks():
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_tables_written_grow_with_the_vectors_only(spark, monkeypatch):
+    from docpipe.llm import embedding_dedup as e
+
+    written, cut = [], e.cut
+    monkeypatch.setattr(e, "cut", lambda df: written.append(cut(df)) or written[-1])
+    rng = np.random.default_rng(8)
+    n, dim = 3000, 64
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(n, dim)).astype(np.float32))], "vec_id long, embedding array<float>")
+    assert near_duplicates(df).where("n_links = 0 and kept").count() == n
+    sizes = [sum(Path(f.removeprefix("file:")).stat().st_size for f in t.inputFiles()) for t in written]
+    assert sum(t.count() for t in written) < 2 * n and sum(sizes) < 3 * 4 * n * dim
+
+
+def test_pairs_of_tiles_are_no_shuffle_and_no_broadcast(spark):
+    from docpipe.llm.embedding_dedup import near_links
+
+    classes = spark.createDataFrame([(1, 2, 1, [1.0, 2.0])], "cls long, dim int, weight long, embedding array<double>")
+    plan = near_links(classes, 0.95)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
+def test_links_across_tiles(spark):
+    """A chain through many small tiles, a dense cluster, equal vectors and two lengths."""
+    from docpipe.llm import embedding_dedup as e
+
+    turn = np.arange(40) * 0.3  # neighbours have a cosine of 0.955, others less
+    rows = [[float(np.cos(x)), float(np.sin(x)), 0.0] for x in turn[:20]] + [[0.0, 0.0, 1.0 + k % 3] for k in range(30)]
+    rows += [[1.0, 0.01 * k, 0.0, 0.0] for k in range(25)] + [[0.0, -0.0, 2.0], [-0.0, 0.0, 2.0]]
+    table = list(enumerate(rows))[::-1]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    want, plain = brute(table), e.near_links
+    for crowd in (1, 3, 4096):
+        e.near_links = lambda classes, t: plain(classes, t, crowd=crowd)
+        try:
+            assert sorted(map(tuple, near_duplicates(df).collect())) == want
+        finally:
+            e.near_links = plain
