@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from docpipe.llm.decontaminate import overlaps
 from docpipe.llm.mixing import mix_sources
 from docpipe.llm.near_copies import near_copies
-from docpipe.llm.shared import components, cut
+from docpipe.llm.shared import components, cut, merged
 from docpipe.llm.simhash import duplicate_links
 from docpipe.llm.substring_dedup import dedup_substrings
 from docpipe.llm.toxicity import scorer, train_model
@@ -41,10 +41,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = docs.withColumn("_row", row_key(docs))
     of = components(duplicate_links(rows, "_row").union(near_copies(rows, "_row")))
     ids = rows.select("_row", "doc_id").distinct()
-    best = ids.join(of, ids._row == of.node, "left").withColumn("part", F.coalesce("component", "_row")).groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best")).select("best.*")
+    best = ids.join(merged(of), ids._row == of.node, "left").withColumn("part", F.coalesce("component", "_row")).groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best")).select("best.*")
     named = best.where("not none").groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")
     kept = cut(named.union(best.where("none").select("_row")))
-    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)
+    return rows.join(merged(kept), "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, ascii_lower, components, cut, digest_at, mix, ngram_hashes, trim
+from . import shared
+from .shared import Words, ascii_lower, components, cut, digest_at, merged, mix, ngram_hashes, sent, trim
 
 _U = np.uint64
 #: Bytes of text sampled for the order of shingles, and most shingles that it knows of.
@@ -184,9 +185,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     plain = ascii_lower(F.col("text"))
     named = cut(rows.select("id", F.xxhash64(plain).alias("u"), F.xxhash64(plain, F.lit(1)).alias("v")))
     least = named.groupBy("u", "v").agg(F.min("id").alias("b"), F.max("id").alias("most")).where("b < most").select("u", "v", "b")
-    equal = cut(named.join(least, ["u", "v"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct())
+    equal = cut(named.join(merged(least), ["u", "v"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct())
     gone = equal.select(F.col("a").alias("id"))
-    rows = rows.join(F.broadcast(gone) if gone.count() <= 1_000_000 else gone, "id", "left_anti")
+    rows = rows.join(sent(gone), "id", "left_anti")
+    rows = cut(rows) if gone.count() > shared.MOST_SENT else rows  # texts that had to move do so once
     known, often = _frequent(rows, width)
     trim()
     differ = limits(share)
@@ -274,30 +276,28 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
 
     def verified(pairs):
         wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        few = wanted.count() <= 1_000_000
-        texts = rows.join(F.broadcast(wanted) if few else wanted, "id", "left_semi").dropDuplicates(["id"])
+        texts = rows.join(sent(wanted), "id", "left_semi").dropDuplicates(["id"])
         sides = [texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"]
-        joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
+        joined = pairs.join(merged(sides[0]), "a").join(merged(sides[1]), "b").select("a", "b", "text_a", "text_b")
         return cut(joined.mapInArrow(verify, "a long, b long"))
 
     # most of what connects: texts that agree in a band, each with the band's most central text
     keyed = cut((rows if banded else rows.limit(0)).mapInArrow(band_keys, "key long, id long"))
-    shared = cut(keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
-    scored = shared.join(shared.groupBy("id").agg(F.sum("n").alias("score")), "id").select("key", "id", "score")
+    common = cut(keyed.join(merged(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")), "key"))
+    scored = common.join(merged(common.groupBy("id").agg(F.sum("n").alias("score"))), "id").select("key", "id", "score")
     hubs = scored.groupBy("key").agg(F.max_by("id", F.struct("score", "id")).alias("a"))
-    links = verified(cut(shared.join(hubs, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()))
+    links = verified(cut(common.join(merged(hubs), "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()))
     part = cut(components(links))
     of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
 
     # the rest: pairs of different components that share a list
-    labels = of("id")
-    labelled = rows.join(F.broadcast(labels) if labels.count() <= 1_000_000 else labels, "id", "left").select("id", "text", F.coalesce("part_id", "id").alias("part"))
+    labelled = rows.join(sent(of("id")), "id", "left").select("id", "text", F.coalesce("part_id", "id").alias("part"))
     index = labelled.mapInArrow(first_members, "token long, id long, part long, size int, at int, s long, t long, m long, w long, own byte")
     index = index.repartition("token").sortWithinPartitions("token", "size", "id")
     pairs = cut(index.mapInArrow(propose, "a long, b long, bits long").groupBy("a", "b").agg(F.min("bits").alias("bits")))
     best = cut(pairs.groupBy("b").agg(F.min_by("a", F.struct("bits", "a")).alias("a")))
     links = links.union(verified(best))
     part = cut(components(links))
-    apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b")
-    rest = cut(apart.join(best, ["a", "b"], "left_anti"))
+    apart = pairs.join(merged(of("a")), "a", "left").join(merged(of("b")), "b", "left").where("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b")
+    rest = cut(apart.join(merged(best), ["a", "b"], "left_anti"))
     return links.union(verified(rest)).union(equal)

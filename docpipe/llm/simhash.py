@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut, utf8
+from .shared import components, cut, merged, utf8
 
 #: Positional bytes that two fingerprints within two bits of each other share.
 SHARED_BYTES = 6
@@ -111,9 +111,9 @@ def duplicate_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     of = cut(fingerprints(docs, doc_id, text).where("doc_id is not null"))
     classes = cut(of.groupBy("fp").agg(F.min("doc_id").alias("b")))
-    equal = of.join(classes, "fp").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
+    equal = of.join(merged(classes), "fp").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
     sides = [classes.select(F.col("fp").alias(f"fp_{x}"), F.col("b").alias(x)) for x in "ab"]
-    close = near_links(classes.select("fp"), list_limit).toDF("fp_a", "fp_b").join(sides[0], "fp_a").join(sides[1], "fp_b")
+    close = near_links(classes.select("fp"), list_limit).toDF("fp_a", "fp_b").join(merged(sides[0]), "fp_a").join(merged(sides[1]), "fp_b")
     return equal.union(close.select("a", "b"))
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from docpipe.llm import simhash
+from docpipe.llm import near_copies, shared, simhash
 from docpipe.llm.decontaminate import overlaps
 from docpipe.llm.toxicity import score_toxicity
 
@@ -91,3 +91,23 @@ def test_fingerprint_index_of_near_duplicates_is_never_broadcast(spark, monkeypa
     simhash.duplicate_links(docs).collect()
     joins = [p for p in plans if "Generate" in p and "Join" in p]
     assert joins and not any("Broadcast" in p for p in joins)
+
+
+def test_near_duplicates_broadcast_nothing_that_grows(spark, monkeypatch, prose):
+    base = [prose(60) for _ in range(12)]
+    texts = base + base[:4] + [t + " end" for t in base[4:8]] + [prose(20) + " " + t for t in base]
+    docs = shared.cut(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    whole = sorted(map(tuple, P.drop_near_duplicates(spark, docs, SF).collect()))
+    plans = []
+
+    def seen(df, cut=shared.cut):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(shared, "MOST_SENT", -1, raising=False)
+    for module in (near_copies, shared, simhash, P):
+        monkeypatch.setattr(module, "cut", seen)
+    kept = P.drop_near_duplicates(spark, docs, SF)
+    plans.append(kept._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(tuple, kept.collect())) == whole and len(whole) < len(texts)
+    assert sum("Join" in p for p in plans) >= 12 and not any("Broadcast" in p for p in plans)
