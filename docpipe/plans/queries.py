@@ -420,9 +420,13 @@ def date_free_form(spark, sf_dir):
 
 
 def encoding_detect(spark, sf_dir):
-    """Texts as bytes, in Latin-1 where that has all their characters, and back by what the bytes look like."""
+    """Texts as bytes, in Latin-1 where that has all their characters, and back by what the bytes look like.
+
+    A reader drops the mark before UTF-8, so a text that begins with that character gets one more.
+    """
     text = F.coalesce("text", F.lit(""))
-    raw = F.when(F.rlike(text, F.lit(r"^[\x00-\x7F\xA0-\xFF]*$")), F.encode(text, "ISO-8859-1")).otherwise(F.encode(text, "UTF-8"))
+    marked = F.when(text.startswith("\ufeff"), F.concat(F.lit("\ufeff"), text)).otherwise(text)
+    raw = F.when(F.rlike(text, F.lit(r"^[\x00-\x7F\xA0-\xFF]*\z")), F.encode(text, "ISO-8859-1")).otherwise(F.encode(marked, "UTF-8"))
     d = settle(spread(table(spark, sf_dir, "documents")).select("doc_id", raw.alias("raw")), {"got": encoding.decoded(F.col("raw"))})
     return d.select("doc_id", F.col("got.encoding").alias("encoding"), F.md5("got.text").alias("text_md5"), (F.col("got.confidence") >= encoding.LEAST).alias("sure"))
 

@@ -44,7 +44,8 @@ def sniff_encoding(spark: SparkSession, path: str, size: int = SAMPLE) -> str:
         return "UTF-8"
     stream = fs.open(found[0].getPath())
     try:
-        return choose(bytes(stream.readNBytes(size)))
+        data = bytes(stream.readNBytes(size))
+        return choose(data, whole=len(data) < size)
     finally:
         stream.close()
 

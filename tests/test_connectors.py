@@ -6,12 +6,13 @@ import threading
 import time
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from docpipe.functions import encoding
 from docpipe.functions.dates import infer_date
-from docpipe.plans import pipeline
+from docpipe.plans import pipeline, queries
 from docpipe.sources import extractor, files, http, sinks
 from docpipe.sources.calls import TokenBucket, resumable, windowed
 from docpipe.sources.document_files import file_name
@@ -178,6 +179,17 @@ def test_encodings():
     assert encoding.decode(b"\xef\xbb\xbfx") == "x"
 
 
+def test_encoding_of_texts_whose_only_accent_ends_them(spark, tmp_path):
+    texts = ["le thé", "é", "the\nÑ", "été", "10 €", "\ufeffř", "", None, "plain"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = queries.encoding_detect(spark, str(tmp_path)).orderBy("doc_id")
+    sql = con.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE_SQL['encoding_detect']}) ORDER BY doc_id")
+    assert [tuple(r) for r in got.collect()] == sql.fetchall()
+    assert encoding.choose("the é".encode()[:-1], whole=False) == "UTF-8"
+
+
 def test_encoded_files(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes("Straße für Müller".encode("latin-1"))
     (tmp_path / "b.txt").write_bytes("“Straße” für Müller’s €".encode("cp1252"))
